@@ -1,0 +1 @@
+"""tripkpi.streaming"""
