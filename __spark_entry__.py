@@ -57,8 +57,8 @@ _TRIPS_RAW = """
 trips_raw as (
   select trip_order, trip_line, dur_s, start_ts,
          case when trip_order % 97 = 0 then null else start_ts + to_seconds(dur_s) end as end_ts,
-         start_station_id, concat('Station ', start_station_id) as start_station_name,
-         end_station_id, concat('Station ', end_station_id) as end_station_name,
+         start_station_id, 'Station ' || start_station_id as start_station_name,
+         end_station_id, 'Station ' || end_station_id as end_station_name,
          bike_id, birth_year_raw, gender_raw
   from (
     select l_orderkey as trip_order, l_linenumber as trip_line,
@@ -251,7 +251,96 @@ def _reject_sql() -> str:
             + " from trips_typed group by year, month")
 
 
+_OLD_CHAIN = """
+trips_old_raw as (
+  select dur_s * 1000 as dur_ms, date_trunc('minute', start_ts) as start_ts,
+         date_trunc('minute', end_ts) as end_ts, start_station_id, start_station_name,
+         end_station_id, end_station_name, bike_id, gender_raw
+  from trips_raw
+),
+trips_old_geo as (
+  select t.*, a.latitude as start_latitude, a.longitude as start_longitude,
+         b.latitude as end_latitude, b.longitude as end_longitude
+  from trips_old_raw t
+  left join station_master a on t.start_station_id = a.station_id
+  left join station_master b on t.end_station_id = b.station_id
+),
+trips_old_typed as (
+  select round(dur_ms / 60000e0, 2) as trip_duration_min, start_ts as trip_start_ts, end_ts as trip_end_ts,
+         start_station_id, start_station_name, end_station_id, end_station_name, bike_id,
+         cast(null as int) as birth_year, try_cast(gender_raw as int) as gender,
+         """ + _HAV + """ as trip_distance_m,
+         """ + _SLOT.format(ts='start_ts') + """ as time_slot,
+         cast(year(start_ts) as int) as year, cast(month(start_ts) as int) as month
+  from (select *, """ + _H + """ as h from trips_old_geo) g
+),
+trips_old_clean as (
+  select * from trips_old_typed
+  where trip_start_ts is not null and trip_end_ts is not null and trip_end_ts > trip_start_ts
+    and time_slot is not null and trip_duration_min between 1 and 1440
+    and trip_distance_m between 0 and 50000
+    and start_station_id is not null and end_station_id is not null
+)"""
+
+_W_OLD = _with(_STATIONS, _TRIPS_RAW, _OLD_CHAIN)
+_W_BOTH = _with(_STATIONS, _TRIPS_RAW, _TRIPS_GEO, _TRIPS_TYPED, _TRIPS_CLEAN, _OLD_CHAIN)
+_FIRST_MONTH = "(select min(year * 100 + month) from trips_clean)"
+
+_LANDING = r"""
+with months as (select distinct strftime(o_orderdate, '%Y%m') as p from orders),
+years as (select distinct strftime(o_orderdate, '%Y') as p from orders),
+paths as (
+  select '/landing/' || p || '-hubway-tripdata.csv' as path from months
+  union all select '/landing/' || p || '1-hubway-tripdata.csv' from months
+  union all select '/landing/hubway_Trips_' || p || '.csv' from years
+  union all select '/landing/hubway_Trips_' || p || '.csv.bak' from years
+  union all select '/landing/hubway_Trips_' || p || '_1.csv' from years
+),
+named as (select path, regexp_extract(path, '[^/]*$', 0) as file_name from paths),
+ext as (
+  select *, regexp_extract(file_name, '^(\d{6})-hubway-tripdata\.csv$', 1) as np,
+            regexp_extract(file_name, '^hubway_Trips_(\d{4})\.csv$', 1) as op
+  from named
+),
+m as (
+  select path, file_name, case when np <> '' then 'new' else 'old' end as layout,
+         case when np <> '' then np else op end as period
+  from ext where np <> '' or op <> ''
+)
+select path, file_name, layout, period, '/data/bikesharing/raw/' || period || '/data.csv' as target from m
+"""
+
 _ORACLES: dict[str, str] = {
+    "scan_new_layout": _W_GEO + f"""
+select strftime(start_ts, '%Y%m') as period, cast(year(start_ts) as int) as year,
+       cast(month(start_ts) as int) as month, round(dur_s / 60e0, 2) as trip_duration_min,
+       start_ts as trip_start_ts, end_ts as trip_end_ts, {_SLOT.format(ts='start_ts')} as time_slot,
+       start_station_id, start_station_name, end_station_id, end_station_name, bike_id,
+       birth_year_raw, gender_raw, start_latitude, start_longitude, end_latitude, end_longitude
+from trips_geo""",
+    "scan_old_layout": _W_RAW + f"""
+select strftime(start_ts, '%Y') as period, cast(year(start_ts) as int) as year,
+       cast(month(start_ts) as int) as month, round((dur_s * 1000) / 60000e0, 2) as trip_duration_min,
+       date_trunc('minute', start_ts) as trip_start_ts, date_trunc('minute', end_ts) as trip_end_ts,
+       {_SLOT.format(ts='start_ts')} as time_slot, start_station_id, start_station_name,
+       end_station_id, end_station_name, bike_id, gender_raw
+from trips_raw""",
+    "clean_new_layout": _W_CLEAN + "select * from trips_clean",
+    "clean_old_layout": _W_OLD + "select * from trips_old_clean",
+    "unify_layouts": _W_BOTH + "select * from trips_clean union all select * from trips_old_clean",
+    "merge_split_years": _W_RAW + """
+select cast(year(start_ts) as int) as year, count(*) as n_rows, cast(sum(dur_s * 1000) as bigint) as sum_dur_ms
+from trips_raw group by year(start_ts)""",
+    "landing_manifest": _LANDING,
+    "month_spine": """
+select year, cast(m as int) as month, printf('%04d%02d', year, cast(m as int)) as period
+from (select year, unnest(generate_series(1, 12)) as m
+      from (select distinct cast(year(o_orderdate) as int) as year from orders) y) s""",
+    "clean_roundtrip": _W_CLEAN + "select * from trips_clean",
+    "month_slice": _W_CLEAN + f"select * from trips_clean where year * 100 + month = {_FIRST_MONTH}",
+    "dynamic_overwrite": _W_CLEAN + f"""
+select * from trips_clean
+where not (year * 100 + month = {_FIRST_MONTH} and minute(trip_start_ts) >= 30)""",
     "time_slot": f"select event_id, ts, {_SLOT.format(ts='ts')} as time_slot from events",
     "station_join": _W_GEO + """
 select trip_order, trip_line, start_station_id, end_station_id,

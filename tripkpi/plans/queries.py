@@ -9,6 +9,7 @@ render the derived trips into files under the shared checkpoint folder first
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +18,17 @@ from tripkpi import schemas as S
 from tripkpi.functions import columns as C
 from tripkpi.operators import kpis as K
 from tripkpi.operators import quality as Q
+from tripkpi.operators import cleaning
 from tripkpi.operators.joins import join_station_coordinates
+from tripkpi.plans import fixtures as X
+from tripkpi.plans import layouts as L
+from tripkpi.session import scratch_path
+from tripkpi.sinks.parquet import write_clean_trips
+from tripkpi.sources import csv_layouts as CSV
 from tripkpi.sources import driver_tables as D
-from tripkpi.sources.stations import station_master
+from tripkpi.sources import landing as LD
+from tripkpi.sources import parquet as PQ
+from tripkpi.sources.stations import read_station_master, station_master
 
 Query = Callable[[SparkSession, str], DataFrame]
 TRIP_ID = ["trip_order", "trip_line"]
@@ -173,6 +182,120 @@ def q_kpi_report_wide(spark, sf_dir):
     return K.kpi_report_wide_text(D.clean_trips(spark, sf_dir))
 
 
+# --- sources: raw CSV layouts ---------------------------------------------------------------
+
+LANDING_DIR = "/landing"
+
+
+def _scan_new(spark, sf_dir):
+    base = X.write_new_layout(spark, sf_dir)
+    return CSV.scan_new_layout(spark, base, folder_glob=X.NEW_FOLDER_GLOB, file_glob=X.CSV_FILE_GLOB)
+
+
+def _scan_old(spark, sf_dir):
+    base = X.write_old_layout(spark, sf_dir)
+    raw = CSV.scan_old_layout(spark, base, folder_glob=X.OLD_FOLDER_GLOB, file_glob=X.CSV_FILE_GLOB)
+    return raw, read_station_master(spark, f"{base}/stations")
+
+
+def q_scan_new_layout(spark, sf_dir):
+    t = cleaning.add_temporal(_scan_new(spark, sf_dir), S.NEW_LAYOUT.duration_divisor,
+                              S.NEW_LAYOUT.ts_format, period_from_folder=True)
+    return t.select("period", "year", "month", "trip_duration_min", "trip_start_ts", "trip_end_ts",
+                    "time_slot", "start_station_id", "start_station_name", "end_station_id",
+                    "end_station_name", "bike_id", "birth_year_raw", "gender_raw",
+                    *[F.col(c).try_cast("double").alias(c) for c in cleaning.COORDINATES])
+
+
+def q_scan_old_layout(spark, sf_dir):
+    raw, _ = _scan_old(spark, sf_dir)
+    t = cleaning.add_temporal(raw, S.OLD_LAYOUT.duration_divisor, S.OLD_LAYOUT.ts_format,
+                              period_from_folder=False)
+    return t.select("period", "year", "month", "trip_duration_min", "trip_start_ts", "trip_end_ts",
+                    "time_slot", "start_station_id", "start_station_name", "end_station_id",
+                    "end_station_name", "bike_id", "gender_raw")
+
+
+def q_clean_new_layout(spark, sf_dir):
+    return L.clean_new(_scan_new(spark, sf_dir)).select(*S.CLEAN_TRIP_COLUMNS)
+
+
+def q_clean_old_layout(spark, sf_dir):
+    raw, stations = _scan_old(spark, sf_dir)
+    return L.clean_old(raw, stations).select(*S.CLEAN_TRIP_COLUMNS)
+
+
+def q_unify_layouts(spark, sf_dir):
+    return L.unify(q_clean_new_layout(spark, sf_dir), q_clean_old_layout(spark, sf_dir))
+
+
+def q_merge_split_years(spark, sf_dir):
+    base = X.write_split_years(spark, sf_dir)
+    raw = CSV.scan_split_years(spark, f"{base}/year=*/part=*/{X.CSV_FILE_GLOB}",
+                               year_regex=r"/year=([0-9]{4})/")
+    return (raw.groupBy(F.col("period").cast("int").alias("year"))
+               .agg(F.count(F.lit(1)).alias("n_rows"),
+                    F.sum(F.col("dur_raw").try_cast("bigint")).alias("sum_dur_ms")))
+
+
+def _landing_paths(spark, sf_dir):
+    od = D.read_table(spark, sf_dir, "orders").select("o_orderdate")
+    months = od.select(F.date_format("o_orderdate", "yyyyMM").alias("p")).distinct()
+    years = od.select(F.date_format("o_orderdate", "yyyy").alias("p")).distinct()
+    prefix = F.lit(LANDING_DIR + "/")
+
+    def named(df, template):
+        head, tail = template.split("{period}")
+        return df.select(F.concat(prefix, F.lit(head), F.col("p"), F.lit(tail)).alias("path"))
+
+    return reduce(lambda a, b: a.unionByName(b), [
+        named(months, S.LANDING_NEW_NAME),
+        named(months, S.LANDING_NEW_NAME.replace("{period}", "{period}1")),      # 7 digits: no match
+        named(years, S.LANDING_OLD_NAME),
+        named(years, S.LANDING_OLD_NAME + ".bak"),                              # backup: no match
+        named(years, S.LANDING_OLD_NAME.replace(".csv", "_1.csv")),             # split part
+    ])
+
+
+def q_landing_manifest(spark, sf_dir):
+    return LD.landing_manifest(_landing_paths(spark, sf_dir))
+
+
+def q_month_spine(spark, sf_dir):
+    od = D.read_table(spark, sf_dir, "orders")
+    return LD.month_spine(od.select(F.year("o_orderdate").alias("year")))
+
+
+# --- sinks ------------------------------------------------------------------------------------------
+
+def _first_month(df):
+    ym = df.agg(F.min(F.col("year") * 100 + F.col("month")).alias("ym")).first().ym
+    return ym // 100, ym % 100
+
+
+def q_clean_roundtrip(spark, sf_dir):
+    return PQ.read_clean_trips(spark, X.write_clean_table(spark, sf_dir))
+
+
+def q_month_slice(spark, sf_dir):
+    path = X.write_clean_table(spark, sf_dir)
+    y, m = _first_month(PQ.read_clean_trips(spark, path, validate=False))
+    return PQ.read_month(spark, path, y, m)
+
+
+def q_dynamic_overwrite(spark, sf_dir):
+    """Write every month, then overwrite the first month with the trips that
+    started in the first half of an hour; all other months must survive."""
+    path = scratch_path(spark, "dyn")
+    write_clean_trips(D.clean_trips(spark, sf_dir), path)
+    y, m = _first_month(PQ.read_clean_trips(spark, path, validate=False))
+    staged = scratch_path(spark, "dyn-stage")
+    half = PQ.read_month(spark, path, y, m).filter(F.minute("trip_start_ts") < 30)
+    write_clean_trips(half, staged)
+    write_clean_trips(PQ.read_clean_trips(spark, staged, validate=False), path)
+    return PQ.read_clean_trips(spark, path)
+
+
 QUERIES: dict[str, Query] = {
     # scalars
     "time_slot": q_time_slot,
@@ -187,11 +310,24 @@ QUERIES: dict[str, Query] = {
     "station_master": q_station_master,
     "station_join": q_station_join,
     "clean_trips": q_clean_trips,
+    "clean_new_layout": q_clean_new_layout,
+    "clean_old_layout": q_clean_old_layout,
+    "unify_layouts": q_unify_layouts,
     # quality
     "reject_reasons": q_reject_reasons,
     "trip_counts": q_trip_counts,
     "station_duplicates": q_station_duplicates,
     "unmatched_stations": q_unmatched_stations,
+    # sources
+    "scan_new_layout": q_scan_new_layout,
+    "scan_old_layout": q_scan_old_layout,
+    "merge_split_years": q_merge_split_years,
+    "landing_manifest": q_landing_manifest,
+    "month_spine": q_month_spine,
+    # sinks
+    "clean_roundtrip": q_clean_roundtrip,
+    "dynamic_overwrite": q_dynamic_overwrite,
+    "month_slice": q_month_slice,
     # KPIs
     "kpi_avg_duration": q_kpi_avg_duration,
     "kpi_avg_distance": q_kpi_avg_distance,

@@ -46,6 +46,8 @@ OLD_LAYOUT_DURATION_DIVISOR = 60000.0  # milliseconds -> minutes
 LANDING_NEW_PATTERN = r"(\d{6})-hubway-tripdata\.csv$"
 LANDING_OLD_PATTERN = r"hubway_Trips_(\d{4})\.csv$"
 LANDING_SPLIT_PATTERN = r"hubway_Trips_(\d{4})_.*\.csv$"
+LANDING_NEW_NAME = "{period}-hubway-tripdata.csv"
+LANDING_OLD_NAME = "hubway_Trips_{period}.csv"
 RAW_ROOT = "/data/bikesharing/raw"
 RAW_FILE_NAME = "data.csv"
 STATIONS_FILE_NAME = "Hubway_Stations_2011_2016.csv"
