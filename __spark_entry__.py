@@ -133,6 +133,13 @@ kpi_base as (
 )"""
 
 
+def _mean2(col: str) -> str:
+    """Exact half-up mean of a 2-decimal column via integer cents; 0 or empty -> null."""
+    c = f"cast(round({col} * 100) as bigint)"
+    return (f"case when sum({c}) <> 0 then cast((2 * sum({c}) + count({c})) // (2 * count({c})) as double)"
+            f" / 100e0 end")
+
+
 def _with(*ctes: str) -> str:
     return "with " + ",".join(ctes) + "\n"
 
@@ -214,8 +221,8 @@ select m.year, m.month, m.avg_trip_duration_min, m.avg_trip_distance_km, m.n_tri
        coalesce(p.age_distribution, '') as age_distribution,
        p.top_bikes, p.top_start_stations, p.top_end_stations
 from (
-  select year, month, round(nullif(avg(trip_duration_min), 0), 2) as avg_trip_duration_min,
-         round(nullif(avg(trip_distance_km), 0), 2) as avg_trip_distance_km, count(*) as n_trips
+  select year, month, """ + _mean2("trip_duration_min") + """ as avg_trip_duration_min,
+         """ + _mean2("trip_distance_km") + """ as avg_trip_distance_km, count(*) as n_trips
   from kpi_base group by year, month
 ) m left join (
   select year, month,
@@ -373,10 +380,10 @@ select distinct station_id from (
 where station_id is not null
   and station_id not in (select station_id from station_master)""",
     "kpi_avg_duration": _W_BASE + """
-select year, month, round(nullif(avg(trip_duration_min), 0), 2) as avg_trip_duration_min
+select year, month, """ + _mean2("trip_duration_min") + """ as avg_trip_duration_min
 from kpi_base group by year, month""",
     "kpi_avg_distance": _W_BASE + """
-select year, month, round(nullif(avg(trip_distance_km), 0), 2) as avg_trip_distance_km
+select year, month, """ + _mean2("trip_distance_km") + """ as avg_trip_distance_km
 from kpi_base group by year, month""",
     "kpi_gender_share": _share_sql("gender", "where gender is not null"),
     "kpi_age_share": _share_sql("age_group", "where age_group is not null"),

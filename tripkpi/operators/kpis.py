@@ -3,9 +3,9 @@
 Single KPIs are plain ``groupBy(year, month, key)`` aggregations. The full
 report (`month_counts` / `kpi_report_long` / `kpi_report_wide`) computes all
 of them from ONE scan: a GROUPING SETS aggregation over the six KPI keys plus
-the month itself, partial-aggregated map-side, then two small windows (shares
-and top-k with a window group limit) and one final ``groupBy(year, month)``.
-No per-month driver loop, no collect.
+the month itself, partial-aggregated map-side, then one window stage over the
+aggregated counts (shares and top-k ranks) and one final
+``groupBy(year, month)``. No per-month driver loop, no collect.
 """
 
 from __future__ import annotations
@@ -50,8 +50,17 @@ def kpi_base(clean: DataFrame) -> DataFrame:
 
 
 def _avg_or_null(col: str) -> Column:
-    """Mean rounded to 2 decimals; an empty month or a mean of 0 gives null."""
-    return F.round(F.nullif(F.avg(col), F.lit(0.0)), 2)
+    """Mean of a non-negative 2-decimal column, rounded half-up to 2 decimals.
+
+    The values already carry 2 decimals, so the mean is computed exactly on
+    integer cents: ``(2*sum + n) div (2*n)``. A double ``avg`` would depend on
+    summation order (i.e. on partitioning) and could round a .xx5 tie either
+    way from run to run. An empty month or a mean of 0 gives null.
+    """
+    cents = f"CAST(round(`{col}` * 100) AS BIGINT)"
+    total = F.expr(f"sum({cents})")
+    rounded = F.expr(f"(2 * sum({cents}) + count({cents})) div (2 * count({cents}))")
+    return F.when(total != 0, rounded.cast("double") / F.lit(100.0))
 
 
 # --- A1, A2 -----------------------------------------------------------------
@@ -195,42 +204,43 @@ def month_counts(base: DataFrame, with_month_totals: bool = False) -> DataFrame:
 
 
 def _ranked(counts: DataFrame, k: int) -> DataFrame:
-    """Shares for the share KPIs, top-k for the ranked ones; ``year, month, kpi, key, n, pct, rk``."""
-    per_kpi = [*MONTH, "kpi"]
-    shares = (counts.filter(F.col("kpi").isin(SHARE_KPIS))
-              .withColumn("pct", C.share_pct(F.col("n"), F.sum("n").over(Window.partitionBy(*per_kpi))))
-              .withColumn("rk", F.lit(None).cast("int")))
-    w = Window.partitionBy(*per_kpi).orderBy(F.col("n").desc(), F.col("key").asc_nulls_last())
-    tops = (counts.filter(F.col("kpi").isin(TOPK_KPIS))
-            .withColumn("rk", F.row_number().over(w))
-            .filter(F.col("rk") <= k)
-            .withColumn("pct", F.lit(None).cast("double")))
-    cols = [*MONTH, "kpi", "key", "n", "pct", "rk"]
-    return shares.select(*cols).unionByName(tops.select(*cols))
+    """Shares for the share KPIs, top-k for the ranked ones, in ONE window stage.
+
+    Both windows partition by (year, month, kpi), so Spark shuffles the
+    aggregated counts once and runs the two windows back to back; the input
+    stays a single branch, i.e. one scan of the trips. (A separate top-k
+    branch would get its own partial WindowGroupLimit but also its own scan.)
+    Output: the input columns plus ``pct`` and ``rk``.
+    """
+    per_kpi = Window.partitionBy(*MONTH, "kpi")
+    ranked = per_kpi.orderBy(F.col("n").desc(), F.col("key").asc_nulls_last())
+    is_share = F.col("kpi").isin(SHARE_KPIS)
+    is_top = F.col("kpi").isin(TOPK_KPIS)
+    out = (counts
+           .withColumn("_total", F.sum("n").over(per_kpi))
+           .withColumn("_rk", F.row_number().over(ranked))
+           .filter(~is_top | (F.col("_rk") <= k)))
+    return (out.withColumn("pct", F.when(is_share, C.share_pct(F.col("n"), F.col("_total"))))
+               .withColumn("rk", F.when(is_top, F.col("_rk")))
+               .drop("_total", "_rk"))
 
 
 def kpi_report_long(clean: DataFrame, k: int = S.TOP_K) -> DataFrame:
     """All KPIs of all months as rows ``year, month, kpi, key, n, pct, rk``."""
-    return _ranked(month_counts(kpi_base(clean)), k)
+    return _ranked(month_counts(kpi_base(clean)), k).select(*MONTH, "kpi", "key", "n", "pct", "rk")
 
 
 def kpi_report_wide(clean: DataFrame, k: int = S.TOP_K) -> DataFrame:
     """One row per month: scalars, pivoted shares, ordered age and top-k lists.
 
-    Every month appears (its ``kpi = 'month'`` row is always present), even
-    when one KPI has no rows for it. Lists are ``array<struct>`` in rank order
-    (top-k) or key order (age groups); an empty age list is ``[]``, not null.
+    Plan: one scan -> GROUPING SETS aggregate (incl. the month itself) -> one
+    window stage -> one ``groupBy(year, month)`` with conditional aggregates
+    (pivot and list building in the same aggregation, no joins). Every month
+    appears (its ``kpi = 'month'`` row is always present), even when one KPI
+    has no rows for it. Lists are ``array<struct>`` in rank order (top-k) or
+    key order (age groups); an empty age list is ``[]``, not null.
     """
-    counts = month_counts(kpi_base(clean), with_month_totals=True)
-    months = counts.filter(F.col("kpi") == "month").select(
-        *MONTH, F.lit("month").alias("kpi"), F.lit(None).cast("string").alias("key"),
-        "n", F.lit(None).cast("double").alias("pct"), F.lit(None).cast("int").alias("rk"),
-        "avg_trip_duration_min", "avg_trip_distance_km")
-    ranked = (_ranked(counts.filter(F.col("kpi") != "month").drop(
-                  "avg_trip_duration_min", "avg_trip_distance_km"), k)
-              .withColumn("avg_trip_duration_min", F.lit(None).cast("double"))
-              .withColumn("avg_trip_distance_km", F.lit(None).cast("double")))
-    rows = months.unionByName(ranked)
+    rows = _ranked(month_counts(kpi_base(clean), with_month_totals=True), k)
 
     is_ = lambda name: F.col("kpi") == name
     aggs = [

@@ -1,0 +1,79 @@
+"""Incremental cleaning with Structured Streaming.
+
+The batch jobs rebuild the clean table daily. The same stages also run on a
+streaming DataFrame: new ``<period>/data.csv`` files landing under a base
+folder are picked up once each (the file source keeps a log of seen files in
+the checkpoint), cleaned, and appended to the partitioned clean table through
+the Parquet file sink (exactly-once via its ``_spark_metadata`` log). Every
+operator used is stateless (projections, filters, a stream-static join with
+the station master), so no state store is involved and an executor loss only
+re-runs the affected micro-batch.
+
+Streaming file sources need a fixed schema and bind CSV columns by position;
+``enforceSchema=false`` makes Spark check each new file's header against the
+expected names, so a file with another column order fails the batch instead
+of silently swapping columns.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from tripkpi import schemas as S
+from tripkpi.operators import cleaning
+from tripkpi.plans import layouts
+from tripkpi.sources.csv_layouts import CSV_OPTIONS, _period_regex
+
+
+def _string_schema(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+def read_layout_stream(spark: SparkSession, glob: str, layout: S.Layout, header: list[str],
+                       max_files_per_trigger: int = 1000) -> DataFrame:
+    """Conformed raw stream (+ ``period``, ``source_file``) of one layout.
+
+    ``header`` is the files' column list in file order (the stream's schema).
+    """
+    missing = [c for c in layout.required if c not in header]
+    if missing:
+        raise ValueError(f"header lacks required columns {missing}")
+    raw = (spark.readStream.schema(_string_schema(header)).options(**CSV_OPTIONS)
+           .option("enforceSchema", "false")
+           .option("maxFilesPerTrigger", max_files_per_trigger)
+           .csv(glob))
+    raw = raw.withColumn("source_file", F.col("_metadata.file_path"))
+    raw = raw.withColumn("period", F.regexp_extract("source_file", _period_regex(layout.period_digits), 1))
+    return cleaning.conform_layout(raw, layout, extra=["period", "source_file"]).filter(F.col("period") != "")
+
+
+def clean_new_stream(spark: SparkSession, glob: str, header: list[str]) -> DataFrame:
+    return layouts.clean_new(read_layout_stream(spark, glob, S.NEW_LAYOUT, header)).select(
+        *S.CLEAN_TRIP_COLUMNS)
+
+
+def clean_old_stream(spark: SparkSession, glob: str, header: list[str], stations: DataFrame) -> DataFrame:
+    """Old layout: stream-static left joins with the (batch) station master."""
+    return layouts.clean_old(read_layout_stream(spark, glob, S.OLD_LAYOUT, header), stations).select(
+        *S.CLEAN_TRIP_COLUMNS)
+
+
+def start_clean_sink(clean_stream: DataFrame, output: str, checkpoint: str,
+                     available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+    """Append cleaned trips to the partitioned Parquet table.
+
+    ``available_now`` processes everything that has landed, in bounded
+    micro-batches, and stops (a scheduled run); otherwise the query keeps
+    running with the given processing-time trigger.
+    """
+    writer = (clean_stream.writeStream.format("parquet").outputMode("append")
+              .option("checkpointLocation", checkpoint)
+              .partitionBy(*S.PARTITION_COLUMNS))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start(output)
