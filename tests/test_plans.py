@@ -55,7 +55,7 @@ def test_topk_uses_window_group_limit(spark, clean_path):
 
 def test_clean_pipeline_stays_in_codegen(spark, sf_small):
     df = D.clean_trips(spark, sf_small)
-    df.write.format("noop").mode("overwrite").save()     # AQE: final plan after execution
+    df.collect()                                          # AQE: final plan after execution
     text = formatted(df)
     assert "PythonUDF" not in text and "BatchEvalPython" not in text and "ArrowEvalPython" not in text
     assert "WholeStageCodegen" in text
