@@ -57,18 +57,29 @@ def haversine_m(lat1: Column | str, lon1: Column | str,
     return F.round(c * F.lit(S.EARTH_RADIUS_M), 2)
 
 
+def _unless_marker(raw: Column, *markers: str) -> Column:
+    """Null for the dataset's missing-value markers, the raw value otherwise.
+
+    The markers are tested before any ``try_cast``: a failing string cast
+    takes Spark's exception path, which costs microseconds per row, and '\\N'
+    fills a large share of some columns.
+    """
+    return F.when(~raw.isin(*markers), raw)
+
+
 def birth_year(raw: Column | str) -> Column:
     """Birth year: null, '\\N', '0', junk -> null; keep only 1900..2020.
 
     The double step accepts '1980.0' (ANSI string->int would reject it).
     """
-    year = _c(raw).try_cast("double").try_cast("int")
+    year = _unless_marker(_c(raw).cast("string"), S.NULL_MARKER, S.BIRTH_YEAR_MISSING)
+    year = year.try_cast("double").try_cast("int")
     return F.when(year.between(S.BIRTH_YEAR_MIN, S.BIRTH_YEAR_MAX), year).cast("int")
 
 
 def gender(raw: Column | str) -> Column:
     """Gender code: null, '\\N', junk -> null; any integer kept (no range check)."""
-    return _c(raw).try_cast("int")
+    return _unless_marker(_c(raw).cast("string"), S.NULL_MARKER).try_cast("int")
 
 
 def year_of(ts: Column | str) -> Column:

@@ -35,13 +35,20 @@ NULL_DROPPED_KPIS = ["gender", "age_group"]            # null key is not a group
 
 
 def kpi_base(clean: DataFrame) -> DataFrame:
-    """P13-P16 on clean trips: km, age, age group; only the columns KPIs need."""
+    """P13-P16 on clean trips: km, age, age group; only the columns KPIs need.
+
+    ``dur_cents`` / ``km_cents`` are the 2-decimal values as exact integers,
+    computed once per trip (not per grouping set) for the exact means.
+    """
     age = C.rider_age("year", "birth_year")
+    km = C.distance_km("trip_distance_m")
     return clean.select(
         F.col("year").cast("int").alias("year"),
         F.col("month").cast("int").alias("month"),
         "trip_duration_min",
-        C.distance_km("trip_distance_m").alias("trip_distance_km"),
+        km.alias("trip_distance_km"),
+        _cents(F.col("trip_duration_min")).alias("dur_cents"),
+        _cents(km).alias("km_cents"),
         "gender",
         age.alias("age"),
         C.age_group(age).alias("age_group"),
@@ -49,28 +56,32 @@ def kpi_base(clean: DataFrame) -> DataFrame:
     )
 
 
-def _avg_or_null(col: str) -> Column:
+def _cents(value: Column) -> Column:
+    """A value that carries 2 decimals as an exact integer count of hundredths."""
+    return F.rint(value * 100).cast("bigint")
+
+
+def _avg_or_null(cents_col: str) -> Column:
     """Mean of a non-negative 2-decimal column, rounded half-up to 2 decimals.
 
-    The values already carry 2 decimals, so the mean is computed exactly on
-    integer cents: ``(2*sum + n) div (2*n)``. A double ``avg`` would depend on
-    summation order (i.e. on partitioning) and could round a .xx5 tie either
-    way from run to run. An empty month or a mean of 0 gives null.
+    Works on the column's integer hundredths, so the mean is exact:
+    ``(2*sum + n) div (2*n)``. A double ``avg`` would depend on summation
+    order (i.e. on partitioning) and could round a .xx5 tie either way from
+    run to run. An empty month or a mean of 0 gives null.
     """
-    cents = f"CAST(round(`{col}` * 100) AS BIGINT)"
-    total = F.expr(f"sum({cents})")
-    rounded = F.expr(f"(2 * sum({cents}) + count({cents})) div (2 * count({cents}))")
-    return F.when(total != 0, rounded.cast("double") / F.lit(100.0))
+    c = f"`{cents_col}`"
+    rounded = F.expr(f"(2 * sum({c}) + count({c})) div (2 * count({c}))")
+    return F.when(F.sum(cents_col) != 0, rounded.cast("double") / F.lit(100.0))
 
 
 # --- A1, A2 -----------------------------------------------------------------
 
 def avg_duration(base: DataFrame) -> DataFrame:
-    return base.groupBy(*MONTH).agg(_avg_or_null("trip_duration_min").alias("avg_trip_duration_min"))
+    return base.groupBy(*MONTH).agg(_avg_or_null("dur_cents").alias("avg_trip_duration_min"))
 
 
 def avg_distance(base: DataFrame) -> DataFrame:
-    return base.groupBy(*MONTH).agg(_avg_or_null("trip_distance_km").alias("avg_trip_distance_km"))
+    return base.groupBy(*MONTH).agg(_avg_or_null("km_cents").alias("avg_trip_distance_km"))
 
 
 # --- A3, A4, A5: shares -------------------------------------------------------
@@ -183,8 +194,8 @@ def month_counts(base: DataFrame, with_month_totals: bool = False) -> DataFrame:
         sets.append(list(MONTH))
     aggs = [F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid")]
     if with_month_totals:
-        aggs += [_avg_or_null("trip_duration_min").alias("avg_trip_duration_min"),
-                 _avg_or_null("trip_distance_km").alias("avg_trip_distance_km")]
+        aggs += [_avg_or_null("dur_cents").alias("avg_trip_duration_min"),
+                 _avg_or_null("km_cents").alias("avg_trip_distance_km")]
     grouped = base.groupingSets(sets, *MONTH, *keys).agg(*aggs)
 
     kpi = None
