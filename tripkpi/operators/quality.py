@@ -50,19 +50,28 @@ def validate_trips(df: DataFrame) -> DataFrame:
     return df.filter(is_valid_trip())
 
 
-def reject_reasons(typed: DataFrame) -> DataFrame:
+def reject_reasons(typed: DataFrame, extra: dict[str, Column] | None = None) -> DataFrame:
     """one row per (year, month) of typed, not yet filtered trips.
 
     ``n_<reason>`` counts rows whose conjunct is not true (false or null); a row
-    may count under several reasons. One pass, partial aggregation map-side.
+    may count under several reasons. ``extra`` adds informational counts
+    (``n_<name>`` = rows where the condition is true). One pass, partial
+    aggregation map-side.
     """
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for reason, cond in trip_conditions().items():
         aggs.append(F.count_if(~F.coalesce(cond, F.lit(False))).alias(f"n_{reason}"))
     aggs.append(F.count_if(F.coalesce(is_valid_trip(), F.lit(False))).alias("n_valid"))
+    for name, cond in (extra or {}).items():
+        aggs.append(F.count_if(F.coalesce(cond, F.lit(False))).alias(f"n_{name}"))
     return typed.groupBy("year", "month").agg(*aggs)
 
 
+def period_mismatch() -> Column:
+    """New layout: the trip started outside the month its folder names (informational)."""
+    return ((F.year("trip_start_ts") != F.col("year")) | (F.month("trip_start_ts") != F.col("month")))
+
+
 def trip_counts(clean: DataFrame) -> DataFrame:
     """A10: valid trips per (year, month)."""
     return clean.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_trips"))

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripkpi import schemas as S
 from tripkpi.operators import cleaning
-from tripkpi.operators.quality import reject_reasons
+from tripkpi.operators.quality import period_mismatch, reject_reasons
 from tripkpi.sources import csv_layouts
 from tripkpi.sources.stations import read_station_master
 
@@ -63,9 +64,12 @@ def read_and_clean_old(spark: SparkSession, base: str, stations_path: str | None
 
 
 def quality_new(raw: DataFrame) -> DataFrame:
-    """F6 for the new layout: reject reasons per (year, month) of the folder."""
-    return reject_reasons(typed_new_layout(raw))
+    """F6 for the new layout: reject reasons per (year, month) of the folder,
+    plus ``n_period_mismatch``: trips that started outside their folder's month."""
+    return reject_reasons(typed_new_layout(raw), {"period_mismatch": period_mismatch()})
 
 
 def quality_old(raw: DataFrame, stations: DataFrame) -> DataFrame:
-    return reject_reasons(typed_old_layout(raw, stations))
+    """F6 for the old layout (year/month come from the trip start, so no mismatch)."""
+    return reject_reasons(typed_old_layout(raw, stations)).withColumn(
+        "n_period_mismatch", F.lit(0).cast("bigint"))
