@@ -38,6 +38,12 @@ def _csv_writer(df: DataFrame, mode: str = "overwrite"):
             .option("escape", "\\"))
 
 
+def _per_folder(df: DataFrame, *keys: str) -> DataFrame:
+    """Cluster rows by output folder, like the raw layout's one file per folder
+    (AQE still splits a folder too big for one task)."""
+    return df.hint("rebalance", *keys)
+
+
 def _ts(col: str, fmt: str) -> F.Column:
     return F.date_format(F.col(col), fmt)
 
@@ -99,8 +105,8 @@ def write_new_layout(spark: SparkSession, sf_dir: str) -> str:
     regular = rows.filter(~month.isin(REORDERED_MONTHS))
     reordered = rows.filter(month.isin(REORDERED_MONTHS))
     reordered = reordered.select(*reversed(reordered.columns[:-1]), "period")
-    _csv_writer(regular).partitionBy("period").csv(base)
-    _csv_writer(reordered, "append").partitionBy("period").csv(base)
+    _csv_writer(_per_folder(regular, "period")).partitionBy("period").csv(base)
+    _csv_writer(_per_folder(reordered, "period"), "append").partitionBy("period").csv(base)
     _cache[k] = base
     return base
 
@@ -111,7 +117,8 @@ def write_old_layout(spark: SparkSession, sf_dir: str) -> str:
     if k in _cache:
         return _cache[k]
     base = scratch_path(spark, "raw-old")
-    _csv_writer(old_layout_rows(spark, sf_dir).drop("_month")).partitionBy("period").csv(base)
+    rows = old_layout_rows(spark, sf_dir).drop("_month")
+    _csv_writer(_per_folder(rows, "period")).partitionBy("period").csv(base)
     write_stations(spark, sf_dir, f"{base}/stations")
     _cache[k] = base
     return base
@@ -127,7 +134,7 @@ def write_split_years(spark: SparkSession, sf_dir: str) -> str:
     rows = (rows.withColumn("year", F.col("period"))
                 .withColumn("part", F.when(F.col("_month") <= 6, 1).otherwise(2))
                 .drop("period", "_month"))
-    _csv_writer(rows).partitionBy("year", "part").csv(base)
+    _csv_writer(_per_folder(rows, "year", "part")).partitionBy("year", "part").csv(base)
     _cache[k] = base
     return base
 

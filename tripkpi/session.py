@@ -38,6 +38,13 @@ def get_spark(master: str | None = None, app_name: str = "tripkpi",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if master and master.startswith("local["):
+        # Listing more than 32 paths runs a Spark job with one task per path
+        # (up to 10000). That suits a cluster; on one machine cap it at the
+        # core count.
+        cores = master[len("local["):-1]
+        if cores.isdigit():
+            builder = builder.config("spark.sql.sources.parallelPartitionDiscovery.parallelism", cores)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
