@@ -141,3 +141,12 @@ def test_landing_manifest_and_spine(spark, tmp_path):
     assert (m["hubway_Trips_2011.csv"].layout, m["hubway_Trips_2011.csv"].period) == ("old", "2011")
     spine = month_spine(spark.createDataFrame([(2011,), (2011,)], "year int")).collect()
     assert [r.period for r in sorted(spine, key=lambda r: r.period)] == [f"2011{m:02d}" for m in range(1, 13)]
+
+
+def test_file_without_header_is_an_error(spark, tmp_path):
+    base = str(tmp_path / "nohdr")
+    write(f"{base}/201601/data.csv", NEW_HEADER + "\n" + new_row(600, "2016-01-01 08:00:00",
+                                                               "2016-01-01 08:10:00") + "\n")
+    write(f"{base}/201602/data.csv", new_row(600, "2016-02-01 08:00:00", "2016-02-01 08:10:00") + "\n")
+    with pytest.raises(ValueError, match="without a new-layout header"):
+        CSV.scan_new_layout(spark, base)

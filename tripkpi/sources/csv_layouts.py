@@ -48,16 +48,20 @@ def _parse_header(line: str) -> tuple[str, ...]:
 def discover_headers(spark: SparkSession, glob: str, layout: S.Layout) -> dict[tuple[str, ...], list[str]]:
     """Map each distinct header (column names) to the files that carry it.
 
-    A header line is recognised by containing the layout's duration and start
-    column names. The result is metadata: at most one entry per file per
-    distinct header, never trip rows.
+    A header line is recognised by containing the layout's duration, start and
+    end column names. The result is metadata: at most one entry per file per
+    distinct header, never trip rows. Every file the glob matches must have a
+    header, so no file's rows can drop out silently.
     """
     try:
         lines = spark.read.text(glob)
     except AnalysisException as e:
         raise ValueError(f"no {layout.name}-layout CSV files match {glob}") from e
+    looks_like_header = (F.col("value").contains(layout.duration)
+                         & F.col("value").contains(layout.start)
+                         & F.col("value").contains(layout.end))
     found = (lines
-             .filter(F.col("value").contains(layout.duration) & F.col("value").contains(layout.start))
+             .filter(looks_like_header)
              .select(F.col("_metadata.file_path").alias("file_path"), "value")
              .distinct()
              .collect())
@@ -75,9 +79,22 @@ def discover_headers(spark: SparkSession, glob: str, layout: S.Layout) -> dict[t
         groups[header].append(path)
     if not groups:
         raise ValueError(f"no {layout.name}-layout header found in files matching {glob}")
+    # inputFiles() comes from the file index (listing metadata), not from a job
+    without = sorted(set(_norm_path(f) for f in lines.inputFiles())
+                     - set(_norm_path(f) for f in by_file))
+    if without:
+        raise ValueError(f"{len(without)} file(s) without a {layout.name}-layout header, e.g. {without[:3]}")
     return {h: sorted(p) for h, p in groups.items()}
 
 
+def _norm_path(path: str) -> str:
+    """Compare file URIs and plain paths alike (``file:///a`` == ``file:/a`` == ``/a``)."""
+    for prefix in ("file://", "file:"):
+        if path.startswith(prefix):
+            return path[len(prefix):]
+    return path
+
+
 def _read_csv(spark: SparkSession, paths: str | list[str], enforce: bool = True) -> DataFrame:
     reader = spark.read.options(**CSV_OPTIONS)
     if not enforce:
