@@ -89,3 +89,12 @@ def test_avg_zero_is_null(spark):
     rows = [trip("x")]
     df = spark.createDataFrame(rows, CLEAN_TRIP_SCHEMA).withColumn("trip_distance_m", F.lit(0.0))
     assert K.avg_distance(K.kpi_base(df)).first().avg_trip_distance_km is None
+
+
+def test_gender_pivot_discovers_codes(spark):
+    rows = [trip("a", gender=1), trip("b", gender=7), trip("c", gender=None)]
+    df = spark.createDataFrame(rows, CLEAN_TRIP_SCHEMA)
+    fixed = K.gender_pivot(K.kpi_base(df)).first()
+    found = K.gender_pivot(K.kpi_base(df), discover=True).first()
+    assert (fixed.gender_0_pct, fixed.gender_1_pct, fixed.gender_2_pct) == (None, 50.0, None)
+    assert (found.gender_1_pct, found.gender_7_pct) == (50.0, 50.0)

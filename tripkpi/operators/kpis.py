@@ -154,15 +154,22 @@ def _slot_column(slot: str) -> str:
     return f"timeslot_{start[:2]}_{end[:2]}_pct"
 
 
-def gender_pivot(base: DataFrame, codes: list[int] | None = None) -> DataFrame:
+def gender_pivot(base: DataFrame, codes: list[int] | None = None, discover: bool = False) -> DataFrame:
     """One row per month with a ``gender_<code>_pct`` column per code.
 
-    Explicit pivot values avoid an extra job to discover them; a month with no
-    trip of a code gets null (blank), not 0.
+    Explicit pivot values (0, 1, 2 by default) avoid an extra job to discover
+    them; ``discover=True`` lets Spark find the codes present (one small
+    distinct job, capped by ``spark.sql.pivotMaxValues``), so unexpected codes
+    get their own column as in the source report. A month with no trip of a
+    code gets null (blank), not 0.
     """
-    codes = codes or S.GENDER_CODES
     shares = gender_share(base)
-    wide = shares.groupBy(*MONTH).pivot("gender", codes).agg(F.first("pct"))
+    if discover:
+        wide = shares.groupBy(*MONTH).pivot("gender").agg(F.first("pct"))
+        codes = [c for c in wide.columns if c not in MONTH]
+    else:
+        codes = codes or S.GENDER_CODES
+        wide = shares.groupBy(*MONTH).pivot("gender", codes).agg(F.first("pct"))
     return wide.select(*MONTH, *[F.col(f"`{c}`").alias(f"gender_{c}_pct") for c in codes])
 
 
