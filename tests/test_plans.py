@@ -46,6 +46,12 @@ def test_report_scans_clean_table_once(spark, clean_path):
     assert "trip_start_ts" not in schema and "start_station_id" not in schema
 
 
+def test_long_report_scans_once(spark, clean_path):
+    tree = formatted(K.kpi_report_long(PQ.read_clean_trips(spark, clean_path, validate=False)))
+    tree = tree.split("\n\n")[0]
+    assert tree.count("Scan parquet") == 1 and tree.count("Exchange") <= 2
+
+
 def test_topk_uses_window_group_limit(spark, clean_path):
     base = K.kpi_base(PQ.read_clean_trips(spark, clean_path, validate=False))
     df = K.top_bikes(base)
