@@ -51,16 +51,20 @@ def get_spark(master: str | None = None, app_name: str = "tripkpi",
     return spark
 
 
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer tasks than the cluster has cores.
+def spread_if_narrow(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan that yields fewer tasks than the cluster has cores.
 
     A Parquet row group can't be split, so a small table written as one row
     group scans in one task and everything fused after it (joins, typing)
     runs single-threaded. At scale a fact table has far more row groups than
-    cores and this is a no-op (no extra shuffle).
+    cores and this is a no-op (no extra shuffle). Hash-partitioning on
+    ``keys`` (e.g. the next join key) avoids the per-partition sort that a
+    round-robin repartition needs to stay deterministic on retry.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
