@@ -3,8 +3,8 @@
 Single KPIs are plain ``groupBy(year, month, key)`` aggregations. The full
 report (`month_counts` / `kpi_report_long` / `kpi_report_wide`) computes all
 of them from ONE scan: a GROUPING SETS aggregation over the six KPI keys plus
-the month itself, partial-aggregated map-side, then one window stage over the
-aggregated counts (shares and top-k ranks) and one final
+the month itself, partial-aggregated map-side, then a rank window with a
+partial group limit, a share-total window and one final
 ``groupBy(year, month)``. No per-month driver loop, no collect.
 """
 
@@ -222,25 +222,31 @@ def month_counts(base: DataFrame, with_month_totals: bool = False) -> DataFrame:
 
 
 def _ranked(counts: DataFrame, k: int) -> DataFrame:
-    """Shares for the share KPIs, top-k for the ranked ones, in ONE window stage.
-
-    Both windows partition by (year, month, kpi), so Spark shuffles the
-    aggregated counts once and runs the two windows back to back; the input
-    stays a single branch, i.e. one scan of the trips. (A separate top-k
-    branch would get its own partial WindowGroupLimit but also its own scan.)
+    """Top-k for the ranked KPIs and shares for the share KPIs; one branch, one scan.
+
+    1. Rank window over (year, month, kpi[, key for share KPIs]): every share
+       row sits alone in its partition (rank 1), so the plain ``rk <= k``
+       filter keeps all of them and Spark inserts a partial WindowGroupLimit:
+       at most k rows per (month, ranked KPI) leave each task.
+    2. Share denominators: conditional window sums over (year, month) on the
+       already limited rows. The (year, month) partitioning is reused by a
+       following ``groupBy(year, month)`` without another shuffle.
     Output: the input columns plus ``pct`` and ``rk``.
     """
-    per_kpi = Window.partitionBy(*MONTH, "kpi")
-    ranked = per_kpi.orderBy(F.col("n").desc(), F.col("key").asc_nulls_last())
-    is_share = F.col("kpi").isin(SHARE_KPIS)
-    is_top = F.col("kpi").isin(TOPK_KPIS)
-    out = (counts
-           .withColumn("_total", F.sum("n").over(per_kpi))
-           .withColumn("_rk", F.row_number().over(ranked))
-           .filter(~is_top | (F.col("_rk") <= k)))
-    return (out.withColumn("pct", F.when(is_share, C.share_pct(F.col("n"), F.col("_total"))))
-               .withColumn("rk", F.when(is_top, F.col("_rk")))
-               .drop("_total", "_rk"))
+    kpi, n = F.col("kpi"), F.col("n")
+    is_share = kpi.isin(SHARE_KPIS)
+    is_top = kpi.isin(TOPK_KPIS)
+    rank_w = (Window.partitionBy(*MONTH, "kpi", F.when(is_share, F.col("key")))
+              .orderBy(n.desc(), F.col("key").asc_nulls_last()))
+    kept = counts.withColumn("_rk", F.row_number().over(rank_w)).filter(F.col("_rk") <= k)
+    month_w = Window.partitionBy(*MONTH)
+    total = None
+    for name in SHARE_KPIS:
+        t = F.sum(F.when(kpi == name, n)).over(month_w)
+        total = F.when(kpi == name, t) if total is None else total.when(kpi == name, t)
+    return (kept.withColumn("pct", F.when(is_share, C.share_pct(n, total)))
+                .withColumn("rk", F.when(is_top, F.col("_rk")))
+                .drop("_rk"))
 
 
 def kpi_report_long(clean: DataFrame, k: int = S.TOP_K) -> DataFrame:
@@ -251,9 +257,10 @@ def kpi_report_long(clean: DataFrame, k: int = S.TOP_K) -> DataFrame:
 def kpi_report_wide(clean: DataFrame, k: int = S.TOP_K) -> DataFrame:
     """One row per month: scalars, pivoted shares, ordered age and top-k lists.
 
-    Plan: one scan -> GROUPING SETS aggregate (incl. the month itself) -> one
-    window stage -> one ``groupBy(year, month)`` with conditional aggregates
-    (pivot and list building in the same aggregation, no joins). Every month
+    Plan: one scan -> GROUPING SETS aggregate (incl. the month itself) ->
+    limited rank window -> share totals -> one ``groupBy(year, month)`` with
+    conditional aggregates (pivot and list building in the same aggregation,
+    no joins). Every month
     appears (its ``kpi = 'month'`` row is always present), even when one KPI
     has no rows for it. Lists are ``array<struct>`` in rank order (top-k) or
     key order (age groups); an empty age list is ``[]``, not null.
