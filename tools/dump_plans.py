@@ -53,8 +53,9 @@ def main() -> int:
     clean = parquet.read_clean_trips(spark, clean_path, validate=False)
     cases = [
         ("KPI report (wide), from the partitioned clean table",
-         "One scan reading 8 columns, GROUPING SETS (Expand + partial aggregate), one window "
-         "stage, one final aggregate. No joins.",
+         "One scan reading 8 columns, GROUPING SETS (Expand + partial aggregate), rank window "
+         "behind a partial WindowGroupLimit, share totals, final aggregate on the reused "
+         "(year, month) partitioning. No joins.",
          kpis.kpi_report_wide(clean), False),
         ("KPI report (long), from the partitioned clean table", "Same shape without the final pivot.",
          kpis.kpi_report_long(clean), False),
