@@ -56,27 +56,27 @@ def main() -> int:
          "One scan reading 8 columns, GROUPING SETS (Expand + partial aggregate), rank window "
          "behind a partial WindowGroupLimit, share totals, final aggregate on the reused "
          "(year, month) partitioning. No joins.",
-         kpis.kpi_report_wide(clean), False),
+         kpis.kpi_report_wide(clean)),
         ("KPI report (long), from the partitioned clean table", "Same shape without the final pivot.",
-         kpis.kpi_report_long(clean), False),
+         kpis.kpi_report_long(clean)),
         ("Top-k bikes (single KPI)", "Partial WindowGroupLimit before the shuffle.",
-         kpis.top_bikes(kpis.kpi_base(clean)), True),
+         kpis.top_bikes(kpis.kpi_base(clean))),
         ("Month slice", "PartitionFilters prune to one year=/month= folder.",
-         parquet.read_month(spark, clean_path, 1996, 3), True),
+         parquet.read_month(spark, clean_path, 1996, 3)),
         ("Clean trips from the benchmark tables",
          "lineitem JOIN orders, then two left joins to the size-checked broadcast station master; "
          "one codegen stage after the joins.",
-         QUERIES["clean_trips"](spark, sf), False),
+         QUERIES["clean_trips"](spark, sf)),
         ("Clean trips from new-layout CSV", "One CSV read per distinct header, union by name.",
-         QUERIES["clean_new_layout"](spark, sf), False),
+         QUERIES["clean_new_layout"](spark, sf)),
         ("Unmatched stations", "Distinct ids with partial aggregation, then a left-anti join.",
-         QUERIES["unmatched_stations"](spark, sf), True),
+         QUERIES["unmatched_stations"](spark, sf)),
         ("Reject reasons", "One pass, count_if per conjunct, partial aggregation.",
-         QUERIES["reject_reasons"](spark, sf), True),
+         QUERIES["reject_reasons"](spark, sf)),
     ]
     out = [f"# Physical plans (final adaptive plans, {os.path.basename(sf)}, local[8])\n",
            "Generated by `tools/dump_plans.py`. `*` marks whole-stage-codegen operators.\n"]
-    for title, note, df, _small in cases:
+    for title, note, df in cases:
         df.collect()                    # run this DataFrame itself, so AQE's final plan is shown
         out.append(f"## {title}\n\n{note}\n\n```\n{final_plan(df)}\n```\n")
     with open(args.out, "w") as f:

@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 
 from tripkpi import schemas as S
 
+__all__ = [
+    "duration_minutes", "parse_timestamp", "time_slot", "haversine_m", "birth_year", "gender",
+    "year_of", "month_of", "period_year", "period_month", "distance_km", "rider_age",
+    "age_group", "year_month_label", "share_pct",
+]
+
 
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
