@@ -27,15 +27,16 @@ from tripkpi.sources.parquet import read_clean_trips
 from tripkpi.sources.stations import read_station_master
 
 
-def clean_new_job(spark: SparkSession, base: str, output: str) -> None:
+def clean_new_job(spark: SparkSession, base: str, output: str, headers_known: bool = False) -> None:
     """New-layout CSV folders -> partitioned clean table."""
-    write_clean_trips(layouts.read_and_clean_new(spark, base), output)
+    write_clean_trips(layouts.read_and_clean_new(spark, base, headers_known=headers_known), output)
 
 
 def clean_old_job(spark: SparkSession, base: str, output: str, stations_path: str | None = None,
-                  dedupe: bool = False) -> None:
+                  dedupe: bool = False, headers_known: bool = False) -> None:
     """Old-layout CSV folders + station master -> partitioned clean table."""
-    write_clean_trips(layouts.read_and_clean_old(spark, base, stations_path, dedupe), output)
+    write_clean_trips(layouts.read_and_clean_old(spark, base, stations_path, dedupe,
+                                                 headers_known=headers_known), output)
 
 
 def kpi_job(spark: SparkSession, input_path: str, output: str, fmt: str = "parquet") -> DataFrame:
@@ -47,12 +48,12 @@ def kpi_job(spark: SparkSession, input_path: str, output: str, fmt: str = "parqu
 
 def build_all(spark: SparkSession, new_base: str, old_base: str, clean_path: str, kpi_path: str,
               stations_path: str | None = None, quality_path: str | None = None,
-              fmt: str = "parquet") -> None:
+              fmt: str = "parquet", headers_known: bool = False) -> None:
     """Both layouts -> one clean table -> KPI report, in one application."""
     stations_path = stations_path or f"{old_base.rstrip('/')}/{S.STATIONS_FILE_NAME}"
     stations = read_station_master(spark, stations_path)
-    raw_new = csv_layouts.scan_new_layout(spark, new_base)
-    raw_old = csv_layouts.scan_old_layout(spark, old_base)
+    raw_new = csv_layouts.scan_new_layout(spark, new_base, headers_known=headers_known)
+    raw_old = csv_layouts.scan_old_layout(spark, old_base, headers_known=headers_known)
     clean = layouts.unify(layouts.clean_new(raw_new), layouts.clean_old(raw_old, stations))
     write_clean_trips(clean, clean_path)
     if quality_path:
@@ -84,19 +85,23 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--kpi-path", required=True)
     d.add_argument("--quality-path")
     d.add_argument("--format", default="parquet", choices=["parquet", "json"])
+    for p in (a, b, d):
+        p.add_argument("--headers-known", action="store_true",
+                       help="skip header discovery: all files share one header (checked per file)")
     args = ap.parse_args(argv)
 
     from tripkpi.session import get_spark
     spark = get_spark(app_name=f"tripkpi-{args.cmd}")
     if args.cmd == "clean-new":
-        clean_new_job(spark, args.base_path, args.output_path)
+        clean_new_job(spark, args.base_path, args.output_path, args.headers_known)
     elif args.cmd == "clean-old":
-        clean_old_job(spark, args.base_path, args.output_path, args.stations_path, args.dedupe_stations)
+        clean_old_job(spark, args.base_path, args.output_path, args.stations_path, args.dedupe_stations,
+                      args.headers_known)
     elif args.cmd == "kpis":
         kpi_job(spark, args.input_path, args.output_path, args.format)
     else:
         build_all(spark, args.new_base, args.old_base, args.clean_path, args.kpi_path,
-                  args.stations_path, args.quality_path, args.format)
+                  args.stations_path, args.quality_path, args.format, args.headers_known)
     spark.stop()
     return 0
 

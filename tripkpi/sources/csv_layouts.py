@@ -120,7 +120,12 @@ def scan_layout(spark: SparkSession, glob: str, layout: S.Layout, period_regex:
             raise ValueError(f"files at {glob} are missing required columns {missing}")
     else:
         groups = discover_headers(spark, glob, layout)
-        frames = [_read_csv(spark, paths) for paths in groups.values()]
+        if len(groups) == 1:
+            # the common case: one header everywhere -> read by the glob, not
+            # by a list of (possibly thousands of) file paths
+            frames = [_read_csv(spark, glob)]
+        else:
+            frames = [_read_csv(spark, paths) for paths in groups.values()]
     conformed = []
     for df in frames:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
