@@ -150,3 +150,13 @@ def test_file_without_header_is_an_error(spark, tmp_path):
     write(f"{base}/201602/data.csv", new_row(600, "2016-02-01 08:00:00", "2016-02-01 08:10:00") + "\n")
     with pytest.raises(ValueError, match="without a new-layout header"):
         CSV.scan_new_layout(spark, base)
+
+
+def test_headers_known_single_pass_on_uniform_files(spark, tmp_path):
+    base = str(tmp_path / "uniform")
+    for m in ("201601", "201602"):
+        write(f"{base}/{m}/data.csv", NEW_HEADER + "\n" + new_row(600, f"{m[:4]}-{m[4:]}-01 08:00:00",
+                                                                   f"{m[:4]}-{m[4:]}-01 08:10:00") + "\n")
+    fast = L.clean_new(CSV.scan_new_layout(spark, base, headers_known=True))
+    slow = L.clean_new(CSV.scan_new_layout(spark, base))
+    assert fast.count() == 2 and fast.exceptAll(slow).count() == 0

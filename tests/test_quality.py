@@ -81,3 +81,26 @@ def test_required_columns_check(spark):
     empty = spark.createDataFrame([], CLEAN_TRIP_SCHEMA)
     with pytest.raises(ValueError, match="empty"):
         Q.check_required_columns(empty)
+
+
+def test_station_join_falls_back_above_broadcast_bound(spark):
+    st = spark.createDataFrame([(str(i), 42.0 + i / 1000, -71.0) for i in range(50)],
+                               "station_id string, latitude double, longitude double")
+    trips = spark.createDataFrame([(str(i % 60), str((i * 7) % 50)) for i in range(200)],
+                                  "start_station_id string, end_station_id string")
+    small = join_station_coordinates(trips, st)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = join_station_coordinates(trips, st, broadcast_max_rows=10)   # 50 rows > bound
+        rows = big.collect()
+        import contextlib
+        import io
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            big.explain()
+        assert "SortMergeJoin" in buf.getvalue() and "BroadcastHashJoin" not in buf.getvalue()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    key = lambda r: (r.start_station_id, r.end_station_id, r.start_latitude, r.end_latitude)
+    assert sorted(rows, key=key) == sorted(small.collect(), key=key)
