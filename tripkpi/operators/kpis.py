@@ -10,8 +10,6 @@ partial group limit, a share-total window and one final
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -260,10 +258,11 @@ def kpi_report_wide(clean: DataFrame, k: int = S.TOP_K) -> DataFrame:
     Plan: one scan -> GROUPING SETS aggregate (incl. the month itself) ->
     limited rank window -> share totals -> one ``groupBy(year, month)`` with
     conditional aggregates (pivot and list building in the same aggregation,
-    no joins). Every month
-    appears (its ``kpi = 'month'`` row is always present), even when one KPI
-    has no rows for it. Lists are ``array<struct>`` in rank order (top-k) or
-    key order (age groups); an empty age list is ``[]``, not null.
+    no joins). Every month appears (its ``kpi = 'month'`` row is always
+    present), even when one KPI has no rows for it. Lists are
+    ``array<struct>`` in rank order (top-k) or key order (age groups); an
+    empty age list is ``[]``, not null. Gender columns are the codes 0, 1, 2;
+    ``gender_pivot(discover=True)`` lists any other code found.
     """
     rows = _ranked(month_counts(kpi_base(clean), with_month_totals=True), k)
 
@@ -322,7 +321,3 @@ def kpi_report_wide_text(clean: DataFrame, k: int = S.TOP_K) -> DataFrame:
         render_pairs("top_start_stations", "key", "n").alias("top_start_stations"),
         render_pairs("top_end_stations", "key", "n").alias("top_end_stations"),
     )
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
