@@ -11,42 +11,52 @@ from pyspark.sql import DataFrame, SparkSession
 
 def get_spark(master: str | None = None, app_name: str = "tripkpi",
               shuffle_partitions: int | None = None) -> SparkSession:
-    """Session with UTC wall clock, ANSI left on, AQE (coalesce + skew join) on.
+    """Session for the library's jobs, tests and bench.
 
-    On a cluster pass ``master=None`` and let spark-submit decide; the
-    options below are only defaults and never override what the cluster set.
+    Nothing the cluster configured is overridden: on a cluster (``master`` is
+    None, spark-submit decides) only runtime SQL settings that are still
+    unset get a default (UTC session zone, AQE with partition coalescing and
+    skew-join splitting). JVM, UI and file-listing settings, and a small
+    shuffle-partition count, are applied only to a local ``local[N]``
+    session started here (tests, bench).
     """
     builder = SparkSession.builder.appName(app_name)
+    local = bool(master) and master.startswith("local")
     if master:
         builder = builder.master(master)
-    parts = shuffle_partitions or int(os.environ.get("TRIPKPI_SHUFFLE_PARTITIONS", "8"))
-    # The cleaning stage fuses three joins and ~40 expressions into one
-    # whole-stage-codegen method; HotSpot skips JIT for methods over 8 KB, so
-    # let it compile them (2-3x on that stage). Only takes effect when this
-    # builder starts the JVM / executors.
-    jit = "-XX:-DontCompileHugeMethods"
-    builder = (
-        builder
-        .config("spark.driver.extraJavaOptions", jit)
-        .config("spark.executor.extraJavaOptions", jit)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-    )
-    if master and master.startswith("local["):
-        # Listing more than 32 paths runs a Spark job with one task per path
-        # (up to 10000). That suits a cluster; on one machine cap it at the
-        # core count.
-        cores = master[len("local["):-1]
+    if local:
+        # The cleaning stage fuses three joins and ~40 expressions into one
+        # whole-stage-codegen method; HotSpot skips JIT for methods over 8 KB,
+        # so let it compile them (2-3x on that stage). On a cluster, add the
+        # flag to spark.executor.extraJavaOptions in the job's configuration.
+        jit = "-XX:-DontCompileHugeMethods"
+        builder = (builder
+                   .config("spark.driver.extraJavaOptions", jit)
+                   .config("spark.executor.extraJavaOptions", jit)
+                   .config("spark.ui.enabled", "false")
+                   .config("spark.ui.showConsoleProgress", "false"))
+        cores = master[len("local["):-1] if master.startswith("local[") else ""
         if cores.isdigit():
+            # Listing more than 32 paths runs a Spark job with one task per
+            # path (up to 10000). That suits a cluster; locally cap it.
             builder = builder.config("spark.sql.sources.parallelPartitionDiscovery.parallelism", cores)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+
+    defaults = {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }
+    if shuffle_partitions or local:
+        defaults["spark.sql.shuffle.partitions"] = str(
+            shuffle_partitions or int(os.environ.get("TRIPKPI_SHUFFLE_PARTITIONS", "8")))
+    configured = spark.sparkContext.getConf()
+    for key, value in defaults.items():
+        if not configured.contains(key) or (key == "spark.sql.shuffle.partitions" and shuffle_partitions):
+            spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     return spark
 
