@@ -64,6 +64,7 @@ def build_all(spark: SparkSession, new_base: str, old_base: str, clean_path: str
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="tripkpi")
+    ap.add_argument("--master", help="e.g. local[8]; omit under spark-submit")
     sub = ap.add_subparsers(dest="cmd", required=True)
     a = sub.add_parser("clean-new")
     a.add_argument("--base-path", required=True)
@@ -91,7 +92,7 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
 
     from tripkpi.session import get_spark
-    spark = get_spark(app_name=f"tripkpi-{args.cmd}")
+    spark = get_spark(args.master, app_name=f"tripkpi-{args.cmd}")
     if args.cmd == "clean-new":
         clean_new_job(spark, args.base_path, args.output_path, args.headers_known)
     elif args.cmd == "clean-old":
