@@ -51,3 +51,27 @@ def test_build_all(spark, tmp_path):
     q = spark.read.parquet(quality)
     row = q.filter((F.col("year") == 2016) & (F.col("month") == 1)).first()
     assert (row.n_rows, row.n_bad_duration, row.n_valid, row.n_period_mismatch) == (3, 1, 2, 0)
+
+
+def test_cli_build_all_subprocess(spark, tmp_path):
+    """The spark-submit entry point, run as its own process (local master, UI off)."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    new, old = str(tmp_path / "new"), str(tmp_path / "old")
+    write(f"{new}/201601/data.csv", [
+        NEW_HEADER,
+        "600,2016-01-01 08:00:00,2016-01-01 08:10:00,1,A,42.35,-71.06,2,B,42.36,-71.09,b1,S,1980,1",
+    ])
+    write(f"{old}/2015/data.csv", [OLD_HEADER, "1,600000,12/31/2015 23:00,1,A,12/31/2015 23:10,2,B,B9,R,0"])
+    write(f"{old}/Hubway_Stations_2011_2016.csv",
+          ["Station ID,Station,Latitude,Longitude", "1,A,42.35,-71.06", "2,B,42.36,-71.09"])
+    clean, kpi = str(tmp_path / "clean"), str(tmp_path / "kpi")
+    env = dict(os.environ, PYTHONPATH=root)
+    proc = subprocess.run([sys.executable, "-m", "tripkpi.plans.jobs", "--master", "local[2]", "build-all",
+                           "--new-base", new, "--old-base", old, "--clean-path", clean,
+                           "--kpi-path", kpi, "--format", "json", "--headers-known"],
+                          cwd=root, env=env, capture_output=True, text=True, timeout=600)
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    assert read_clean_trips(spark, clean).count() == 2
+    assert read_kpi_report(spark, kpi, fmt="json").count() == 2
