@@ -70,8 +70,24 @@ def test_cli_build_all_subprocess(spark, tmp_path):
     env = dict(os.environ, PYTHONPATH=root)
     proc = subprocess.run([sys.executable, "-m", "tripkpi.plans.jobs", "--master", "local[2]", "build-all",
                            "--new-base", new, "--old-base", old, "--clean-path", clean,
-                           "--kpi-path", kpi, "--format", "json", "--headers-known"],
+                           "--kpi-path", kpi, "--format", "json", "--headers", "known"],
                           cwd=root, env=env, capture_output=True, text=True, timeout=600)
     assert proc.returncode == 0, proc.stderr[-2000:]
     assert read_clean_trips(spark, clean).count() == 2
     assert read_kpi_report(spark, kpi, fmt="json").count() == 2
+
+
+def test_auto_headers_fall_back_on_reordered_columns(spark, tmp_path):
+    new = str(tmp_path / "new")
+    cols = NEW_HEADER.split(",")
+    row = "600,2016-01-01 08:00:00,2016-01-01 08:10:00,1,A,42.35,-71.06,2,B,42.36,-71.09,b1,S,1980,1"
+    write(f"{new}/201601/data.csv", [NEW_HEADER, row])
+    vals = dict(zip(cols, row.replace("2016-01-01", "2016-02-01").replace("b1", "b2").split(",")))
+    write(f"{new}/201602/data.csv", [",".join(reversed(cols)), ",".join(vals[c] for c in reversed(cols))])
+    out = str(tmp_path / "clean")
+    jobs.clean_new_job(spark, new, out)                       # auto: fails once, then discovers
+    got = {r.bike_id: r for r in read_clean_trips(spark, out).collect()}
+    assert set(got) == {"b1", "b2"} and got["b2"].month == 2 and got["b2"].start_station_id == "1"
+    import pytest
+    with pytest.raises(Exception, match="header"):
+        jobs.clean_new_job(spark, new, str(tmp_path / "clean2"), headers="known")

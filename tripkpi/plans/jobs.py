@@ -9,6 +9,12 @@
 Each job is one Spark application whose plan reads every input once per
 action. ``build-all`` unions both layouts before a single dynamic-overwrite
 write, so a month present in both layouts keeps the rows of both.
+
+``--headers auto`` (default) reads the raw CSV in one pass, with Spark
+checking every file's header against the expected one; only if some file's
+columns come in another order (the write fails and commits nothing) is the
+job redone with per-file header discovery. ``known`` never falls back,
+``discover`` always discovers first.
 """
 
 from __future__ import annotations
@@ -16,6 +22,8 @@ from __future__ import annotations
 import argparse
 import sys
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tripkpi import schemas as S
@@ -27,16 +35,35 @@ from tripkpi.sources.parquet import read_clean_trips
 from tripkpi.sources.stations import read_station_master
 
 
-def clean_new_job(spark: SparkSession, base: str, output: str, headers_known: bool = False) -> None:
+HEADER_MISMATCH = "CSV header does not conform to the schema"
+HEADER_MODES = ("auto", "known", "discover")
+
+
+def run_with_headers(mode: str, job: Callable[[bool], None]) -> None:
+    """Run ``job(headers_known)`` under a header mode (see module doc)."""
+    if mode not in HEADER_MODES:
+        raise ValueError(f"headers must be one of {HEADER_MODES}")
+    if mode == "discover":
+        return job(False)
+    try:
+        job(True)
+    except Exception as e:  # Py4J wraps the Spark error; match on its message
+        if mode == "known" or HEADER_MISMATCH not in str(e):
+            raise
+        job(False)
+
+
+def clean_new_job(spark: SparkSession, base: str, output: str, headers: str = "auto") -> None:
     """New-layout CSV folders -> partitioned clean table."""
-    write_clean_trips(layouts.read_and_clean_new(spark, base, headers_known=headers_known), output)
+    run_with_headers(headers, lambda known: write_clean_trips(
+        layouts.read_and_clean_new(spark, base, headers_known=known), output))
 
 
 def clean_old_job(spark: SparkSession, base: str, output: str, stations_path: str | None = None,
-                  dedupe: bool = False, headers_known: bool = False) -> None:
+                  dedupe: bool = False, headers: str = "auto") -> None:
     """Old-layout CSV folders + station master -> partitioned clean table."""
-    write_clean_trips(layouts.read_and_clean_old(spark, base, stations_path, dedupe,
-                                                 headers_known=headers_known), output)
+    run_with_headers(headers, lambda known: write_clean_trips(
+        layouts.read_and_clean_old(spark, base, stations_path, dedupe, headers_known=known), output))
 
 
 def kpi_job(spark: SparkSession, input_path: str, output: str, fmt: str = "parquet") -> DataFrame:
@@ -48,17 +75,21 @@ def kpi_job(spark: SparkSession, input_path: str, output: str, fmt: str = "parqu
 
 def build_all(spark: SparkSession, new_base: str, old_base: str, clean_path: str, kpi_path: str,
               stations_path: str | None = None, quality_path: str | None = None,
-              fmt: str = "parquet", headers_known: bool = False) -> None:
+              fmt: str = "parquet", headers: str = "auto") -> None:
     """Both layouts -> one clean table -> KPI report, in one application."""
     stations_path = stations_path or f"{old_base.rstrip('/')}/{S.STATIONS_FILE_NAME}"
     stations = read_station_master(spark, stations_path)
-    raw_new = csv_layouts.scan_new_layout(spark, new_base, headers_known=headers_known)
-    raw_old = csv_layouts.scan_old_layout(spark, old_base, headers_known=headers_known)
-    clean = layouts.unify(layouts.clean_new(raw_new), layouts.clean_old(raw_old, stations))
-    write_clean_trips(clean, clean_path)
-    if quality_path:
-        q = layouts.quality_new(raw_new).unionByName(layouts.quality_old(raw_old, stations))
-        q.write.mode("overwrite").parquet(quality_path)
+
+    def clean_and_quality(known: bool) -> None:
+        raw_new = csv_layouts.scan_new_layout(spark, new_base, headers_known=known)
+        raw_old = csv_layouts.scan_old_layout(spark, old_base, headers_known=known)
+        clean = layouts.unify(layouts.clean_new(raw_new), layouts.clean_old(raw_old, stations))
+        write_clean_trips(clean, clean_path)
+        if quality_path:
+            q = layouts.quality_new(raw_new).unionByName(layouts.quality_old(raw_old, stations))
+            q.write.mode("overwrite").parquet(quality_path)
+
+    run_with_headers(headers, clean_and_quality)
     kpi_job(spark, clean_path, kpi_path, fmt)
 
 
@@ -87,22 +118,22 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--quality-path")
     d.add_argument("--format", default="parquet", choices=["parquet", "json"])
     for p in (a, b, d):
-        p.add_argument("--headers-known", action="store_true",
-                       help="skip header discovery: all files share one header (checked per file)")
+        p.add_argument("--headers", default="auto", choices=HEADER_MODES,
+                       help="raw CSV header handling (default: one pass, discovery only on mismatch)")
     args = ap.parse_args(argv)
 
     from tripkpi.session import get_spark
     spark = get_spark(args.master, app_name=f"tripkpi-{args.cmd}")
     if args.cmd == "clean-new":
-        clean_new_job(spark, args.base_path, args.output_path, args.headers_known)
+        clean_new_job(spark, args.base_path, args.output_path, args.headers)
     elif args.cmd == "clean-old":
         clean_old_job(spark, args.base_path, args.output_path, args.stations_path, args.dedupe_stations,
-                      args.headers_known)
+                      args.headers)
     elif args.cmd == "kpis":
         kpi_job(spark, args.input_path, args.output_path, args.format)
     else:
         build_all(spark, args.new_base, args.old_base, args.clean_path, args.kpi_path,
-                  args.stations_path, args.quality_path, args.format, args.headers_known)
+                  args.stations_path, args.quality_path, args.format, args.headers)
     spark.stop()
     return 0
 
