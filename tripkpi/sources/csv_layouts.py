@@ -152,7 +152,7 @@ def scan_old_layout(spark: SparkSession, base: str, folder_glob: str | None = No
 
 
 def scan_split_years(spark: SparkSession, landing_glob: str,
-                     year_regex: str = r"hubway_Trips_([0-9]{4})_[^/]*\.csv$") -> DataFrame:
+                     year_regex: str = S.LANDING_SPLIT_PATTERN) -> DataFrame:
     """Old-layout files split into parts of one year, read as one year each.
 
     Replaces concatenating the parts on disk: every part keeps its own header
