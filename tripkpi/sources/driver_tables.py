@@ -7,8 +7,11 @@ times, negative / short / long durations, out-of-range and duplicate stations,
 unmatched station ids, '\\N' and '0' markers. The view is what the CSV
 fixtures are rendered from, and what the oracle SQL derives independently.
 
-The derivation is plain column arithmetic plus one equi-join on the order key
-(a sort-merge join of the two largest tables, shuffled on ``l_orderkey``).
+The derivation is plain column arithmetic plus one equi-join on the order key.
+No hint: Spark broadcasts ``orders`` only while its size is under
+``autoBroadcastJoinThreshold`` (sf0.1); at scale it is a sort-merge join of
+the two largest tables, both shuffled on the order key (a unique key on the
+orders side, at most seven line items per order, so no skew).
 """
 
 from __future__ import annotations
