@@ -1,6 +1,7 @@
 """KPI operators: one-pass report vs single KPIs, properties, edge months."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,3 +99,24 @@ def test_gender_pivot_discovers_codes(spark):
     found = K.gender_pivot(K.kpi_base(df), discover=True).first()
     assert (fixed.gender_0_pct, fixed.gender_1_pct, fixed.gender_2_pct) == (None, 50.0, None)
     assert (found.gender_1_pct, found.gender_7_pct) == (50.0, 50.0)
+
+
+def test_hot_key_is_preaggregated_and_exact(spark):
+    """One bike and one station hold a third of all trips: counts stay exact and
+    the hot key is combined map-side before any shuffle."""
+    import contextlib
+    import io
+    rows = [trip(f"b{i % 200}", start_name=f"S{i % 50}") for i in range(1200)]
+    rows += [trip("hot", start_name="HOT") for _ in range(600)]
+    df = spark.createDataFrame(rows, CLEAN_TRIP_SCHEMA).repartition(6)
+    wide = K.kpi_report_wide(df)
+    r = wide.first()
+    assert (r.top_bikes[0].key, r.top_bikes[0].n) == ("hot", 600)
+    assert (r.top_start_stations[0].key, r.top_start_stations[0].n) == ("HOT", 600)
+    assert r.n_trips == 1800 and len(r.top_bikes) == 10
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        wide.explain()
+    plan = buf.getvalue()
+    # the first aggregate below the first exchange is the partial one
+    assert re.search(r"HashAggregate\(keys=\[.*spark_grouping_id.*functions=\[partial_count", plan)
