@@ -22,3 +22,20 @@ def test_stream_equals_batch(spark, sf_small):
                                             file_glob=X.CSV_FILE_GLOB)).filter("month <= 10")
     assert got.count() == batch.count() > 0
     assert got.select(*S.CLEAN_TRIP_COLUMNS).exceptAll(batch.select(*S.CLEAN_TRIP_COLUMNS)).count() == 0
+
+
+def test_old_layout_stream_with_static_stations(spark, sf_small):
+    from tripkpi.sources.stations import read_station_master
+    from tripkpi.streaming.incremental import clean_old_stream
+    base = X.write_old_layout(spark, sf_small)
+    glob = f"{base}/{X.OLD_FOLDER_GLOB}/{X.CSV_FILE_GLOB}"
+    header = [c for c in X.old_layout_rows(spark, sf_small).columns if c not in ("period", "_month")]
+    stations = read_station_master(spark, f"{base}/stations")
+    out, ckpt = scratch_path(spark, "stream-old"), scratch_path(spark, "stream-old-ckpt")
+    q = start_clean_sink(clean_old_stream(spark, glob, header, stations), out, ckpt)
+    q.awaitTermination(300)
+    got = read_clean_trips(spark, out).select(*S.CLEAN_TRIP_COLUMNS)
+    batch = L.clean_old(CSV.scan_old_layout(spark, base, folder_glob=X.OLD_FOLDER_GLOB,
+                                            file_glob=X.CSV_FILE_GLOB), stations).select(*S.CLEAN_TRIP_COLUMNS)
+    assert got.count() == batch.count() > 0
+    assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
