@@ -36,8 +36,8 @@ def test_build_all(spark, tmp_path):
     ])
     write(f"{old}/Hubway_Stations_2011_2016.csv",
           ["Station ID,Station,Latitude,Longitude", "1,A,42.35,-71.06", "2,B,42.36,-71.09"])
-    clean, kpi, quality = (str(tmp_path / n) for n in ("clean", "kpi", "quality"))
-    jobs.build_all(spark, new, old, clean, kpi, quality_path=quality)
+    clean, kpi, quality, files = (str(tmp_path / n) for n in ("clean", "kpi", "quality", "files"))
+    jobs.build_all(spark, new, old, clean, kpi, quality_path=quality, file_counts_path=files)
 
     trips = read_clean_trips(spark, clean)
     assert trips.count() == 4
@@ -51,6 +51,8 @@ def test_build_all(spark, tmp_path):
     q = spark.read.parquet(quality)
     row = q.filter((F.col("year") == 2016) & (F.col("month") == 1)).first()
     assert (row.n_rows, row.n_bad_duration, row.n_valid, row.n_period_mismatch) == (3, 1, 2, 0)
+    per_file = {r.source_file.split("/")[-2]: (r.n_rows, r.n_valid) for r in spark.read.parquet(files).collect()}
+    assert per_file == {"201601": (3, 2), "2015": (2, 2)}
 
 
 def test_cli_build_all_subprocess(spark, tmp_path):

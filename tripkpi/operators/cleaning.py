@@ -63,8 +63,10 @@ def add_temporal(df: DataFrame, divisor: float, ts_format: str | None,
     return df.withColumn("time_slot", C.time_slot("trip_start_ts"))
 
 
-def to_clean_contract(df: DataFrame, keep_birth_year: bool = True) -> DataFrame:
-    """P8 distance, P9/P10 birth year, P11 gender, then the 14-column select."""
+def to_clean_contract(df: DataFrame, keep_birth_year: bool = True,
+                      passthrough: list[str] | None = None) -> DataFrame:
+    """P8 distance, P9/P10 birth year, P11 gender, then the 14-column select
+    (plus any ``passthrough`` columns, e.g. ``source_file`` for per-file counts)."""
     return df.select(
         F.col("trip_duration_min").cast("double").alias("trip_duration_min"),
         F.col("trip_start_ts"),
@@ -81,6 +83,7 @@ def to_clean_contract(df: DataFrame, keep_birth_year: bool = True) -> DataFrame:
         F.col("time_slot"),
         F.col("year").cast("int").alias("year"),
         F.col("month").cast("int").alias("month"),
+        *(passthrough or []),
     )
 
 
@@ -88,7 +91,8 @@ def type_trips(raw: DataFrame, divisor: float, ts_format: str | None,
                period_from_folder: bool, stations: DataFrame | None = None,
                keep_birth_year: bool = True, prefilter_station_ids: bool = False,
                dedupe: bool = False,
-               broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+               broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+               passthrough: list[str] | None = None) -> DataFrame:
     """Conformed raw -> typed trips in the clean contract, *before* validation.
 
     ``stations`` is given for layouts without coordinates (J1, J2).
@@ -103,7 +107,7 @@ def type_trips(raw: DataFrame, divisor: float, ts_format: str | None,
     if stations is not None:
         df = join_station_coordinates(df, stations, dedupe=dedupe,
                                       broadcast_max_rows=broadcast_max_rows)
-    return to_clean_contract(df, keep_birth_year)
+    return to_clean_contract(df, keep_birth_year, passthrough)
 
 
 def clean_trips(raw: DataFrame, divisor: float, ts_format: str | None,

@@ -72,6 +72,14 @@ def period_mismatch() -> Column:
     return ((F.year("trip_start_ts") != F.col("year")) | (F.month("trip_start_ts") != F.col("month")))
 
 
+def file_counts(typed: DataFrame, file_col: str = "source_file") -> DataFrame:
+    """A10 per file: raw rows and valid rows of each input file, in one pass
+    (the per-file counts the source pipeline prints, as a table)."""
+    return typed.groupBy(file_col).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.coalesce(is_valid_trip(), F.lit(False))).alias("n_valid"))
+
+
 def trip_counts(clean: DataFrame) -> DataFrame:
     """A10: valid trips per (year, month)."""
     return clean.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_trips"))

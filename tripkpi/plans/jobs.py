@@ -75,7 +75,7 @@ def kpi_job(spark: SparkSession, input_path: str, output: str, fmt: str = "parqu
 
 def build_all(spark: SparkSession, new_base: str, old_base: str, clean_path: str, kpi_path: str,
               stations_path: str | None = None, quality_path: str | None = None,
-              fmt: str = "parquet", headers: str = "auto") -> None:
+              fmt: str = "parquet", headers: str = "auto", file_counts_path: str | None = None) -> None:
     """Both layouts -> one clean table -> KPI report, in one application."""
     stations_path = stations_path or f"{old_base.rstrip('/')}/{S.STATIONS_FILE_NAME}"
     stations = read_station_master(spark, stations_path)
@@ -88,6 +88,9 @@ def build_all(spark: SparkSession, new_base: str, old_base: str, clean_path: str
         if quality_path:
             q = layouts.quality_new(raw_new).unionByName(layouts.quality_old(raw_old, stations))
             q.write.mode("overwrite").parquet(quality_path)
+        if file_counts_path:
+            f = layouts.file_counts_new(raw_new).unionByName(layouts.file_counts_old(raw_old, stations))
+            f.write.mode("overwrite").parquet(file_counts_path)
 
     run_with_headers(headers, clean_and_quality)
     kpi_job(spark, clean_path, kpi_path, fmt)
@@ -116,6 +119,7 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--clean-path", required=True)
     d.add_argument("--kpi-path", required=True)
     d.add_argument("--quality-path")
+    d.add_argument("--file-counts-path")
     d.add_argument("--format", default="parquet", choices=["parquet", "json"])
     for p in (a, b, d):
         p.add_argument("--headers", default="auto", choices=HEADER_MODES,
@@ -133,7 +137,8 @@ def main(argv: list[str] | None = None) -> int:
         kpi_job(spark, args.input_path, args.output_path, args.format)
     else:
         build_all(spark, args.new_base, args.old_base, args.clean_path, args.kpi_path,
-                  args.stations_path, args.quality_path, args.format, args.headers)
+                  args.stations_path, args.quality_path, args.format, args.headers,
+                  args.file_counts_path)
     spark.stop()
     return 0
 

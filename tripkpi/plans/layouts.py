@@ -7,18 +7,18 @@ from pyspark.sql import functions as F
 
 from tripkpi import schemas as S
 from tripkpi.operators import cleaning
-from tripkpi.operators.quality import period_mismatch, reject_reasons
+from tripkpi.operators.quality import file_counts, period_mismatch, reject_reasons
 from tripkpi.sources import csv_layouts
 from tripkpi.sources.stations import read_station_master
 
 
-def typed_new_layout(raw: DataFrame) -> DataFrame:
+def typed_new_layout(raw: DataFrame, passthrough: list[str] | None = None) -> DataFrame:
     """New layout, typed but not validated: P1, P3, P5, P7, P8, P9, P11, P12.
 
     Year and month come from the period folder, not from the trip start.
     """
     return cleaning.type_trips(raw, S.NEW_LAYOUT.duration_divisor, S.NEW_LAYOUT.ts_format,
-                               period_from_folder=True)
+                               period_from_folder=True, passthrough=passthrough)
 
 
 def clean_new(raw: DataFrame) -> DataFrame:
@@ -27,11 +27,12 @@ def clean_new(raw: DataFrame) -> DataFrame:
                                 period_from_folder=True)
 
 
-def typed_old_layout(raw: DataFrame, stations: DataFrame, dedupe: bool = False) -> DataFrame:
+def typed_old_layout(raw: DataFrame, stations: DataFrame, dedupe: bool = False,
+                     passthrough: list[str] | None = None) -> DataFrame:
     """Old layout, typed but not validated: P2, P4, P6, P7, P10, J1, J2, P8, P11, P12."""
     return cleaning.type_trips(raw, S.OLD_LAYOUT.duration_divisor, S.OLD_LAYOUT.ts_format,
                                period_from_folder=False, stations=stations,
-                               keep_birth_year=False, dedupe=dedupe)
+                               keep_birth_year=False, dedupe=dedupe, passthrough=passthrough)
 
 
 def clean_old(raw: DataFrame, stations: DataFrame, dedupe: bool = False) -> DataFrame:
@@ -73,3 +74,13 @@ def quality_old(raw: DataFrame, stations: DataFrame) -> DataFrame:
     """F6 for the old layout (year/month come from the trip start, so no mismatch)."""
     return reject_reasons(typed_old_layout(raw, stations)).withColumn(
         "n_period_mismatch", F.lit(0).cast("bigint"))
+
+
+def file_counts_new(raw: DataFrame) -> DataFrame:
+    """A10 per file for the new layout: raw and valid rows per source file."""
+    return file_counts(typed_new_layout(raw, passthrough=["source_file"]))
+
+
+def file_counts_old(raw: DataFrame, stations: DataFrame) -> DataFrame:
+    """A10 per file for the old layout (a duplicated station id fans rows out, as in the job)."""
+    return file_counts(typed_old_layout(raw, stations, passthrough=["source_file"]))
