@@ -86,7 +86,7 @@ def test_required_columns_check(spark):
 def test_station_join_falls_back_above_broadcast_bound(spark):
     st = spark.createDataFrame([(str(i), 42.0 + i / 1000, -71.0) for i in range(50)],
                                "station_id string, latitude double, longitude double")
-    trips = spark.createDataFrame([(str(i % 60), str((i * 7) % 50)) for i in range(200)],
+    trips = spark.createDataFrame([(str(i % 60) if i % 5 else None, str((i * 7) % 50)) for i in range(200)],
                                   "start_station_id string, end_station_id string")
     small = join_station_coordinates(trips, st)
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -102,5 +102,8 @@ def test_station_join_falls_back_above_broadcast_bound(spark):
         assert "SortMergeJoin" in buf.getvalue() and "BroadcastHashJoin" not in buf.getvalue()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
-    key = lambda r: (r.start_station_id, r.end_station_id, r.start_latitude, r.end_latitude)
+    key = lambda r: tuple("" if v is None else str(v) for v in
+                          (r.start_station_id, r.end_station_id, r.start_latitude, r.end_latitude))
     assert sorted(rows, key=key) == sorted(small.collect(), key=key)
+    assert sum(r.start_station_id is None for r in rows) == 40          # null ids kept, unmatched
+    assert all(r.start_latitude is None for r in rows if r.start_station_id is None)
