@@ -160,3 +160,10 @@ def test_headers_known_single_pass_on_uniform_files(spark, tmp_path):
     fast = L.clean_new(CSV.scan_new_layout(spark, base, headers_known=True))
     slow = L.clean_new(CSV.scan_new_layout(spark, base))
     assert fast.count() == 2 and fast.exceptAll(slow).count() == 0
+
+
+def test_folder_names_with_spaces(spark, tmp_path):
+    base = str(tmp_path / "raw data dir")
+    write(f"{base}/201601/data.csv", NEW_HEADER + "\n" + new_row(600, "2016-01-01 08:00:00",
+                                                               "2016-01-01 08:10:00") + "\n")
+    assert L.clean_new(CSV.scan_new_layout(spark, base)).count() == 1
