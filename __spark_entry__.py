@@ -28,7 +28,21 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from tripkpi.plans.queries import QUERIES
-    return dict(QUERIES)
+    return {**QUERIES, **_llm()[0]}
+
+
+def _llm() -> tuple[dict, dict]:
+    """Queries and SQL of the llm subpackage and the pipeline; none where they are absent."""
+    try:
+        import corpus_pipeline
+        from tripkpi.llm import queries as llm
+    except ImportError:
+        return {}, {}
+    found, sql = dict(llm.QUERIES), dict(llm.ORACLES)
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
 
 
 # ---------------------------------------------------------------------------
@@ -404,4 +418,4 @@ select distinct year, month, printf('%04d-%02d', year, month) as year_month from
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per registered query (same column names and types)."""
-    return dict(_ORACLES)
+    return {**_ORACLES, **_llm()[1]}
