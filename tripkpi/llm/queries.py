@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tripkpi.llm.decontaminate import contamination
 from tripkpi.llm.source_mix import mix
+from tripkpi.llm.splitter_shards import shard
 from tripkpi.llm.tables import table
 
 
@@ -11,12 +12,16 @@ def op3_source_mix(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op6_splitter_shards(spark, sf_dir):
+    return shard(table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark, sf_dir):
     hits = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return hits.drop("item_ids", "hit_words")
 
 
-QUERIES = {f.__name__: f for f in (op3_source_mix, op10_decontaminate,)}
+QUERIES = {f.__name__: f for f in (op3_source_mix, op6_splitter_shards, op10_decontaminate,)}
 
 _WORDS10 = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
