@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tripkpi.llm.decontaminate import contamination
+from tripkpi.llm.line_dedup import dedup_lines
 from tripkpi.llm.source_mix import mix
 from tripkpi.llm.splitter_shards import shard
 from tripkpi.llm.tables import table
@@ -16,17 +17,41 @@ def op6_splitter_shards(spark, sf_dir):
     return shard(table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark, sf_dir):
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark, sf_dir):
     hits = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return hits.drop("item_ids", "hit_words")
 
 
-QUERIES = {f.__name__: f for f in (op3_source_mix, op6_splitter_shards, op10_decontaminate,)}
+QUERIES = {f.__name__: f for f in (op3_source_mix, op6_splitter_shards, op7_line_dedup, op10_decontaminate,)}
 
 _WORDS10 = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
 ORACLES = {
+    "op7_line_dedup": r"""
+with u as (select doc_id, i as unit_no, lines[i] as line,
+                  trim(regexp_replace(translate(lines[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as norm
+           from (select doc_id, lines, unnest(range(1, len(lines) + 1)) as i
+                 from (select doc_id, string_split(text, chr(10)) as lines from documents where text is not null))),
+p as (select *, coalesce(sum(length(line) + 1) over (partition by doc_id order by unit_no
+                                                     rows between unbounded preceding and 1 preceding), 0) as lo,
+             row_number() over (partition by norm order by doc_id, unit_no) > 1
+               and length(norm) - length(replace(norm, ' ', '')) >= 4 as gone
+      from u),
+t as (select doc_id, count(*) as n_units, count(*) filter (gone) as n_removed,
+             string_agg(lo::bigint || '-' || (lo + length(line))::bigint, ',' order by unit_no) filter (gone) as spans,
+             string_agg(line, chr(10) order by unit_no) filter (not gone) as text
+      from p group by doc_id)
+select d.doc_id, coalesce(n_units, 0)::bigint as n_units, coalesce(n_removed, 0)::bigint as n_removed,
+       coalesce(spans, '') as removed_spans,
+       case when d.text is not null then coalesce(t.text, '') end as text
+from documents d left join t using (doc_id)
+""",
     "op10_decontaminate": f"""
 with d as (select row_number() over () as rid, doc_id, coalesce({_WORDS10}, []) as w from documents),
 b as (select item_id, {_WORDS10} as w from benchmark where text is not null),
