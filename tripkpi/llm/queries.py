@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tripkpi.llm.byte_convnet import quality
 from tripkpi.llm.decontaminate import contamination
 from tripkpi.llm.line_dedup import dedup_lines
 from tripkpi.llm.source_mix import mix
@@ -13,6 +14,10 @@ def op3_source_mix(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op5_byte_convnet(spark, sf_dir):
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_splitter_shards(spark, sf_dir):
     return shard(table(spark, sf_dir, "documents"))
 
@@ -26,7 +31,7 @@ def op10_decontaminate(spark, sf_dir):
     return hits.drop("item_ids", "hit_words")
 
 
-QUERIES = {f.__name__: f for f in (op3_source_mix, op6_splitter_shards, op7_line_dedup, op10_decontaminate,)}
+QUERIES = {f.__name__: f for f in (op3_source_mix, op5_byte_convnet, op6_splitter_shards, op7_line_dedup, op10_decontaminate,)}
 
 _WORDS10 = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
