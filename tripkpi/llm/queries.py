@@ -5,6 +5,7 @@ from __future__ import annotations
 from tripkpi.llm.byte_convnet import quality
 from tripkpi.llm.decontaminate import contamination
 from tripkpi.llm.line_dedup import dedup_lines
+from tripkpi.llm.ppm_langid import languages
 from tripkpi.llm.source_mix import mix
 from tripkpi.llm.splitter_shards import shard
 from tripkpi.llm.tables import table
@@ -26,12 +27,16 @@ def op7_line_dedup(spark, sf_dir):
     return dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op9_ppm_langid(spark, sf_dir):
+    return languages(table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark, sf_dir):
     hits = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return hits.drop("item_ids", "hit_words")
 
 
-QUERIES = {f.__name__: f for f in (op3_source_mix, op5_byte_convnet, op6_splitter_shards, op7_line_dedup, op10_decontaminate,)}
+QUERIES = {f.__name__: f for f in (op3_source_mix, op5_byte_convnet, op6_splitter_shards, op7_line_dedup, op9_ppm_langid, op10_decontaminate,)}
 
 _WORDS10 = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
