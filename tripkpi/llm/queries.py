@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tripkpi.llm.byte_convnet import quality
 from tripkpi.llm.decontaminate import contamination
+from tripkpi.llm.html_consensus import main_text
 from tripkpi.llm.line_dedup import dedup_lines
 from tripkpi.llm.ppm_langid import languages
 from tripkpi.llm.source_mix import mix
@@ -15,6 +16,10 @@ def op3_source_mix(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op4_html_consensus(spark, sf_dir):
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_byte_convnet(spark, sf_dir):
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -36,7 +41,7 @@ def op10_decontaminate(spark, sf_dir):
     return hits.drop("item_ids", "hit_words")
 
 
-QUERIES = {f.__name__: f for f in (op3_source_mix, op5_byte_convnet, op6_splitter_shards, op7_line_dedup, op9_ppm_langid, op10_decontaminate,)}
+QUERIES = {f.__name__: f for f in (op3_source_mix, op4_html_consensus, op5_byte_convnet, op6_splitter_shards, op7_line_dedup, op9_ppm_langid, op10_decontaminate,)}
 
 _WORDS10 = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
