@@ -67,7 +67,7 @@ DROP_STARTS = ("advert", "sponsor", "navig", "navbar", "breadcrumb", "sidebar",
                "toast", "footer", "masthead", "dropdown", "feedback")
 HEADER_WORDS = frozenset({"header", "masthead", "banner"})
 #: Weights of container elements in the score.
-BONUS = {"article": 1.5, "main": 1.2, "body": 0.6, "td": 0.8, "table": 0.8, "blockquote": 0.3, "dd": 0.3}
+BONUS = {"#": 0.6, "article": 1.5, "main": 1.2, "body": 0.6, "td": 0.8, "table": 0.8, "blockquote": 0.3, "dd": 0.3}
 
 
 class Page:
@@ -236,7 +236,9 @@ class Page:
 
     def ranked(self, count: int = VOTES) -> list[tuple[float, int]]:
         """Best containers: (score, element), the first the page's own choice."""
-        found = [(self.score(e), -e) for e in range(1, len(self.tag)) if self.tag[e] in CONTAINERS and not self.out[e]]
+        first = 1 if "body" in self.tag else 0                  # without a body, the whole page is a container
+        found = [(self.score(e), -e) for e in range(first, len(self.tag))
+                 if (self.tag[e] in CONTAINERS or not e) and not self.out[e]]
         found = sorted((f for f in found if f[0] > 0), reverse=True)[:count]
         return [(s, -e) for s, e in found]
 
@@ -326,7 +328,7 @@ def text_of(source: str | None, path: str | None) -> str:
         return ""
     page = Page(source)
     if path is not None:
-        found = [e for e in range(1, len(page.tag)) if page.tag[e] in CONTAINERS and not page.out[e] and page.path(e) == path]
+        found = [e for e in range(len(page.tag)) if (page.tag[e] in CONTAINERS or not e) and not page.out[e] and page.path(e) == path]
         if found:
             text = page.extract(max(found, key=lambda e: (page.score(e), -e)))
             if text:

@@ -6,12 +6,17 @@ from tripkpi.llm.byte_convnet import quality
 from tripkpi.llm.decontaminate import contamination
 from tripkpi.llm.html_consensus import main_text
 from tripkpi.llm.line_dedup import dedup_lines
+from tripkpi.llm.minhash_hamming import near_duplicates
 from tripkpi.llm.ppm_langid import languages
 from tripkpi.llm.source_mix import mix
 from tripkpi.llm.splitter_shards import shard
 from tripkpi.llm.tables import table
 
 
+def op1_minhash_hamming(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_source_mix(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))
 
@@ -41,12 +46,29 @@ def op10_decontaminate(spark, sf_dir):
     return hits.drop("item_ids", "hit_words")
 
 
-QUERIES = {f.__name__: f for f in (op3_source_mix, op4_html_consensus, op5_byte_convnet, op6_splitter_shards, op7_line_dedup, op9_ppm_langid, op10_decontaminate,)}
+QUERIES = {f.__name__: f for f in (op1_minhash_hamming, op3_source_mix, op4_html_consensus, op5_byte_convnet, op6_splitter_shards, op7_line_dedup, op9_ppm_langid, op10_decontaminate,)}
 
 _WORDS10 = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
 ORACLES = {
+    "op1_minhash_hamming": r"""
+with recursive
+d as (select doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[^\x20\x09-\x0D]+'), []) as w from documents),
+s as (select distinct doc_id, array_to_string(w[i:i + 4], ' ') as g
+      from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from d where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+g as (select g, row_number() over () as gid from (select g from s group by g having count(*) > 1)),
+t as (select doc_id, gid from s join g using (g)),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as k from t a join t b on a.gid = b.gid and a.doc_id < b.doc_id
+      group by all),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 85 * (x.n + y.n - k)),
+e as (select a, b from l union all select b, a from l),
+r(id, hop) as (select doc_id, doc_id from documents union select r.id, e.b from r join e on e.a = r.hop)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, c.component_id, d.doc_id = c.component_id as kept
+from d left join n using (doc_id) join (select id, min(hop) as component_id from r group by id) c on c.id = d.doc_id
+""",
     "op7_line_dedup": r"""
 with u as (select doc_id, i as unit_no, lines[i] as line,
                   trim(regexp_replace(translate(lines[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
