@@ -5,6 +5,7 @@ from __future__ import annotations
 from tripkpi.llm.byte_convnet import quality
 from tripkpi.llm.decontaminate import contamination
 from tripkpi.llm.html_consensus import main_text
+from tripkpi.llm.kmeans_tree_ann import search
 from tripkpi.llm.line_dedup import dedup_lines
 from tripkpi.llm.minhash_hamming import near_duplicates
 from tripkpi.llm.ppm_langid import languages
@@ -17,6 +18,10 @@ def op1_minhash_hamming(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_kmeans_tree_ann(spark, sf_dir):
+    return search(table(spark, sf_dir, "embeddings"))
+
+
 def op3_source_mix(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))
 
@@ -46,7 +51,7 @@ def op10_decontaminate(spark, sf_dir):
     return hits.drop("item_ids", "hit_words")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_hamming, op3_source_mix, op4_html_consensus, op5_byte_convnet, op6_splitter_shards, op7_line_dedup, op9_ppm_langid, op10_decontaminate,)}
+QUERIES = {f.__name__: f for f in (op1_minhash_hamming, op2_kmeans_tree_ann, op3_source_mix, op4_html_consensus, op5_byte_convnet, op6_splitter_shards, op7_line_dedup, op9_ppm_langid, op10_decontaminate,)}
 
 _WORDS10 = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
