@@ -11,6 +11,7 @@ from tripkpi.llm.minhash_hamming import near_duplicates
 from tripkpi.llm.ppm_langid import languages
 from tripkpi.llm.source_mix import mix
 from tripkpi.llm.splitter_shards import shard
+from tripkpi.llm.suffix_dedup import remove_repeats
 from tripkpi.llm.tables import table
 
 
@@ -42,6 +43,10 @@ def op7_line_dedup(spark, sf_dir):
     return dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark, sf_dir):
+    return remove_repeats(table(spark, sf_dir, "documents"), texts=False).drop("kept", "spans")
+
+
 def op9_ppm_langid(spark, sf_dir):
     return languages(table(spark, sf_dir, "documents"))
 
@@ -51,7 +56,7 @@ def op10_decontaminate(spark, sf_dir):
     return hits.drop("item_ids", "hit_words")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_hamming, op2_kmeans_tree_ann, op3_source_mix, op4_html_consensus, op5_byte_convnet, op6_splitter_shards, op7_line_dedup, op9_ppm_langid, op10_decontaminate,)}
+QUERIES = {f.__name__: f for f in (op1_minhash_hamming, op2_kmeans_tree_ann, op3_source_mix, op4_html_consensus, op5_byte_convnet, op6_splitter_shards, op7_line_dedup, op8_suffix_dedup, op9_ppm_langid, op10_decontaminate,)}
 
 _WORDS10 = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
@@ -111,5 +116,24 @@ items as (select rid, count(*) as n_items, string_agg(item_id, ',' order by item
 select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
        sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join words using (rid) left join items using (rid)
+""",
+    "op8_suffix_dedup": """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+n as (select doc_id, h, length(h) // 2 as n from d),
+w as (select doc_id, p, substr(h, 2 * p + 1, 100) as s
+      from (select doc_id, h, unnest(range(0, n - 49)) as p from n where n >= 50)),
+m as (select s, min(doc_id) as first from w group by s having min(doc_id) <> max(doc_id)),
+c as (select w.doc_id, p from w join m using (s) where m.first < w.doc_id),
+r as (select doc_id, p, case when p <= lag(p) over (partition by doc_id order by p) + 50 then 0 else 1 end as starts from c),
+g as (select doc_id, p, sum(starts) over (partition by doc_id order by p) as run from r),
+x as (select doc_id, run, min(p) as lo, max(p) + 50 as hi from g group by all),
+y as (select doc_id, lo, coalesce(lag(hi) over (partition by doc_id order by lo), 0) as prev, hi from x),
+k as (select n.doc_id, n.h, n.n, count(lo) as n_spans, coalesce(sum(hi - lo), 0) as n_removed,
+             coalesce(string_agg(substr(n.h, 2 * prev + 1, 2 * (lo - prev)), '' order by lo), '') as head,
+             coalesce(max(hi), 0) as tail
+      from n left join y using (doc_id) group by n.doc_id, n.h, n.n)
+select doc_id, n::bigint as n_bytes, n_removed::bigint as n_removed, n_spans::bigint as n_spans,
+       sha256(unhex(head || substr(h, 2 * tail + 1))) as kept_sha256
+from k
 """,
 }
