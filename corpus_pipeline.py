@@ -1,23 +1,58 @@
-"""The corpus pipeline over ``documents``."""
+"""The corpus pipeline over ``documents``: five stages, each written as Parquet and reread as the next one's input.
+
+Every stage works on all rows its predecessor kept and applies its decisions;
+all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripkpi.llm import decontaminate
+from tripkpi.llm import byte_convnet, decontaminate, minhash_hamming, source_mix, splitter_shards
 from tripkpi.llm.tables import staged, table
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the byte network scores below its threshold go; it learns from the labelled rows not held out."""
+    return byte_convnet.keep_good(docs, docs, table(spark, sf_dir, "labels"))
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays, the one with the smallest id.
+
+    Repeated rows of one id count as one document. Documents without words are
+    no near duplicates of anything, and those without an id aren't judged: they stay.
+    """
+    kept = minhash_hamming.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    stay = docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    return stay.unionByName(docs.where("doc_id is null"))
+
+
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out of the texts; a document that is nothing else goes."""
     return decontaminate.remove_spans(docs, table(spark, sf_dir, "benchmark"))
 
 
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: each document once per pass that drew from it, its text the words drawn; undrawn documents go."""
+    return source_mix.mixed_documents(docs)
+
+
+def shard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row's shard and slot."""
+    return splitter_shards.shard(docs)
+
+
 STAGES = [
+    ("quality_classifier", quality_stage),
+    ("minhash_near_dedup", near_dedup_stage),
     ("benchmark_decontamination", decontaminate_stage),
+    ("source_mix", mix_stage),
+    ("sharding", shard_stage),
 ]
 
-#: Hashed pseudorandom draws and learned models have no SQL form; tests hold run() against brute force.
+#: A learned network and hashed draws have no SQL form: the tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
