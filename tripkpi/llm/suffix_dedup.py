@@ -358,7 +358,8 @@ def _windows(buckets: int):
                 codes, which = np.unique(code[rows_], return_inverse=True)
                 src = first[codes]
                 at = np.repeat(off[src] - np.concatenate([[0], np.cumsum(length[src])[:-1]]), length[src])
-                rows.append((b, raw[at + np.arange(len(at))].tobytes(), length[src].astype(np.uint8).tobytes(),
+                rows.append((b, pa.compress(raw[at + np.arange(len(at))].tobytes(), "zstd", asbytes=True),
+                             length[src].astype(np.uint8).tobytes(),
                              _ints(which), _ints(uid[rows_]), _ints(rank[rows_] - uid[rows_]), _ints(lo[rows_])))
         types = (pa.int32(),) + (pa.binary(),) * 6
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)],
@@ -402,8 +403,10 @@ def _member(x: np.ndarray, known: np.ndarray) -> np.ndarray:
 def _covered(batches):
     """Per anchor, the windows (bits from its first) that a document with a smaller rank has too."""
     def judge(rows):
-        length = np.concatenate([np.frombuffer(r["lengths"], np.uint8) for r in rows]).astype(np.int64)
-        raw = np.concatenate([np.frombuffer(r["bytes"], np.uint8) for r in rows])
+        lengths = [np.frombuffer(r["lengths"], np.uint8).astype(np.int64) for r in rows]
+        length = np.concatenate(lengths)
+        raw = np.concatenate([np.frombuffer(pa.decompress(r["bytes"], int(k.sum()), "zstd"), np.uint8)
+                              for r, k in zip(rows, lengths)])
         base = np.cumsum([0] + [len(r["lengths"]) for r in rows])
         n = [len(r["los"]) // 4 for r in rows]
         which = np.concatenate([_sums(r["which"], k) + b for r, k, b in zip(rows, n, base)])
@@ -481,15 +484,16 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     size, rows, named = docs.agg(F.sum(F.octet_length(text)), F.count("*"), F.count_distinct(doc_id)).first()
     buckets = max(MIN_BUCKETS, -(-(size or 0) // BUCKET_BYTES))
     # ids name rows where they are unique; else a hash of id and text does
-    uid = doc_id if rows == named else F.xxhash64(doc_id, text)
+    uid = F.coalesce(doc_id, F.lit(LAST)) if rows == named else F.xxhash64(doc_id, text)
     src = docs.select(uid.alias("uid"), F.coalesce(doc_id, F.lit(LAST)).alias("rank"), doc_id.alias("doc_id"),
                       F.coalesce(text, F.lit("")).cast("binary").alias("raw"))
     asks = src.select("uid", F.col("raw").cast("string").alias("text")).mapInArrow(_ask(buckets), ASKS)
     found = asks.repartition(buckets, "part").sortWithinPartitions("part").mapInArrow(_repeated, FOUND)
     places = found.groupBy("uid").agg(F.collect_set("lo").alias("los")).withColumnRenamed("uid", "found_uid")
-    candidates = src.join(places, F.col("uid") == F.col("found_uid")).select("uid", "rank", "raw", "los")
+    # both joins take all of src's columns and uid is never null, so that its exchange is made once and used again
+    candidates = src.join(places, F.col("uid") == F.col("found_uid")).select("uid", "rank", "raw", "los", "doc_id")
     windows = candidates.mapInArrow(_windows(buckets), WINDOWS)
     masks = windows.repartition(buckets, "part").sortWithinPartitions("part").mapInArrow(_covered, MASKS)
     gone = masks.groupBy("uid").agg(F.collect_set(F.struct("lo", "mask")).alias("gone")).withColumnRenamed("uid", "gone_uid")
-    both = src.join(gone, F.col("uid") == F.col("gone_uid"), "left").select("doc_id", "raw", "gone")
+    both = src.join(gone, F.col("uid") == F.col("gone_uid"), "left").select("doc_id", "raw", "gone", "uid", "rank")
     return both.mapInArrow(_remove(texts), RESULT)
