@@ -85,6 +85,7 @@ trips_raw as (
                 when o_custkey % 11 = 1 then '0'
                 else cast(1890 + o_custkey % 140 as varchar) end as birth_year_raw,
            case when o_orderkey % 4 = 3 then concat(chr(92), 'N')
+                when o_custkey % 13 = 4 then '3' when o_custkey % 13 = 5 then '7'
                 else cast(o_orderkey % 4 as varchar) end as gender_raw
     from lineitem join orders on l_orderkey = o_orderkey
   ) x
@@ -148,10 +149,11 @@ kpi_base as (
 
 
 def _mean2(col: str) -> str:
-    """Exact half-up mean of a 2-decimal column via integer cents; 0 or empty -> null."""
-    c = f"cast(round({col} * 100) as bigint)"
-    return (f"case when sum({c}) <> 0 then cast((2 * sum({c}) + count({c})) // (2 * count({c})) as double)"
-            f" / 100e0 end")
+    """Mean of a 2-decimal column, summed exactly as decimals and rounded half-up once; 0 or empty -> null."""
+    d = f"sum(cast({col} as decimal(18, 2)))"
+    # the quotient as a 9-digit decimal, so that a tie at the third digit rounds up exactly
+    mean = f"cast(cast({d} as double) / count({col}) as decimal(38, 9))"
+    return f"case when {d} <> 0 then cast(round({mean}, 2) as double) end"
 
 
 def _with(*ctes: str) -> str:
@@ -224,14 +226,15 @@ def _slot_col(slot: str) -> str:
 
 
 _GENDER_PIVOT = ", ".join(
-    f"max(case when gender = {g} then pct end) as gender_{g}_pct" for g in (0, 1, 2))
+    f"max(case when gender = {g} then pct end) as gender_{g}_pct" for g in (0, 1, 2, 3, 7))
 _SLOT_PIVOT = ", ".join(
     f"max(case when time_slot = '{s}' then pct end) as {_slot_col(s)}" for s in _SLOTS)
 
-_WIDE = _W_BASE[:-1] + "," + _LONG_BODY + """
+_WIDE_BODY = """
 select m.year, m.month, m.avg_trip_duration_min, m.avg_trip_distance_km, m.n_trips,
        """ + ", ".join(f"p.gender_{g}_pct" for g in (0, 1, 2)) + """,
        """ + ", ".join(f"p.{_slot_col(s)}" for s in _SLOTS) + """,
+       coalesce(p.gender_distribution, '') as gender_distribution,
        coalesce(p.age_distribution, '') as age_distribution,
        p.top_bikes, p.top_start_stations, p.top_end_stations
 from (
@@ -244,6 +247,8 @@ from (
     f"max(case when kpi = 'gender' and key = '{g}' then pct end) as gender_{g}_pct" for g in (0, 1, 2)) + """,
          """ + ", ".join(
     f"max(case when kpi = 'time_slot' and key = '{s}' then pct end) as {_slot_col(s)}" for s in _SLOTS) + """,
+         string_agg(case when kpi = 'gender' then key || ':' || printf('%.2f', pct) end, ';'
+                    order by try_cast(key as int)) as gender_distribution,
          string_agg(case when kpi = 'age_group' then key || ':' || printf('%.2f', pct) end, ';' order by key) as age_distribution,
          string_agg(case when kpi = 'bike' then coalesce(key, '') || ':' || cast(n as varchar) end, ';' order by rk) as top_bikes,
          string_agg(case when kpi = 'start_station' then coalesce(key, '') || ':' || cast(n as varchar) end, ';' order by rk) as top_start_stations,
@@ -251,6 +256,7 @@ from (
   from long group by year, month
 ) p on m.year = p.year and m.month = p.month
 """
+_WIDE = _W_BASE[:-1] + "," + _LONG_BODY + _WIDE_BODY
 
 _REASONS = {
     "missing_start_ts": "trip_start_ts is not null",
@@ -413,6 +419,15 @@ select distinct year, month, printf('%04d-%02d', year, month) as year_month from
                           + _share_sql("time_slot", "") + ") s group by year, month",
     "kpi_report_long": _W_BASE[:-1] + "," + _LONG_BODY + "select * from long",
     "kpi_report_wide": _WIDE,
+    "kpi_report_sink": _WIDE + " where m.year > (select min(year) from kpi_base)",
+    "build_all": _W_BOTH[:-1] + "," + _KPI_BASE.replace(
+        "from trips_clean", "from (select * from trips_clean union all select * from trips_old_clean) b")
+                 + "," + _LONG_BODY + _WIDE_BODY,
+    "station_quality": _W_STATIONS + """
+select count(*) as n_rows, (select count(*) from station_master) as n_valid,
+       count(*) - (select count(*) from station_master) as n_rejected,
+       (select count(*) from (select station_id from station_raw group by station_id having count(*) > 1) d) as n_duplicated_ids
+from station_raw""",
 }
 
 

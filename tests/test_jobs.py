@@ -48,11 +48,15 @@ def test_build_all(spark, tmp_path):
     jan = report[(2016, 1)]
     assert jan.n_trips == 2 and jan.gender_1_pct == 50.0 and jan.avg_trip_duration_min == 12.5
     assert [a.age_group for a in jan.age_distribution] == ["30-39"]
-    q = spark.read.parquet(quality)
+    assert [(g.code, g.pct) for g in jan.gender_distribution] == [(1, 50.0), (2, 50.0)]
+    q = spark.read.parquet(f"{quality}/months")
     row = q.filter((F.col("year") == 2016) & (F.col("month") == 1)).first()
     assert (row.n_rows, row.n_bad_duration, row.n_valid, row.n_period_mismatch) == (3, 1, 2, 0)
     per_file = {r.source_file.split("/")[-2]: (r.n_rows, r.n_valid) for r in spark.read.parquet(files).collect()}
     assert per_file == {"201601": (3, 2), "2015": (2, 2)}
+    assert tuple(spark.read.parquet(f"{quality}/stations").first()) == (2, 2, 0, 0)
+    assert spark.read.parquet(f"{quality}/station_duplicates").count() == 0
+    assert spark.read.parquet(f"{quality}/unmatched_stations").count() == 0
 
 
 def test_cli_build_all_subprocess(spark, tmp_path):
@@ -79,7 +83,7 @@ def test_cli_build_all_subprocess(spark, tmp_path):
     assert read_kpi_report(spark, kpi, fmt="json").count() == 2
 
 
-def test_auto_headers_fall_back_on_reordered_columns(spark, tmp_path):
+def test_reordered_columns_are_bound_by_name(spark, tmp_path):
     new = str(tmp_path / "new")
     cols = NEW_HEADER.split(",")
     row = "600,2016-01-01 08:00:00,2016-01-01 08:10:00,1,A,42.35,-71.06,2,B,42.36,-71.09,b1,S,1980,1"
@@ -87,7 +91,7 @@ def test_auto_headers_fall_back_on_reordered_columns(spark, tmp_path):
     vals = dict(zip(cols, row.replace("2016-01-01", "2016-02-01").replace("b1", "b2").split(",")))
     write(f"{new}/201602/data.csv", [",".join(reversed(cols)), ",".join(vals[c] for c in reversed(cols))])
     out = str(tmp_path / "clean")
-    jobs.clean_new_job(spark, new, out)                       # auto: fails once, then discovers
+    jobs.clean_new_job(spark, new, out)
     got = {r.bike_id: r for r in read_clean_trips(spark, out).collect()}
     assert set(got) == {"b1", "b2"} and got["b2"].month == 2 and got["b2"].start_station_id == "1"
     import pytest

@@ -95,8 +95,10 @@ def test_avg_zero_is_null(spark):
 def test_gender_pivot_discovers_codes(spark):
     rows = [trip("a", gender=1), trip("b", gender=7), trip("c", gender=None)]
     df = spark.createDataFrame(rows, CLEAN_TRIP_SCHEMA)
-    fixed = K.gender_pivot(K.kpi_base(df)).first()
-    found = K.gender_pivot(K.kpi_base(df), discover=True).first()
+    fixed = K.gender_pivot(K.kpi_base(df), codes=[0, 1, 2]).first()
+    found = K.gender_pivot(K.kpi_base(df)).first()
+    wide = K.kpi_report_wide(df).first()
+    assert [(g.code, g.pct) for g in wide.gender_distribution] == [(1, 50.0), (7, 50.0)]
     assert (fixed.gender_0_pct, fixed.gender_1_pct, fixed.gender_2_pct) == (None, 50.0, None)
     assert (found.gender_1_pct, found.gender_7_pct) == (50.0, 50.0)
 

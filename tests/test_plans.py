@@ -30,7 +30,7 @@ def test_month_slice_prunes_partitions(spark, clean_path):
     assert re.search(r"PartitionFilters: \[.*year.*= 1995.*month.*= 3", text)
 
 
-def test_station_join_broadcasts_checked_dimension(spark, sf_small):
+def test_station_join_broadcasts_small_dimension(spark, sf_small):
     tree = formatted(QUERIES["station_join"](spark, sf_small)).split("\n\n")[0]
     assert tree.count("BroadcastHashJoin LeftOuter") == 2
 
@@ -72,3 +72,22 @@ def test_no_python_in_any_query_plan(spark, sf_small):
     for name in ["kpi_report_wide", "kpi_report_long", "reject_reasons", "unmatched_stations"]:
         text = formatted(QUERIES[name](spark, sf_small))
         assert "Python" not in text, name
+
+
+def test_unmatched_stations_scans_each_table_once(spark, sf_small):
+    text = formatted(QUERIES["unmatched_stations"](spark, sf_small))
+    assert text.count("ReadSchema: struct<l_") == 1 and text.count("ReadSchema: struct<o_") == 1
+
+
+def test_no_job_while_station_join_is_built(spark, sf_small):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build-only", "")
+    try:
+        before = len(tracker.getJobIdsForGroup("build-only"))
+        from tripkpi.operators.joins import join_station_coordinates
+        trips, st = D.trips_raw(spark, sf_small), D.station_raw(spark, sf_small)
+        mark = len(tracker.getJobIdsForGroup("build-only"))
+        join_station_coordinates(trips, st)
+        assert len(tracker.getJobIdsForGroup("build-only")) == mark >= before
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

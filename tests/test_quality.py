@@ -83,7 +83,7 @@ def test_required_columns_check(spark):
         Q.check_required_columns(empty)
 
 
-def test_station_join_falls_back_above_broadcast_bound(spark):
+def test_station_join_same_result_without_broadcast(spark):
     st = spark.createDataFrame([(str(i), 42.0 + i / 1000, -71.0) for i in range(50)],
                                "station_id string, latitude double, longitude double")
     trips = spark.createDataFrame([(str(i % 60) if i % 5 else None, str((i * 7) % 50)) for i in range(200)],
@@ -92,7 +92,7 @@ def test_station_join_falls_back_above_broadcast_bound(spark):
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        big = join_station_coordinates(trips, st, broadcast_max_rows=10)   # 50 rows > bound
+        big = join_station_coordinates(trips, st)
         rows = big.collect()
         import contextlib
         import io
@@ -100,6 +100,7 @@ def test_station_join_falls_back_above_broadcast_bound(spark):
         with contextlib.redirect_stdout(buf):
             big.explain()
         assert "SortMergeJoin" in buf.getvalue() and "BroadcastHashJoin" not in buf.getvalue()
+        assert "SinglePartition" not in buf.getvalue()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
     key = lambda r: tuple("" if v is None else str(v) for v in
@@ -107,3 +108,14 @@ def test_station_join_falls_back_above_broadcast_bound(spark):
     assert sorted(rows, key=key) == sorted(small.collect(), key=key)
     assert sum(r.start_station_id is None for r in rows) == 40          # null ids kept, unmatched
     assert all(r.start_latitude is None for r in rows if r.start_station_id is None)
+
+
+def test_station_quality_and_unmatched_in_one_pass(spark):
+    raw = spark.createDataFrame([("1", 42.0, -71.0), ("1", 42.1, -71.0), ("2", 95.0, -71.0), ("3", None, 0.0), (None, 1.0, 1.0)],
+                                "station_id string, latitude double, longitude double")
+    assert tuple(Q.station_quality(raw).first()) == (5, 2, 3, 1)
+    assert tuple(Q.station_quality(raw.limit(0)).first()) == (0, 0, 0, 0)
+    trips = spark.createDataFrame([("1", "9"), ("2", None), (None, "9")], "start_station_id string, end_station_id string")
+    left = Q.unmatched_stations(trips, Q.valid_stations(raw))
+    assert sorted(r.station_id for r in left.collect()) == ["2", "9"]
+    assert left._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 2

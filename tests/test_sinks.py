@@ -38,3 +38,12 @@ def test_kpi_report_sink(spark, sf_small, tmp_dir):
     assert dict(back.dtypes)["top_bikes"].startswith("array<struct")
     write_kpi_report(wide, tmp_dir + "-json", fmt="json")
     assert read_kpi_report(spark, tmp_dir + "-json", fmt="json").count() == wide.count()
+
+
+def test_report_replaces_all_years(spark, sf_small, tmp_dir):
+    wide = K.kpi_report_wide(D.clean_trips(spark, sf_small))
+    write_kpi_report(wide, tmp_dir)
+    years = {r.year for r in read_kpi_report(spark, tmp_dir).select("year").distinct().collect()}
+    gone = min(years)
+    write_kpi_report(wide.where(f"year > {gone}"), tmp_dir)
+    assert {r.year for r in read_kpi_report(spark, tmp_dir).select("year").distinct().collect()} == years - {gone}

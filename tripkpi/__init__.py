@@ -9,7 +9,7 @@ Subpackages:
   sinks       partitioned Parquet writes, KPI report tables
   operators   validation / quality, station joins, KPI aggregations
   plans       whole jobs (clean new / old layout, KPI report) and their CLI
-  streaming   the cleaning job as an incremental Structured Streaming query
+  llm         operators of a training-data pipeline (nothing else imports it)
 """
 
 __version__ = "0.1.0"

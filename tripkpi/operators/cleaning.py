@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tripkpi import schemas as S
 from tripkpi.functions import columns as C
-from tripkpi.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, join_station_coordinates
+from tripkpi.operators.joins import join_station_coordinates
 from tripkpi.operators.quality import validate_trips
 
 COORDINATES = ["start_latitude", "start_longitude", "end_latitude", "end_longitude"]
@@ -91,7 +91,6 @@ def type_trips(raw: DataFrame, divisor: float, ts_format: str | None,
                period_from_folder: bool, stations: DataFrame | None = None,
                keep_birth_year: bool = True, prefilter_station_ids: bool = False,
                dedupe: bool = False,
-               broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                passthrough: list[str] | None = None) -> DataFrame:
     """Conformed raw -> typed trips in the clean contract, *before* validation.
 
@@ -105,8 +104,7 @@ def type_trips(raw: DataFrame, divisor: float, ts_format: str | None,
                          & F.col("end_station_id").isNotNull())
     df = add_temporal(raw, divisor, ts_format, period_from_folder)
     if stations is not None:
-        df = join_station_coordinates(df, stations, dedupe=dedupe,
-                                      broadcast_max_rows=broadcast_max_rows)
+        df = join_station_coordinates(df, stations, dedupe=dedupe)
     return to_clean_contract(df, keep_birth_year, passthrough)
 
 

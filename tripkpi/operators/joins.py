@@ -1,44 +1,10 @@
-"""Trip -> station dimension joins (J1, J2) with a size-checked broadcast."""
+"""Trip -> station dimension joins."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A station master is a few hundred to a few thousand rows. Above this bound
-# the dimension is not broadcast; the join falls back to a shuffle join and AQE
-# (skew join on) may still re-plan it at runtime.
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
-
-
-# Null join keys all hash to one shuffle partition; in the shuffle-join
-# fallback they are spread over this many salted keys instead.
-NULL_KEY_SALTS = 1024
-
-
-def fits_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> bool:
-    """True when ``small`` provably holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops early), so it
-    is cheap for a real dimension and bounded for a runaway one.
-    """
-    return small.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only when ``small`` provably holds at most ``max_rows`` rows."""
-    return F.broadcast(small) if fits_broadcast(small, max_rows) else small
-
-
-def _spread_null_key(key: Column, row_hash: Column) -> Column:
-    """The key itself, or for a null key a per-row salted stand-in.
-
-    The stand-in only spreads the rows over shuffle partitions; the join
-    condition also requires the real key to be non-null, so it never matches.
-    """
-    return F.coalesce(key, F.concat(F.lit("\u0000null:"),
-                                    F.pmod(row_hash, F.lit(NULL_KEY_SALTS)).cast("string")))
-
 
 def dedupe_stations(stations: DataFrame) -> DataFrame:
     """One row per station id, keeping the smallest (latitude, longitude)."""
@@ -51,39 +17,30 @@ def dedupe_stations(stations: DataFrame) -> DataFrame:
 def join_station_coordinates(trips: DataFrame, stations: DataFrame,
                              start_key: str = "start_station_id",
                              end_key: str = "end_station_id",
-                             dedupe: bool = False,
-                             broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                             dedupe: bool = False) -> DataFrame:
     """J1 + J2: left-join start and end coordinates from the station master.
 
     Adds ``start_latitude, start_longitude, end_latitude, end_longitude``.
     Unmatched ids give null coordinates (and later a null distance). Duplicate
     station ids fan trips out, as in the source pipeline, unless ``dedupe``.
-    Keys are strings on both sides.
+    Keys are strings on both sides. One join condition and no hint: Spark
+    broadcasts the dimension while its size in bytes is under
+    ``autoBroadcastJoinThreshold`` (known, or measured by AQE at run time);
+    beyond it, trips of a hot station or without one are split by AQE's
+    skew-join handling.
     """
     st = stations.select(F.col("station_id").cast("string").alias("station_id"),
                          F.col("latitude").cast("double").alias("latitude"),
                          F.col("longitude").cast("double").alias("longitude"))
     if dedupe:
         st = dedupe_stations(st)
-    broadcast = fits_broadcast(st, broadcast_max_rows)
-    if broadcast:
-        st = F.broadcast(st)
     start = st.select(F.col("station_id").alias("_start_ref"),
                       F.col("latitude").alias("start_latitude"),
                       F.col("longitude").alias("start_longitude"))
     end = st.select(F.col("station_id").alias("_end_ref"),
                     F.col("latitude").alias("end_latitude"),
                     F.col("longitude").alias("end_longitude"))
-    s_key, e_key = F.col(start_key), F.col(end_key)
-    if broadcast:
-        on_start, on_end = s_key == F.col("_start_ref"), e_key == F.col("_end_ref")
-    else:
-        # Shuffle join: keep trips without a station id out of a single hot
-        # partition (a hot real id is split by AQE's skew-join handling).
-        row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in trips.columns])
-        on_start = (_spread_null_key(s_key, row_hash) == F.col("_start_ref")) & s_key.isNotNull()
-        on_end = (_spread_null_key(e_key, row_hash) == F.col("_end_ref")) & e_key.isNotNull()
     return (trips
-            .join(start, on_start, "left")
-            .join(end, on_end, "left")
+            .join(start, F.col(start_key) == F.col("_start_ref"), "left")
+            .join(end, F.col(end_key) == F.col("_end_ref"), "left")
             .drop("_start_ref", "_end_ref"))

@@ -152,23 +152,17 @@ def _slot_column(slot: str) -> str:
     return f"timeslot_{start[:2]}_{end[:2]}_pct"
 
 
-def gender_pivot(base: DataFrame, codes: list[int] | None = None, discover: bool = False) -> DataFrame:
-    """One row per month with a ``gender_<code>_pct`` column per code.
-
-    Explicit pivot values (0, 1, 2 by default) avoid an extra job to discover
-    them; ``discover=True`` lets Spark find the codes present (one small
-    distinct job, capped by ``spark.sql.pivotMaxValues``), so unexpected codes
-    get their own column as in the source report. A month with no trip of a
-    code gets null (blank), not 0.
+def gender_pivot(base: DataFrame, codes: list[int] | None = None) -> DataFrame:
+    """One row per month with a ``gender_<code>_pct`` column per code present.
+
+    Spark finds the codes (one small distinct job over the aggregated shares,
+    limited by ``spark.sql.pivotMaxValues``), so every code gets its column,
+    as in the source report. ``codes`` names the columns wanted instead. A
+    month with no trip of a code gets null (blank), not 0.
     """
-    shares = gender_share(base)
-    if discover:
-        wide = shares.groupBy(*MONTH).pivot("gender").agg(F.first("pct"))
-        codes = [c for c in wide.columns if c not in MONTH]
-    else:
-        codes = codes or S.GENDER_CODES
-        wide = shares.groupBy(*MONTH).pivot("gender", codes).agg(F.first("pct"))
-    return wide.select(*MONTH, *[F.col(f"`{c}`").alias(f"gender_{c}_pct") for c in codes])
+    pivot = gender_share(base).groupBy(*MONTH)
+    wide = (pivot.pivot("gender", codes) if codes else pivot.pivot("gender")).agg(F.first("pct"))
+    return wide.select(*MONTH, *[F.col(f"`{c}`").alias(f"gender_{c}_pct") for c in wide.columns if c not in MONTH])
 
 
 def timeslot_pivot(base: DataFrame) -> DataFrame:
@@ -260,9 +254,10 @@ def kpi_report_wide(clean: DataFrame, k: int = S.TOP_K) -> DataFrame:
     conditional aggregates (pivot and list building in the same aggregation,
     no joins). Every month appears (its ``kpi = 'month'`` row is always
     present), even when one KPI has no rows for it. Lists are
-    ``array<struct>`` in rank order (top-k) or key order (age groups); an
-    empty age list is ``[]``, not null. Gender columns are the codes 0, 1, 2;
-    ``gender_pivot(discover=True)`` lists any other code found.
+    ``array<struct>`` in rank order (top-k) or key order (age groups, gender
+    codes); an empty list is ``[]``, not null. ``gender_distribution`` holds
+    the share of every code present; the columns of the codes 0, 1, 2 repeat
+    the usual ones.
     """
     rows = _ranked(month_counts(kpi_base(clean), with_month_totals=True), k)
 
@@ -280,6 +275,8 @@ def kpi_report_wide(clean: DataFrame, k: int = S.TOP_K) -> DataFrame:
                     .alias(_slot_column(slot)))
     aggs.append(F.collect_list(F.when(is_("age_group"), F.struct(
         F.col("key").alias("age_group"), F.col("pct")))).alias("_age"))
+    aggs.append(F.collect_list(F.when(is_("gender"), F.struct(
+        F.col("key").cast("int").alias("code"), F.col("pct")))).alias("_gender"))
     for name, out in [("bike", "top_bikes"), ("start_station", "top_start_stations"),
                       ("end_station", "top_end_stations")]:
         aggs.append(F.collect_list(F.when(is_(name), F.struct(
@@ -294,6 +291,7 @@ def kpi_report_wide(clean: DataFrame, k: int = S.TOP_K) -> DataFrame:
         *MONTH, "avg_trip_duration_min", "avg_trip_distance_km", "n_trips",
         *[f"gender_{c}_pct" for c in S.GENDER_CODES],
         *[_slot_column(s) for s in S.TIME_SLOTS],
+        F.array_sort("_gender").alias("gender_distribution"),
         F.array_sort("_age").alias("age_distribution"),
         by_rank("_top_bikes").alias("top_bikes"),
         by_rank("_top_start_stations").alias("top_start_stations"),
@@ -310,14 +308,16 @@ def render_pairs(col: str, key_field: str, value_field: str, percent: bool = Fal
     return F.array_join(F.transform(F.col(col), one), ";")
 
 
+LISTS = {"gender_distribution": ("code", "pct"), "age_distribution": ("age_group", "pct"), "top_bikes": ("key", "n"),
+         "top_start_stations": ("key", "n"), "top_end_stations": ("key", "n")}
+
+
+def report_as_text(wide: DataFrame) -> DataFrame:
+    """A wide report with its lists rendered as text."""
+    return wide.select(*[c for c in wide.columns if c not in LISTS],
+                       *[render_pairs(c, k, v, percent=v == "pct").alias(c) for c, (k, v) in LISTS.items()])
+
+
 def kpi_report_wide_text(clean: DataFrame, k: int = S.TOP_K) -> DataFrame:
-    """The wide report with its four lists rendered as text."""
-    wide = kpi_report_wide(clean, k)
-    return wide.select(
-        *[c for c in wide.columns if c not in
-          ("age_distribution", "top_bikes", "top_start_stations", "top_end_stations")],
-        render_pairs("age_distribution", "age_group", "pct", percent=True).alias("age_distribution"),
-        render_pairs("top_bikes", "key", "n").alias("top_bikes"),
-        render_pairs("top_start_stations", "key", "n").alias("top_start_stations"),
-        render_pairs("top_end_stations", "key", "n").alias("top_end_stations"),
-    )
+    """The wide report with its lists rendered as text."""
+    return report_as_text(kpi_report_wide(clean, k))

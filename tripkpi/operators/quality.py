@@ -109,16 +109,29 @@ def unmatched_stations(trips: DataFrame, stations: DataFrame,
                        end_col: str = "end_station_id") -> DataFrame:
     """Trip station ids (start or end, non-null) missing from the station master.
 
-    Distinct first (partial aggregation shrinks the fact side to one row per
-    id per task), then a left-anti join against the dimension's ids.
+    One pass over the trips: each row yields its two ids, a distinct (combined
+    map-side) shrinks them to the ids that occur, and an anti join against the
+    dimension leaves those without a station.
     """
-    ids = (trips.select(F.col(start_col).alias("station_id"))
-           .unionByName(trips.select(F.col(end_col).alias("station_id")))
+    ids = (trips.select(F.explode(F.array(F.col(start_col), F.col(end_col))).alias("station_id"))
            .filter(F.col("station_id").isNotNull())
            .distinct())
     return ids.join(stations.select("station_id"), "station_id", "left_anti")
 
 
+def station_quality(raw: DataFrame) -> DataFrame:
+    """Station master outcome in one row: raw, valid and rejected rows, duplicated ids."""
+    ids = raw.select("station_id", "latitude", "longitude")
+    lat_lo, lat_hi = S.STATION_LAT_RANGE
+    lon_lo, lon_hi = S.STATION_LON_RANGE
+    valid = (F.col("station_id").isNotNull() & F.coalesce(F.col("latitude").between(lat_lo, lat_hi), F.lit(False))
+             & F.coalesce(F.col("longitude").between(lon_lo, lon_hi), F.lit(False)))
+    per_id = ids.groupBy("station_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(valid).alias("v"))
+    return per_id.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum("v"), F.lit(0)).alias("n_valid"),
+                      F.coalesce(F.sum(F.col("n") - F.col("v")), F.lit(0)).alias("n_rejected"),
+                      F.count_if(F.col("n") > 1).alias("n_duplicated_ids"))
+
+
 def check_required_columns(df: DataFrame, required: list[str] | None = None) -> DataFrame:
     """Fail fast when columns are missing or the table is empty.
 

@@ -6,15 +6,20 @@
     python -m tripkpi.plans.jobs build-all  --new-base B1 --old-base B2 [--stations-path S]
                                             --clean-path P --kpi-path R [--quality-path Q]
 
-Each job is one Spark application whose plan reads every input once per
-action. ``build-all`` unions both layouts before a single dynamic-overwrite
-write, so a month present in both layouts keeps the rows of both.
-
-``--headers auto`` (default) reads the raw CSV in one pass, with Spark
-checking every file's header against the expected one; only if some file's
-columns come in another order (the write fails and commits nothing) is the
-job redone with per-file header discovery. ``known`` never falls back,
-``discover`` always discovers first.
+Each job is one Spark application. Raw CSV is read once per layout:
+``build-all`` types both layouts and stages the typed rows in the shared
+scratch folder (``spark.checkpoint.dir``), and the clean table, the quality
+report and the per-file counts all come from there. Both layouts are unioned
+before a single dynamic-overwrite write, so a month present in both keeps the
+rows of both.
+
+``--headers discover`` (default) binds every file's columns by its own header;
+``known`` reads natively, in one pass, and fails if a file's header differs.
+
+``--quality-path`` gets one folder per report: ``months`` (reject reasons per
+month), ``stations`` (station rows read, valid, rejected; duplicated ids),
+``station_duplicates`` and ``unmatched_stations`` (ids that trips name and the
+station master lacks).
 """
 
 from __future__ import annotations
@@ -22,48 +27,37 @@ from __future__ import annotations
 import argparse
 import sys
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
 from tripkpi import schemas as S
 from tripkpi.operators import kpis
+from tripkpi.operators import quality as Q
 from tripkpi.plans import layouts
+from tripkpi.session import scratch_path
 from tripkpi.sinks.parquet import write_clean_trips, write_kpi_report
 from tripkpi.sources import csv_layouts
 from tripkpi.sources.parquet import read_clean_trips
-from tripkpi.sources.stations import read_station_master
-
+from tripkpi.sources.stations import read_station_csv, station_master
 
-HEADER_MISMATCH = "CSV header does not conform to the schema"
-HEADER_MODES = ("auto", "known", "discover")
+HEADER_MODES = ("discover", "known")
 
 
-def run_with_headers(mode: str, job: Callable[[bool], None]) -> None:
-    """Run ``job(headers_known)`` under a header mode (see module doc)."""
-    if mode not in HEADER_MODES:
+def _known(headers: str) -> bool:
+    if headers not in HEADER_MODES:
         raise ValueError(f"headers must be one of {HEADER_MODES}")
-    if mode == "discover":
-        return job(False)
-    try:
-        job(True)
-    except Exception as e:  # Py4J wraps the Spark error; match on its message
-        if mode == "known" or HEADER_MISMATCH not in str(e):
-            raise
-        job(False)
+    return headers == "known"
 
 
-def clean_new_job(spark: SparkSession, base: str, output: str, headers: str = "auto") -> None:
+def clean_new_job(spark: SparkSession, base: str, output: str, headers: str = "discover") -> None:
     """New-layout CSV folders -> partitioned clean table."""
-    run_with_headers(headers, lambda known: write_clean_trips(
-        layouts.read_and_clean_new(spark, base, headers_known=known), output))
+    write_clean_trips(layouts.read_and_clean_new(spark, base, headers_known=_known(headers)), output)
 
 
 def clean_old_job(spark: SparkSession, base: str, output: str, stations_path: str | None = None,
-                  dedupe: bool = False, headers: str = "auto") -> None:
+                  dedupe: bool = False, headers: str = "discover") -> None:
     """Old-layout CSV folders + station master -> partitioned clean table."""
-    run_with_headers(headers, lambda known: write_clean_trips(
-        layouts.read_and_clean_old(spark, base, stations_path, dedupe, headers_known=known), output))
+    write_clean_trips(layouts.read_and_clean_old(spark, base, stations_path, dedupe,
+                                                 headers_known=_known(headers)), output)
 
 
 def kpi_job(spark: SparkSession, input_path: str, output: str, fmt: str = "parquet") -> DataFrame:
@@ -73,26 +67,39 @@ def kpi_job(spark: SparkSession, input_path: str, output: str, fmt: str = "parqu
     return wide
 
 
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def build_all(spark: SparkSession, new_base: str, old_base: str, clean_path: str, kpi_path: str,
               stations_path: str | None = None, quality_path: str | None = None,
-              fmt: str = "parquet", headers: str = "auto", file_counts_path: str | None = None) -> None:
-    """Both layouts -> one clean table -> KPI report, in one application."""
-    stations_path = stations_path or f"{old_base.rstrip('/')}/{S.STATIONS_FILE_NAME}"
-    stations = read_station_master(spark, stations_path)
-
-    def clean_and_quality(known: bool) -> None:
-        raw_new = csv_layouts.scan_new_layout(spark, new_base, headers_known=known)
-        raw_old = csv_layouts.scan_old_layout(spark, old_base, headers_known=known)
-        clean = layouts.unify(layouts.clean_new(raw_new), layouts.clean_old(raw_old, stations))
-        write_clean_trips(clean, clean_path)
-        if quality_path:
-            q = layouts.quality_new(raw_new).unionByName(layouts.quality_old(raw_old, stations))
-            q.write.mode("overwrite").parquet(quality_path)
-        if file_counts_path:
-            f = layouts.file_counts_new(raw_new).unionByName(layouts.file_counts_old(raw_old, stations))
-            f.write.mode("overwrite").parquet(file_counts_path)
-
-    run_with_headers(headers, clean_and_quality)
+              fmt: str = "parquet", headers: str = "discover", file_counts_path: str | None = None,
+              new_files: dict | None = None, old_files: dict | None = None) -> None:
+    """Both layouts -> one clean table -> KPI report, in one application.
+
+    ``new_files`` / ``old_files`` override the folder and file globs of a layout.
+    """
+    stations_raw = read_station_csv(spark, stations_path or f"{old_base.rstrip('/')}/{S.STATIONS_FILE_NAME}")
+    stations = station_master(stations_raw)
+    known = _known(headers)
+    raw_new = csv_layouts.scan_new_layout(spark, new_base, headers_known=known, **(new_files or {}))
+    raw_old = csv_layouts.scan_old_layout(spark, old_base, headers_known=known, **(old_files or {}))
+    new = _staged(layouts.typed_new_layout(raw_new, passthrough=["source_file"]), "typed-new")
+    old = _staged(layouts.typed_old_layout(raw_old, stations, passthrough=["source_file"]), "typed-old")
+    write_clean_trips(Q.validate_trips(layouts.unify(new, old)), clean_path)
+    if quality_path:
+        reports = {
+            "months": layouts.quality(new, from_folder=True).unionByName(layouts.quality(old, from_folder=False)),
+            "stations": Q.station_quality(stations_raw),
+            "station_duplicates": Q.station_duplicates(stations_raw),
+            "unmatched_stations": Q.unmatched_stations(old, stations),
+        }
+        for name, report in reports.items():
+            report.write.mode("overwrite").parquet(f"{quality_path.rstrip('/')}/{name}")
+    if file_counts_path:
+        Q.file_counts(new).unionByName(Q.file_counts(old)).write.mode("overwrite").parquet(file_counts_path)
     kpi_job(spark, clean_path, kpi_path, fmt)
 
 
@@ -122,8 +129,8 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--file-counts-path")
     d.add_argument("--format", default="parquet", choices=["parquet", "json"])
     for p in (a, b, d):
-        p.add_argument("--headers", default="auto", choices=HEADER_MODES,
-                       help="raw CSV header handling (default: one pass, discovery only on mismatch)")
+        p.add_argument("--headers", default="discover", choices=HEADER_MODES,
+                       help="raw CSV headers: bound per file, or known to be alike (native read, fails if not)")
     args = ap.parse_args(argv)
 
     from tripkpi.session import get_spark

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripkpi import schemas as S
 from tripkpi.operators import cleaning
-from tripkpi.operators.quality import file_counts, period_mismatch, reject_reasons
+from tripkpi.operators.quality import period_mismatch, reject_reasons
 from tripkpi.sources import csv_layouts
 from tripkpi.sources.stations import read_station_master
 
@@ -64,23 +64,9 @@ def read_and_clean_old(spark: SparkSession, base: str, stations_path: str | None
     return clean_old(csv_layouts.scan_old_layout(spark, base, **scan_kw), stations, dedupe)
 
 
-def quality_new(raw: DataFrame) -> DataFrame:
-    """F6 for the new layout: reject reasons per (year, month) of the folder,
-    plus ``n_period_mismatch``: trips that started outside their folder's month."""
-    return reject_reasons(typed_new_layout(raw), {"period_mismatch": period_mismatch()})
-
-
-def quality_old(raw: DataFrame, stations: DataFrame) -> DataFrame:
-    """F6 for the old layout (year/month come from the trip start, so no mismatch)."""
-    return reject_reasons(typed_old_layout(raw, stations)).withColumn(
-        "n_period_mismatch", F.lit(0).cast("bigint"))
-
-
-def file_counts_new(raw: DataFrame) -> DataFrame:
-    """A10 per file for the new layout: raw and valid rows per source file."""
-    return file_counts(typed_new_layout(raw, passthrough=["source_file"]))
-
-
-def file_counts_old(raw: DataFrame, stations: DataFrame) -> DataFrame:
-    """A10 per file for the old layout (a duplicated station id fans rows out, as in the job)."""
-    return file_counts(typed_old_layout(raw, stations, passthrough=["source_file"]))
+def quality(typed: DataFrame, from_folder: bool) -> DataFrame:
+    """F6 of typed rows: reject reasons per (year, month), and for a layout whose month comes from the
+    folder ``n_period_mismatch``: trips that started outside their folder's month (else 0)."""
+    if from_folder:
+        return reject_reasons(typed, {"period_mismatch": period_mismatch()})
+    return reject_reasons(typed).withColumn("n_period_mismatch", F.lit(0).cast("bigint"))

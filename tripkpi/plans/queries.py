@@ -22,8 +22,9 @@ from tripkpi.operators import cleaning
 from tripkpi.operators.joins import join_station_coordinates
 from tripkpi.plans import fixtures as X
 from tripkpi.plans import layouts as L
+from tripkpi.plans.jobs import build_all
 from tripkpi.session import scratch_path
-from tripkpi.sinks.parquet import write_clean_trips
+from tripkpi.sinks.parquet import read_kpi_report, write_clean_trips, write_kpi_report
 from tripkpi.sources import csv_layouts as CSV
 from tripkpi.sources import driver_tables as D
 from tripkpi.sources import landing as LD
@@ -269,12 +270,15 @@ def q_month_spine(spark, sf_dir):
 # --- sinks ------------------------------------------------------------------------------------------
 
 def _first_month(df):
-    ym = df.agg(F.min(F.col("year") * 100 + F.col("month")).alias("ym")).first().ym
-    return ym // 100, ym % 100
+    """The smallest (year, month): of the table's partition values, no data file is read."""
+    return tuple(df.select("year", "month").distinct().agg(F.min(F.struct("year", "month")).alias("m")).first().m)
 
 
 def q_clean_roundtrip(spark, sf_dir):
-    return PQ.read_clean_trips(spark, X.write_clean_table(spark, sf_dir))
+    """Write the clean table (K1) and read it back."""
+    path = scratch_path(spark, "roundtrip")
+    write_clean_trips(D.clean_trips(spark, sf_dir), path)
+    return PQ.read_clean_trips(spark, path)
 
 
 def q_month_slice(spark, sf_dir):
@@ -296,6 +300,30 @@ def q_dynamic_overwrite(spark, sf_dir):
     return PQ.read_clean_trips(spark, path)
 
 
+def q_kpi_report_sink(spark, sf_dir):
+    """Write the report (K2), then again without the first year, and read it back: the year is gone."""
+    wide = K.kpi_report_wide(PQ.read_clean_trips(spark, X.write_clean_table(spark, sf_dir)))
+    path = scratch_path(spark, "report")
+    write_kpi_report(wide, path)
+    first = read_kpi_report(spark, path).agg(F.min("year")).first()[0]
+    write_kpi_report(wide.where(F.col("year") != first), path)
+    return K.report_as_text(read_kpi_report(spark, path))
+
+
+def q_build_all(spark, sf_dir):
+    """Both layouts as CSV folders -> clean table -> report, read back."""
+    new, old = X.write_new_layout(spark, sf_dir), X.write_old_layout(spark, sf_dir)
+    out = scratch_path(spark, "build-all")
+    build_all(spark, new, old, f"{out}/clean", f"{out}/report", stations_path=f"{old}/stations",
+              new_files={"folder_glob": X.NEW_FOLDER_GLOB, "file_glob": X.CSV_FILE_GLOB},
+              old_files={"folder_glob": X.OLD_FOLDER_GLOB, "file_glob": X.CSV_FILE_GLOB})
+    return K.report_as_text(read_kpi_report(spark, f"{out}/report"))
+
+
+def q_station_quality(spark, sf_dir):
+    return Q.station_quality(D.station_raw(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     # scalars
     "time_slot": q_time_slot,
@@ -318,6 +346,7 @@ QUERIES: dict[str, Query] = {
     "trip_counts": q_trip_counts,
     "station_duplicates": q_station_duplicates,
     "unmatched_stations": q_unmatched_stations,
+    "station_quality": q_station_quality,
     # sources
     "scan_new_layout": q_scan_new_layout,
     "scan_old_layout": q_scan_old_layout,
@@ -328,6 +357,9 @@ QUERIES: dict[str, Query] = {
     "clean_roundtrip": q_clean_roundtrip,
     "dynamic_overwrite": q_dynamic_overwrite,
     "month_slice": q_month_slice,
+    "kpi_report_sink": q_kpi_report_sink,
+    # the whole flow
+    "build_all": q_build_all,
     # KPIs
     "kpi_avg_duration": q_kpi_avg_duration,
     "kpi_avg_distance": q_kpi_avg_distance,

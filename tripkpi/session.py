@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -35,6 +36,8 @@ def get_spark(master: str | None = None, app_name: str = "tripkpi",
                    .config("spark.executor.extraJavaOptions", jit)
                    .config("spark.ui.enabled", "false")
                    .config("spark.ui.showConsoleProgress", "false"))
+        if "spark.driver.memory" not in builder._options:
+            builder = builder.config("spark.driver.memory", os.environ.get("TRIPKPI_DRIVER_MEMORY", "8g"))
         cores = master[len("local["):-1] if master.startswith("local[") else ""
         if cores.isdigit():
             # Listing more than 32 paths runs a Spark job with one task per
@@ -57,32 +60,16 @@ def get_spark(master: str | None = None, app_name: str = "tripkpi",
     for key, value in defaults.items():
         if not configured.contains(key) or (key == "spark.sql.shuffle.partitions" and shuffle_partitions):
             spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def spread_if_narrow(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan that yields fewer tasks than the cluster has cores.
-
-    A Parquet row group can't be split, so a small table written as one row
-    group scans in one task and everything fused after it (joins, typing)
-    runs single-threaded. At scale a fact table has far more row groups than
-    cores and this is a no-op (no extra shuffle). Hash-partitioning on
-    ``keys`` (e.g. the next join key) avoids the per-partition sort that a
-    round-robin repartition needs to stay deterministic on retry.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a shared file system folder;
-    it is read from the session and never replaced. Only when it is unset
-    (unit tests on a laptop) is a fresh local temp folder used.
+    it is read from the session and never replaced. Only where it is unset and
+    the master is ``local`` (tests on one machine) is a fresh temp folder used;
+    elsewhere executors would not see it, so an unset folder is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -92,6 +79,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors share (master {master})")
     local = tempfile.mkdtemp(prefix="tripkpi-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir().rstrip("/")

@@ -30,10 +30,11 @@ def write_kpi_report(wide: DataFrame, path: str, fmt: str = "parquet") -> None:
 
     Parquet keeps the lists as ``array<struct>``; ``fmt='json'`` gives one
     JSON object per month for text consumers. One row per month, so the
-    report is small whatever the trip volume.
+    report is small whatever the trip volume. A run replaces the whole report:
+    years that are no longer in the data don't stay behind.
     """
     (wide.hint("rebalance", "year").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
+         .option("partitionOverwriteMode", "static")
          .partitionBy("year").format(fmt).save(path))
 
 

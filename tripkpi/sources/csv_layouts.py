@@ -7,20 +7,20 @@ with ``regexp_extract``.
 
 A multi-file CSV read binds columns by position, using the first file's
 header for all files, so two files with the same columns in another order
-would silently swap values. The reader therefore groups files by their header
-line and issues one native CSV read per distinct header (normally one), then
-``unionByName``. Header discovery is a distributed text scan that keeps only
-header-looking lines; ``headers_known=True`` skips it and instead lets Spark
-check every file's header against the first (``enforceSchema=false``), which
-fails loudly rather than swapping columns.
+would silently swap values. The reader therefore binds every line by its own
+file's header. Raw text is read once, as lines, and staged as Parquet in the
+shared scratch folder; all that follows reads the staged lines. Only the
+distinct header lines (normally one) reach the driver. Which file has which
+header stays a DataFrame, joined by file path where there is more than one
+header. ``headers_known=True`` does without staging: one native CSV read in
+which Spark checks every file's header against the first
+(``enforceSchema=false``) and fails rather than swap columns.
 """
 
 from __future__ import annotations
 
 import csv
 import io
-from collections import defaultdict
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tripkpi import schemas as S
 from tripkpi.operators import cleaning
+from tripkpi.session import scratch_path
 
 CSV_OPTIONS = {"header": "true", "inferSchema": "false", "quote": '"', "escape": "\\"}
 
@@ -42,67 +43,72 @@ def _default_folder_glob(digits: int) -> str:
 
 
 def _parse_header(line: str) -> tuple[str, ...]:
-    return tuple(next(csv.reader(io.StringIO(line), quotechar='"', escapechar="\\")))
+    return tuple(next(csv.reader(io.StringIO(line.lstrip("\ufeff")), quotechar='"', escapechar="\\")))
 
 
-def discover_headers(spark: SparkSession, glob: str, layout: S.Layout) -> dict[tuple[str, ...], list[str]]:
-    """Map each distinct header (column names) to the files that carry it.
+def _staged_lines(spark: SparkSession, glob: str, layout: S.Layout, period_regex: str) -> DataFrame:
+    """``source_file, period, value, is_header`` of every non-blank line, read once and staged.
 
     A header line is recognised by containing the layout's duration, start and
-    end column names. The result is metadata: at most one entry per file per
-    distinct header, never trip rows. Every file the glob matches must have a
-    header, so no file's rows can drop out silently.
+    end column names.
     """
+    path = scratch_path(spark, "raw-lines")
+    value = F.col("value")
+    is_header = value.contains(layout.duration) & value.contains(layout.start) & value.contains(layout.end)
     try:
-        lines = spark.read.text(glob)
+        lines = spark.read.text(glob).select(F.col("_metadata.file_path").alias("source_file"), "value")
     except AnalysisException as e:
         raise ValueError(f"no {layout.name}-layout CSV files match {glob}") from e
-    looks_like_header = (F.col("value").contains(layout.duration)
-                         & F.col("value").contains(layout.start)
-                         & F.col("value").contains(layout.end))
-    found = (lines
-             .filter(looks_like_header)
-             .select(F.col("_metadata.file_path").alias("file_path"), "value")
-             .distinct()
-             .collect())
-    by_file: dict[str, set[tuple[str, ...]]] = defaultdict(set)
-    for row in found:
-        by_file[row.file_path].add(_parse_header(row.value))
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path, headers in by_file.items():
-        if len(headers) > 1:
-            raise ValueError(f"{path} holds {len(headers)} different header lines")
-        (header,) = headers
+    lines = lines.withColumn("period", F.regexp_extract("source_file", period_regex, 1)).withColumn("is_header", is_header)
+    lines.where((F.col("period") != "") & (F.trim("value") != "")).write.parquet(path)
+    return spark.read.schema(lines.schema).parquet(path)
+
+
+def _checked_headers(lines: DataFrame, layout: S.Layout, glob: str) -> dict[str, tuple[str, ...]]:
+    """Distinct header line -> column names, after checking that every file has one kind of header.
+
+    The driver gets the distinct header lines and, for an error, three paths.
+    """
+    own = F.when(F.col("is_header"), F.col("value"))
+    files = lines.groupBy("source_file").agg(F.min(own).alias("lo"), F.max(own).alias("hi"))
+    for bad, what in ((F.col("lo").isNull(), f"without a {layout.name}-layout header"),
+                      (F.col("lo") != F.col("hi"), "with different header lines")):
+        some = [r.source_file for r in files.where(bad).limit(3).collect()]
+        if some:
+            raise ValueError(f"files {what}, e.g. {some}")
+    found = {r.value: _parse_header(r.value) for r in lines.where("is_header").select("value").distinct().collect()}
+    if not found:
+        raise ValueError(f"no {layout.name}-layout header found in files matching {glob}")
+    for header in found.values():
         missing = [c for c in layout.required if c not in header]
         if missing:
-            raise ValueError(f"{path} is missing required columns {missing}")
-        groups[header].append(path)
-    if not groups:
-        raise ValueError(f"no {layout.name}-layout header found in files matching {glob}")
-    # inputFiles() comes from the file index (listing metadata), not from a job
-    without = sorted(set(_norm_path(f) for f in lines.inputFiles())
-                     - set(_norm_path(f) for f in by_file))
-    if without:
-        raise ValueError(f"{len(without)} file(s) without a {layout.name}-layout header, e.g. {without[:3]}")
-    return {h: sorted(p) for h, p in groups.items()}
-
-
-def _norm_path(path: str) -> str:
-    """Compare file URIs and plain paths alike (``file:///a`` == ``file:/a`` == ``/a``)."""
-    for prefix in ("file://", "file:"):
-        if path.startswith(prefix):
-            return path[len(prefix):]
-    return path
-
-
-def _read_csv(spark: SparkSession, paths: str | list[str], enforce: bool = True) -> DataFrame:
-    reader = spark.read.options(**CSV_OPTIONS)
-    if not enforce:
-        reader = reader.option("enforceSchema", "false")
-    try:
-        return reader.csv(paths)
-    except AnalysisException as e:
-        raise ValueError(f"no CSV files at {paths}") from e
+            raise ValueError(f"a header of {glob} is missing required columns {missing}: {header}")
+    return found
+
+
+def _bound_by_header(lines: DataFrame, headers: dict[str, tuple[str, ...]]) -> DataFrame:
+    """Data lines with a column for each header name, bound by the line's own file's header."""
+    data = lines.where(~F.col("is_header"))
+    if len(set(headers.values())) > 1:
+        per_file = lines.where("is_header").select(F.col("source_file").alias("header_file"),
+                                                   F.col("value").alias("header")).distinct()
+        data = data.join(per_file, F.col("source_file") == F.col("header_file")).drop("header_file")
+    else:
+        data = data.withColumn("header", F.lit(next(iter(headers))))
+    width = max(len(h) for h in headers.values())
+    fields = F.from_csv("value", ", ".join(f"c{i} string" for i in range(width)), {k: v for k, v in CSV_OPTIONS.items()
+                                                                                   if k in ("quote", "escape")})
+    # inline() is a step of its own: every line is parsed once, whatever columns are taken from it
+    data = data.select("source_file", "period", "header", F.inline(F.array(fields)))
+    names = dict.fromkeys(n for h in headers.values() for n in h)
+    columns = []
+    for name in names:
+        at = None
+        for line, header in headers.items():
+            field = F.col(f"c{header.index(name)}") if name in header else F.lit(None).cast("string")
+            at = F.when(F.col("header") == line, field) if at is None else at.when(F.col("header") == line, field)
+        columns.append(at.alias(name))
+    return data.select("source_file", "period", *columns)
 
 
 def scan_layout(spark: SparkSession, glob: str, layout: S.Layout, period_regex: str,
@@ -111,28 +117,23 @@ def scan_layout(spark: SparkSession, glob: str, layout: S.Layout, period_regex:
 
     Returns the conformed raw frame (see ``operators.cleaning``) plus
     ``period`` (the key matched by ``period_regex`` on the file path) and
-    ``source_file``. Rows whose path does not yield a key are dropped.
+    ``source_file``. Files whose path does not yield a key are left out, and
+    so are header lines wherever they stand.
     """
     if headers_known:
-        frames = [_read_csv(spark, glob, enforce=False)]
-        missing = [c for c in layout.required if c not in frames[0].columns]
+        try:
+            df = spark.read.options(**CSV_OPTIONS).option("enforceSchema", "false").csv(glob)
+        except AnalysisException as e:
+            raise ValueError(f"no CSV files at {glob}") from e
+        missing = [c for c in layout.required if c not in df.columns]
         if missing:
             raise ValueError(f"files at {glob} are missing required columns {missing}")
-    else:
-        groups = discover_headers(spark, glob, layout)
-        if len(groups) == 1:
-            # the common case: one header everywhere -> read by the glob, not
-            # by a list of (possibly thousands of) file paths
-            frames = [_read_csv(spark, glob)]
-        else:
-            frames = [_read_csv(spark, paths) for paths in groups.values()]
-    conformed = []
-    for df in frames:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
-        df = df.withColumn("period", F.regexp_extract("source_file", period_regex, 1))
-        conformed.append(cleaning.conform_layout(df, layout, extra=["period", "source_file"]))
-    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), conformed)
-    return out.filter(F.col("period") != "")
+        df = df.withColumn("period", F.regexp_extract("source_file", period_regex, 1)).where(F.col("period") != "")
+    else:
+        lines = _staged_lines(spark, glob, layout, period_regex)
+        df = _bound_by_header(lines, _checked_headers(lines, layout, glob))
+    return cleaning.conform_layout(df, layout, extra=["period", "source_file"])
 
 
 def scan_new_layout(spark: SparkSession, base: str, folder_glob: str | None = None,

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from tripkpi import schemas as S
 from tripkpi.operators import cleaning
-from tripkpi.session import spread_if_narrow
 
 TRIPS_PERIOD_DIVISOR = S.NEW_LAYOUT_DURATION_DIVISOR  # the view's durations are seconds
 
@@ -54,8 +53,9 @@ def _seconds(expr):
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trips: ``dur_s, start_ts, end_ts, start/end station id+name, bike_id,
     birth_year_raw, gender_raw`` plus the line identity ``trip_order, trip_line``."""
-    li = spread_if_narrow(read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), "l_orderkey")
+    # the join's own exchange, stated: at any size the fact side is dealt by its join key
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").repartition("l_orderkey")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     x = li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
     ok, pk, sk, ln = (F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"),
@@ -75,6 +75,7 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(cust % 11 == 0, marker).when(cust % 11 == 1, F.lit("0"))
          .otherwise((F.lit(1890) + cust % 140).cast("string")).alias("birth_year_raw"),
         F.when(F.col("o_orderkey") % 4 == 3, marker)
+         .when(cust % 13 == 4, F.lit("3")).when(cust % 13 == 5, F.lit("7"))   # codes beyond the usual
          .otherwise((F.col("o_orderkey") % 4).cast("string")).alias("gender_raw"),
     )
     return x.select(
