@@ -132,32 +132,33 @@ def valid_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "e
 
 
 def classes(vectors: DataFrame, copies: int) -> DataFrame:
-    """(rep, vector, ids): distinct vectors with their ``copies`` smallest ids, the first their representative."""
+    """(rep, first, vector, ids): distinct vectors, numbered, with their ``copies`` smallest ids."""
     first = Window.partitionBy("vector").orderBy("vec_id")
     some = vectors.distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= copies)
     ids = some.groupBy("vector").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
     # a repeated id may stand for several vectors: the class number keeps them apart
-    return ids.select(F.xxhash64("ids", "vector").alias("rep"), "vector", "ids")
+    return ids.select(F.xxhash64("ids", "vector").alias("rep"), F.col("ids")[0].alias("first"), "vector", "ids")
 
 
-def _scan(block: np.ndarray, queries: np.ndarray, reps: np.ndarray, k: int,
-          allowed: np.ndarray | None = None):
-    """(query, row of block, score) of each query's best k rows; scores summed alike for all pairs."""
+def _scan(block: np.ndarray, queries: np.ndarray, first: np.ndarray, k: int, allowed: np.ndarray | None = None):
+    """(query, row of block, score) of each query's best k rows, ties to the smaller ``first``.
+
+    Scores are summed alike for all pairs; the matrix product only picks the
+    rows that may be among the best, whatever its rounding.
+    """
     got = queries @ block.T
     if allowed is not None:
         got[~allowed] = -np.inf
-    keep = min(k + 4, got.shape[1])                       # a margin for the product's rounding
-    part = np.argpartition(-got, keep - 1, axis=1)[:, :keep] if keep < got.shape[1] else \
-        np.broadcast_to(np.arange(got.shape[1]), got.shape)
-    q = np.repeat(np.arange(len(queries)), part.shape[1])
-    r = part.ravel()
-    fine = np.isfinite(got[q, r])
-    q, r = q[fine], r[fine]
+    if k < got.shape[1]:
+        least = np.partition(got, got.shape[1] - k, axis=1)[:, -k]
+        scale = np.sqrt((queries ** 2).sum(1) * (block ** 2).sum(1).max())
+        q, r = np.nonzero((got >= (least - 1e-9 * scale)[:, None]) & np.isfinite(got))
+    else:
+        q, r = np.nonzero(np.isfinite(got))
     exact = np.einsum("ij,ij->i", queries[q], block[r])
-    order = np.lexsort((reps[r], -exact, q))
+    order = np.lexsort((first[r], -exact, q))
     q, r, exact = q[order], r[order], exact[order]
-    place = np.arange(len(q)) - np.searchsorted(q, q, "left")
-    top = place < k
+    top = np.arange(len(q)) - np.searchsorted(q, q, "left") < k
     return q[top], r[top], exact[top]
 
 
@@ -232,7 +233,8 @@ def search(table: DataFrame, *, k: int = K, query_every: int = QUERY_EVERY, samp
         for b in batches:
             yield b.append_column("leaf", pa.array(held.value.assign(_stack(b.column(1), size)).astype(np.int32)))
 
-    indexed = staged(found.select("rep", "vector").mapInArrow(index, "rep long, vector array<double>, leaf int"), "ann-index")
+    indexed = staged(found.select("rep", "vector", "first").mapInArrow(
+        index, "rep long, vector array<double>, first long, leaf int"), "ann-index")
     visits = calibrate(indexed, tree, size, k, target=target)
     counts = {r["leaf"]: r["count"] for r in indexed.groupBy("leaf").count().collect()}
     unit_rows = min(1 << 16, max(1 << 10, count // 64))
@@ -247,10 +249,10 @@ def search(table: DataFrame, *, k: int = K, query_every: int = QUERY_EVERY, samp
 
     def place(batches):
         for b in batches:
-            leaf, reps = np.asarray(b.column(2)), np.asarray(b.column(0))
-            first = np.array([plan.value[x][0] for x in leaf.tolist()])
+            leaf, reps = np.asarray(b.column(3)), np.asarray(b.column(0))
+            unit = np.array([plan.value[x][0] for x in leaf.tolist()])
             parts = np.array([plan.value[x][1] for x in leaf.tolist()])
-            yield b.append_column("unit", pa.array((first + (reps.view(np.uint64) % parts.astype(np.uint64)).astype(np.int64)).astype(np.int32)))
+            yield b.append_column("unit", pa.array((unit + (reps.view(np.uint64) % parts.astype(np.uint64)).astype(np.int64)).astype(np.int32)))
 
     def route(batches):
         for b in batches:
@@ -269,7 +271,7 @@ def search(table: DataFrame, *, k: int = K, query_every: int = QUERY_EVERY, samp
                     pa.array([o[2] for o in out], pa.list_(pa.int32())), pa.array([o[3] for o in out], pa.int32())],
                     ["rep", "vector", "leaves", "unit"])
 
-    rows_ = indexed.mapInArrow(place, "rep long, vector array<double>, leaf int, unit int").withColumn(
+    rows_ = indexed.mapInArrow(place, "rep long, vector array<double>, first long, leaf int, unit int").withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asks = distinct.mapInArrow(route, "rep long, vector array<double>, leaves array<int>, unit int").withColumn(
         "part", F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int"))
@@ -278,13 +280,14 @@ def search(table: DataFrame, *, k: int = K, query_every: int = QUERY_EVERY, samp
         if not len(left) or not len(right):
             return pd.DataFrame({"query": pd.Series([], "int64"), "rep": pd.Series([], "int64"), "score": pd.Series([], "float64")})
         block, reps, leaf = np.stack(left["vector"].to_list()), left["rep"].to_numpy(), left["leaf"].to_numpy()
+        first = left["first"].to_numpy()
         kinds, col = np.unique(leaf, return_inverse=True)
         queries, out = right["rep"].to_numpy(), []
         step = max(16, (1 << 22) // len(block))
         for at in range(0, len(right), step):
             part = right.iloc[at:at + step]
             seen = np.stack([np.isin(kinds, x) for x in part["leaves"]])
-            i, r, s = _scan(block, np.stack(part["vector"].to_list()), reps, k + 1, seen[:, col])
+            i, r, s = _scan(block, np.stack(part["vector"].to_list()), first, k + 1, seen[:, col])
             out.append(pd.DataFrame({"query": queries[at:at + step][i], "rep": reps[r], "score": s}))
         return pd.concat(out)
 
