@@ -229,7 +229,9 @@ def pieces(placed: DataFrame, drawn: DataFrame, block: int = BLOCK) -> DataFrame
     own = placed.where("size > 0").select(
         "doc_id", "tie", "rank", "start", "size", F.explode(F.sequence(
             F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block_no"))
-    both = own.join(drawn, ["rank", "block_no"])
+    # the draws grow with the corpus but come from a small table of runs: their estimated size must not
+    # make Spark broadcast them
+    both = own.join(drawn.hint("merge"), ["rank", "block_no"])
     lo = F.greatest(F.col("start"), F.col("block_no") * block) - F.col("start")
     hi = F.least(F.col("start") + F.col("size"), F.col("block_no") * block + F.col("take")) - F.col("start")
     return both.select("doc_id", "tie", "rank", "start", "shard", "slot", "turn", lo.alias("lo"),
@@ -272,7 +274,10 @@ def mixed_documents(docs: DataFrame, *, weights=WEIGHTS, share: float = SHARE, b
     got = got.select(F.coalesce("doc_id", no_id).alias("mix_id"), F.col("tie").alias("mix_key"),
                      F.col("start").alias("mix_start"), F.col("runs").alias("mix_runs"))
     got = got.withColumn("mix_copy", F.dense_rank().over(copies))
-    own = docs.select(*[F.col(f"`{n}`") for n in docs.columns],
+    names, fields = docs.columns, docs.schema
+    text_at, chars_at = names.index("text"), names.index("n_chars") if "n_chars" in names else None
+    # the documents' columns go by number, so that none clashes with those of the mix
+    own = docs.select(*[F.col(f"`{n}`").alias(f"mix_own_{i}") for i, n in enumerate(names)],
                       F.coalesce(F.col("doc_id").cast("long"), no_id).alias("mix_own_id"),
                       F.xxhash64(F.col("source").cast("string"), F.col("text").cast("string")).alias("mix_own_key"))
     own = own.withColumn("mix_no", F.row_number().over(
@@ -280,8 +285,6 @@ def mixed_documents(docs: DataFrame, *, weights=WEIGHTS, share: float = SHARE, b
     # the copy numbers stay out of the join keys: both sides keep the windows' partitioning
     both = own.join(got, (F.col("mix_own_id") == F.col("mix_id")) & (F.col("mix_own_key") == F.col("mix_key"))
                     & (F.col("mix_no") - F.col("mix_copy") == 0))
-    names, fields = docs.columns, docs.schema
-    text_at, chars_at = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
     def cut(batches):
         for pdf in batches:
@@ -290,9 +293,11 @@ def mixed_documents(docs: DataFrame, *, weights=WEIGHTS, share: float = SHARE, b
             pdf.isetitem(text_at, new)
             if chars_at is not None:
                 pdf.isetitem(chars_at, [len(t) for t in new])
-            yield pdf.iloc[:, :len(names)]
+            pdf = pdf.iloc[:, :len(names)]
+            pdf.columns = names
+            yield pdf
 
-    return both.select(*[F.col(f"`{n}`") for n in names], "mix_runs").mapInPandas(cut, fields)
+    return both.select(*[f"mix_own_{i}" for i in range(len(names))], "mix_runs").mapInPandas(cut, fields)
 
 
 def _joined(runs) -> list[tuple[int, int]]:
