@@ -25,7 +25,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     no near duplicates of anything, and those without an id aren't judged: they stay.
     """
     kept = minhash_hamming.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    stay = docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    stay = docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id"])
     return stay.unionByName(docs.where("doc_id is null"))
 
 

@@ -217,10 +217,11 @@ def remove_spans(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, max
         return docs.mapInArrow(_cutter(text_at, chars_at, len(docs.columns), held[0]), docs.schema)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     hits = _merged(src.withColumn("text_key", F.xxhash64("text")), [_scan(h) for h in held]).where("contaminated")
-    hits = hits.select(F.col("doc_id").alias("hit_id"), "text_key", "hit_words").dropDuplicates(["hit_id", "text_key"])
+    hits = hits.select(F.col("doc_id").alias("hit_id"), "text_key", F.col("hit_words").alias("_hit_words")).dropDuplicates(
+        ["hit_id", "text_key"])
     d, h = docs.alias("d"), hits.alias("h")
     both = d.join(h, F.col("d.doc_id").cast("long").eqNullSafe(F.col("h.hit_id"))
-                  & (F.xxhash64(F.col("d.text")) == F.col("h.text_key")), "left").select("d.*", "h.hit_words")
+                  & (F.xxhash64(F.col("d.text")) == F.col("h.text_key")), "left").select("d.*", "h._hit_words")
     return both.mapInArrow(_cutter(text_at, chars_at, len(docs.columns), None), docs.schema)
 
 
