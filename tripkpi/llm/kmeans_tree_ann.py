@@ -237,7 +237,8 @@ def search(table: DataFrame, *, k: int = K, query_every: int = QUERY_EVERY, samp
         index, "rep long, vector array<double>, first long, leaf int"), "ann-index")
     visits = calibrate(indexed, tree, size, k, target=target)
     counts = {r["leaf"]: r["count"] for r in indexed.groupBy("leaf").count().collect()}
-    unit_rows = min(1 << 16, max(1 << 10, count // 64))
+    # every unit a query visits returns k + 1 rows, so units grow with the index, up to what a task holds
+    unit_rows = min(1 << 17, max(1 << 10, count // 16))
     plan = spark.sparkContext.broadcast(_pack(counts, unit_rows))
 
     # one search per distinct query vector
