@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripkpi.llm import textvec as V
+from tripkpi.llm.tables import bounded_batches
 
 FILTERS = 16
 WIDTH = 6
@@ -224,6 +225,7 @@ def _long_score(model: ConvNet, data: np.ndarray, span: int = 1 << 19) -> float:
 
 def quality(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, fit_rows: int = FIT_ROWS) -> DataFrame:
     """Per document: whether it is held out, its score and the prediction."""
+    bounded_batches(docs)
     net = fit(docs, labels, fit_rows=fit_rows)
     score = scorer(net, docs.sparkSession)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -238,6 +240,7 @@ def quality(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD,
 
 def keep_good(docs: DataFrame, labelled_docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     """The documents (same columns) that score at least ``threshold``; the network learns from ``labelled_docs``."""
+    bounded_batches(docs)
     net = fit(labelled_docs, labels)
     score = scorer(net, docs.sparkSession)
     text_at, width = docs.columns.index("text"), len(docs.columns)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripkpi.llm import textvec as V
-from tripkpi.llm.tables import staged
+from tripkpi.llm.tables import bounded_batches, staged
 
 WINDOW = 10
 MAX_WINDOWS = 1 << 20
@@ -141,6 +141,7 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, ma
                   id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
                   item_text: str = "text") -> DataFrame:
     """One row per document: words, hit words, items hit, and the hit word ranges."""
+    bounded_batches(docs)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     held = _blocks(items, window, max_windows, item_id, item_text)
     if len(held) == 1:
@@ -210,6 +211,7 @@ def remove_spans(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, max
     the text around it stays as it is. A document whose words were all hit goes.
     ``n_chars``, where present, follows the text.
     """
+    bounded_batches(docs)
     held = _blocks(items, window, max_windows, "item_id", "text")
     text_at = docs.columns.index("text")
     chars_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripkpi.llm.tables import staged
+from tripkpi.llm.tables import bounded_batches, staged
 
 K = 20
 QUERY_EVERY = 20
@@ -214,6 +214,7 @@ def _pack(counts: dict[int, int], rows: int) -> dict[int, tuple[int, int]]:
 def search(table: DataFrame, *, k: int = K, query_every: int = QUERY_EVERY, sample: int = SAMPLE, target: float = TARGET,
            id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest found of every row whose id is divisible by ``query_every``."""
+    bounded_batches(table)
     spark = table.sparkSession
     vectors, size = valid_vectors(table, id_col, vector_col)
     found = classes(vectors, k + 1)

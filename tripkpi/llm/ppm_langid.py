@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripkpi.llm import textvec as V
+from tripkpi.llm.tables import bounded_batches
 
 ORDER = 3
 SYMBOLS = 40
@@ -127,6 +128,7 @@ def fit(docs: DataFrame, *, fit_bytes: int = FIT_BYTES, order: int = ORDER) -> P
 
 def languages(docs: DataFrame, *, fit_bytes: int = FIT_BYTES, order: int = ORDER) -> DataFrame:
     """Per document: whether it is held out, the predicted language and its posterior."""
+    bounded_batches(docs)
     model = fit(docs, fit_bytes=fit_bytes, order=order)
     held = docs.sparkSession.sparkContext.broadcast(model)
     text = F.col("text").cast("string")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripkpi.llm import textvec as V
-from tripkpi.llm.tables import staged
+from tripkpi.llm.tables import bounded_batches, staged
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -241,6 +241,7 @@ def pieces(placed: DataFrame, drawn: DataFrame, block: int = BLOCK) -> DataFrame
 def mix(docs: DataFrame, *, weights=WEIGHTS, share: float = SHARE, block: int = BLOCK, shards: int = SHARDS,
         seed: int = SEED) -> DataFrame:
     """Per document: size, its source's size and target, and the words the mix takes from it."""
+    bounded_batches(docs)
     spark = docs.sparkSession
     sizes = staged(sized(docs), "mix-sizes")
     sources = plan_sources(sizes, weights, share, block, seed)
@@ -262,6 +263,7 @@ def mixed_documents(docs: DataFrame, *, weights=WEIGHTS, share: float = SHARE, b
     Adjacent ranges are joined, others separated by a line feed; ``n_chars``
     follows the text. Documents of which nothing was drawn are left out.
     """
+    bounded_batches(docs)
     spark = docs.sparkSession
     sizes = staged(sized(docs), "mix-sizes")
     sources = plan_sources(sizes, weights, share, block, seed)

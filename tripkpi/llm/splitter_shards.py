@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripkpi.llm.tables import staged
+from tripkpi.llm.tables import bounded_batches, staged
 
 SHARDS = 40
 OVERHEAD = 16
@@ -123,6 +123,7 @@ def deal(totals: list[tuple[int, int, int]], shards: int) -> list[tuple[int, int
 def shard(docs: DataFrame, *, shards: int = SHARDS, ranges_per_shard: int = RANGES_PER_SHARD,
           samples_per_range: int = SAMPLES_PER_RANGE) -> DataFrame:
     """One row per document: its size, shard and slot under the law ``bytes``."""
+    bounded_batches(docs)
     spark = docs.sparkSession
     keys = staged(keyed(docs), "shard-keys")
     placed = ranges(keys, shards, ranges_per_shard, samples_per_range)

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripkpi.llm import textvec as V
+from tripkpi.llm.tables import bounded_batches
 
 LENGTH = 50
 GRAM = 20
@@ -480,6 +481,7 @@ def _remove(texts: bool):
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", texts: bool = True) -> DataFrame:
     """Per document: bytes, removed bytes and spans, the digest of what is kept, and (``texts``) the kept bytes and spans."""
+    bounded_batches(docs)
     doc_id, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
     size, rows, named = docs.agg(F.sum(F.octet_length(text)), F.count("*"), F.count_distinct(doc_id)).first()
     buckets = max(MIN_BUCKETS, -(-(size or 0) // BUCKET_BYTES))

@@ -17,3 +17,17 @@ def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+BATCH_BYTES = "4m"
+
+
+def bounded_batches(df: DataFrame) -> None:
+    """Let Arrow batches between Spark and Python hold ``BATCH_BYTES`` at most, unless the session says otherwise.
+
+    The default of 64 MB, held by the JVM and the worker of every running task
+    at once, is much for executors of a few GB and texts of any length.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if df.sparkSession.conf.get(key, None) is None:
+        df.sparkSession.conf.set(key, BATCH_BYTES)

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 LONG_WORD = 32
 _U = np.uint64
 _M1, _M2, _GOLD = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB), _U(0x9E3779B97F4A7C15)
