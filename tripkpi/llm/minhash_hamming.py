@@ -10,8 +10,8 @@ symbol inside at least one of the ``CHUNKS`` chunks, so each signature is
 indexed under every chunk with each one of its symbols left out, and pairs
 that share an index key are all pairs under the distance.
 
-At similarity 0.85 a pair differs in 6 symbols on average; more than 15, which
-the join would miss, has probability 1e-4, and far less above it.
+At similarity 0.85 a pair differs in 6 symbols on average; more than 19, which
+the join would miss, has probability 2e-7, and far less above it.
 
 Keys shared by one class only are dropped after a map-side combined count.
 Inside a key, signatures are compared by distance and by an exact bound on the
@@ -41,13 +41,13 @@ from pyspark.sql import functions as F
 
 from tripkpi.llm import textvec as V
 from tripkpi.llm.components import components
-from tripkpi.llm.tables import staged
+from tripkpi.llm.tables import bounded_batches, staged
 
 SHINGLE = 5
 PERCENT = 85
 SYMBOLS = 40
-CHUNKS = 8
-MAX_DIFF = 15
+CHUNKS = 10
+MAX_DIFF = 19
 CELLS = 256
 BLOCK = 512
 SPAN = SYMBOLS // CHUNKS
@@ -235,7 +235,8 @@ def confirmed(pairs: DataFrame, src: DataFrame) -> DataFrame:
     both = pairs.join(x, F.col("a") == F.col("x.doc_id")).join(y, F.col("b") == F.col("y.doc_id"))
     both = both.select("a", "b", F.size(F.array_intersect("x.shingles", "y.shingles")).alias("common"),
                        (F.size("x.shingles") + F.size("y.shingles")).alias("sizes"))
-    return both.where(100 * F.col("common") >= PERCENT * (F.col("sizes") - F.col("common"))).select("a", "b").distinct()
+    # no distinct here: it would reuse the join's partitioning by b and keep a hot partner's pairs in one task
+    return both.where(100 * F.col("common") >= PERCENT * (F.col("sizes") - F.col("common"))).select("a", "b")
 
 
 def _link(src: DataFrame, classes: DataFrame) -> DataFrame | None:
@@ -278,6 +279,7 @@ def _link(src: DataFrame, classes: DataFrame) -> DataFrame | None:
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: set size, component (its smallest id) and whether it is the one to keep."""
+    bounded_batches(docs)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = staged(sets(src), "minhash-sets")
     classes = found.where("digest is not null and doc_id is not null").groupBy("digest").agg(
