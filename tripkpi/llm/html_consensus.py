@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripkpi.llm.tables import bounded_batches, staged
+
 VOTES = 3
 
 _TOKEN = re.compile(
@@ -307,9 +309,12 @@ def winners(counted: DataFrame) -> DataFrame:
 
 def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per page: its main text and the text's length in code points."""
+    bounded_batches(pages)
     src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                        host(url_col).alias("host"), F.col(html_col).cast("string").alias("html"))
-    won = winners(votes(src))
+    # staged, so that its true size decides the join: without a broadcast the pages are dealt by host,
+    # and a hot host's are split
+    won = staged(winners(votes(src)), "html-paths")
     both = src.join(won, F.col("host") == F.col("voted_host"), "left").select("page_id", "url", "html", "path")
 
     def extract(batches):
