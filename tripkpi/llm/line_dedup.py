@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripkpi.llm.tables import staged
+from tripkpi.llm.tables import bounded_batches, staged
 
 MIN_WORDS = 5
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
@@ -74,6 +74,7 @@ def _rows(rows: list) -> pa.RecordBatch:
 def dedup_lines(docs: DataFrame, *, min_words: int = MIN_WORDS, separator: str = "\n", id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """One row per document: unit counts, the removed spans, and the text without them."""
+    bounded_batches(docs)
     text = F.col(text_col).cast("string")
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                       F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("rank_id"),
@@ -82,7 +83,8 @@ def dedup_lines(docs: DataFrame, *, min_words: int = MIN_WORDS, separator: str =
     # repeated rows are one document: distinct units, which map-side combining makes cheap
     first = found.groupBy("digest").agg(F.min(F.struct("rank_id", "text_key", "unit_no")).alias("first"),
                                         F.max(F.struct("rank_id", "text_key", "unit_no")).alias("last"))
-    repeated = first.where(F.col("first") != F.col("last")).select("digest", "first")
+    # staged, so that the join's sides are plain exchanges, of which Spark can split a hot line's partition
+    repeated = staged(first.where(F.col("first") != F.col("last")).select("digest", "first"), "repeated-lines")
     later = found.join(repeated, "digest").where(F.struct("rank_id", "text_key", "unit_no") != F.col("first"))
     spans = later.groupBy("rank_id", "text_key").agg(
         F.array_sort(F.collect_set(F.struct("unit_no", "lo", "hi"))).alias("gone"))
