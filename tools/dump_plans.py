@@ -2,8 +2,8 @@
 
 usage: python tools/dump_plans.py [--sf /root/testdata/sf0.1]
 
-Each DataFrame is executed first (collect for small results, the noop sink
-otherwise) so the plan shown is AQE's final plan; only the operator tree and
+Each DataFrame is collected first, so the plan shown is AQE's final plan (run
+it on a small scale factor); only the operator tree and
 the scan lines (pushed filters, partition filters, read schema) are kept.
 """
 
@@ -64,12 +64,12 @@ def main() -> int:
         ("Month slice", "PartitionFilters prune to one year=/month= folder.",
          parquet.read_month(spark, clean_path, 1996, 3)),
         ("Clean trips from the benchmark tables",
-         "lineitem JOIN orders, then two left joins to the size-checked broadcast station master; "
+         "lineitem JOIN orders, then two left joins to the station master; "
          "one codegen stage after the joins.",
          QUERIES["clean_trips"](spark, sf)),
-        ("Clean trips from new-layout CSV", "One CSV read per distinct header, union by name.",
+        ("Clean trips from new-layout CSV", "Staged raw lines, each bound by its own file's header.",
          QUERIES["clean_new_layout"](spark, sf)),
-        ("Unmatched stations", "Distinct ids with partial aggregation, then a left-anti join.",
+        ("Unmatched stations", "One pass over the trips; anti join and distinct in the order Spark chooses.",
          QUERIES["unmatched_stations"](spark, sf)),
         ("Reject reasons", "One pass, count_if per conjunct, partial aggregation.",
          QUERIES["reject_reasons"](spark, sf)),
