@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from tripkpi.llm import byte_convnet, decontaminate, minhash_hamming, source_mix, splitter_shards
 from tripkpi.llm.tables import staged, table
 
+#: Least similarity of near duplicates, in percent of their five-word shingles; 85 is the contract of op1 alone.
+NEAR_PERCENT = 80
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the byte network scores below its threshold go; it learns from the labelled rows not held out."""
@@ -19,12 +22,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, the one with the smallest id.
+    """One document of each near-duplicate group (similarity ``NEAR_PERCENT``) stays, the one with the smallest id.
 
     Repeated rows of one id count as one document. Documents without words are
     no near duplicates of anything, and those without an id aren't judged: they stay.
     """
-    kept = minhash_hamming.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    kept = minhash_hamming.near_duplicates(docs, percent=NEAR_PERCENT).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     stay = docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id"])
     return stay.unionByName(docs.where("doc_id is null"))
 

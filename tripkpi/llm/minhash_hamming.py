@@ -2,16 +2,19 @@
 
 A document's set is its distinct shingles of five words (64-bit fingerprints).
 Documents with equal sets are one class, represented by its smallest id. A
-class's signature has ``SYMBOLS`` symbols of 16 bits, each taken from the
-minimum of one hash function. Two sets of similarity s differ in about
-(1 - s) * SYMBOLS symbols; the join finds every pair that differs in at most
-``MAX_DIFF``. By the pigeonhole principle such a pair differs in at most one
-symbol inside at least one of the ``CHUNKS`` chunks, so each signature is
-indexed under every chunk with each one of its symbols left out, and pairs
-that share an index key are all pairs under the distance.
-
-At similarity 0.85 a pair differs in 6 symbols on average; more than 19, which
-the join would miss, has probability 2e-7, and far less above it.
+class's signature has symbols of 16 bits, each taken from the minimum of one
+hash function, in chunks of ``SPAN``. Two sets of similarity s differ in about
+a share of 1 - s of the symbols; the join finds every pair that differs in less
+than twice as many symbols as there are chunks. By the pigeonhole principle
+such a pair differs in at most one symbol inside at least one of the chunks, so
+each signature is indexed under every chunk with each one of its symbols left
+out, and pairs that share an index key are all pairs under the distance.
+
+``percent`` is the least similarity of a link. ``symbols_for`` takes as many
+symbols as a pair of just that similarity needs to differ in too many, which
+the join would miss, with a probability of ``MISS`` at most: for 85, op1's, 40
+(``SYMBOLS``, ``CHUNKS``, ``MAX_DIFF``; more than 19 differ with probability
+2e-7), for 80 60 (more than 29: 2e-7). Above that similarity it is far less.
 
 Keys shared by one class only are dropped after a map-side combined count.
 Inside a key, signatures are compared by distance and by an exact bound on the
@@ -33,6 +36,9 @@ text are ignored.
 
 from __future__ import annotations
 
+from functools import lru_cache
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -45,26 +51,40 @@ from tripkpi.llm.tables import bounded_batches, staged
 
 SHINGLE = 5
 PERCENT = 85
-SYMBOLS = 40
-CHUNKS = 10
-MAX_DIFF = 19
+SPAN = 4
+MISS = 2.2e-7
 CELLS = 256
 BLOCK = 512
-SPAN = SYMBOLS // CHUNKS
 FIRST, GROWTH = 1, 16
 
-assert CHUNKS * 2 > MAX_DIFF, "one error per chunk must cover the distance"
 
-_rng = np.random.Generator(np.random.Philox(key=[71, 5]))
-_MULT = _rng.integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_XOR = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64)
+def symbols_for(percent: int) -> int:
+    """The fewest symbols (whole chunks) with which the join misses a pair of ``percent`` with probability ``MISS`` at most."""
+    p = 1 - percent / 100
+    for n in range(SPAN, 257, SPAN):
+        if sum(comb(n, k) * p**k * (1 - p)**(n - k) for k in range(2 * (n // SPAN), n + 1)) <= MISS:
+            return n
+    raise ValueError(f"no signature of 256 symbols or less finds pairs of {percent} %")
+
+
+SYMBOLS = symbols_for(PERCENT)
+CHUNKS = SYMBOLS // SPAN
+MAX_DIFF = 2 * CHUNKS - 1
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """``SYMBOLS`` 16-bit symbols: the low bits of the minimum under each hash function."""
-    low = np.full(SYMBOLS, ~np.uint64(0))
+@lru_cache
+def _hashes(symbols: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.Generator(np.random.Philox(key=[71, 5]))
+    mult = rng.integers(1, 1 << 63, symbols, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return mult, rng.integers(0, 1 << 63, symbols, dtype=np.uint64)
+
+
+def signature(shingles: np.ndarray, symbols: int = SYMBOLS) -> np.ndarray:
+    """``symbols`` 16-bit symbols: the low bits of the minimum under each hash function."""
+    mult, xor = _hashes(symbols)
+    low = np.full(symbols, ~np.uint64(0))
     for at in range(0, len(shingles), 4096):
-        x = (shingles[at:at + 4096, None] ^ _XOR) * _MULT
+        x = (shingles[at:at + 4096, None] ^ xor) * mult
         x ^= x >> np.uint64(29)
         low = np.minimum(low, x.min(0))
     return (V.mix(low) & np.uint64(0xFFFF)).astype("<u2")
@@ -78,8 +98,10 @@ def cells(shingles: np.ndarray) -> np.ndarray:
 SETS = "doc_id long, n_shingles long, digest binary, signature binary, cells binary"
 
 
-def sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+def sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per document: set size, set digest, signature and cell counts (null for an empty set)."""
+    symbols = symbols_for(percent)
+
     def build(batches):
         for b in batches:
             ids = b.column(0)
@@ -91,7 +113,7 @@ def sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     ids.slice(lo, hi - lo), pa.array([len(s) for s in out], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if f else None for s, f in zip(out, full)], pa.binary()),
-                    pa.array([signature(s).tobytes() if f else None for s, f in zip(out, full)], pa.binary()),
+                    pa.array([signature(s, symbols).tobytes() if f else None for s, f in zip(out, full)], pa.binary()),
                     pa.array([cells(s).tobytes() if f else None for s, f in zip(out, full)], pa.binary())],
                     ["doc_id", "n_shingles", "digest", "signature", "cells"])
 
@@ -114,13 +136,13 @@ def shingle_sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return docs.mapInArrow(build, "doc_id long, shingles array<long>")
 
 
-def index_keys(reps: DataFrame) -> DataFrame:
+def index_keys(reps: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     """(key, key_no, rep): every chunk of every signature with each one of its symbols left out."""
     def explode(batches):
         for b in batches:
-            sig = np.frombuffer(b"".join(b.column(1).to_pylist()), "<u2").reshape(-1, SYMBOLS).astype(np.uint64)
+            sig = np.frombuffer(b"".join(b.column(1).to_pylist()), "<u2").reshape(-1, symbols).astype(np.uint64)
             ids = np.asarray(b.column(0))
-            for no in range(SYMBOLS):
+            for no in range(symbols):
                 yield pa.RecordBatch.from_arrays([pa.array(_key(sig, no).view(np.int64)), pa.array(np.full(len(ids), no, np.int16)),
                                                   pa.array(ids)], ["key", "key_no", "rep"])
 
@@ -137,13 +159,15 @@ def _key(sig: np.ndarray, no: int) -> np.ndarray:
     return k
 
 
-def proposals(units: DataFrame, top: int) -> DataFrame:
+def proposals(units: DataFrame, top: int, percent: int = PERCENT) -> DataFrame:
     """(a, b, bound, held): for each class and unit the ``top`` best partners in components of smaller label.
 
     ``held`` is true on a row whose class had further partners. Units arrive
     sorted; pairs are formed by comparing each row with its d-th successor in
     the unit, for all rows of a batch at once.
     """
+    symbols = symbols_for(percent)
+
     def run(batches):
         rest = None
         for b in batches:
@@ -151,18 +175,18 @@ def proposals(units: DataFrame, top: int) -> DataFrame:
             unit = t.column("unit").to_numpy()
             cut = int(np.searchsorted(unit, unit[-1], "left")) if len(unit) else 0
             if cut:
-                yield from _pairs(t.slice(0, cut), top)
+                yield from _pairs(t.slice(0, cut), top, percent, symbols)
             rest = t.slice(cut)
         if rest is not None and rest.num_rows:
-            yield from _pairs(rest, top)
+            yield from _pairs(rest, top, percent, symbols)
 
     return units.mapInArrow(run, "a long, b long, bound double, held boolean")
 
 
-def _pairs(t: pa.Table, top: int):
+def _pairs(t: pa.Table, top: int, percent: int, symbols: int):
     unit, side, key_no = (t.column(c).to_numpy() for c in ("unit", "side", "key_no"))
     rep, comp, n = (t.column(c).to_numpy() for c in ("rep", "component", "n"))
-    sig = np.frombuffer(b"".join(t.column("signature").to_pylist()), "<u2").reshape(-1, SYMBOLS)
+    sig = np.frombuffer(b"".join(t.column("signature").to_pylist()), "<u2").reshape(-1, symbols)
     cell = np.frombuffer(b"".join(t.column("cells").to_pylist()), np.uint8).reshape(-1, CELLS)
     lo, hi, best = [], [], []
     live = np.arange(len(unit) - 1)
@@ -173,12 +197,12 @@ def _pairs(t: pa.Table, top: int):
         live = live[unit[live] == unit[live + d]]
         # two blocks meet in a unit of sides 0 and 1; inside a block (side 2) all meet
         go = live[((side[live] == 2) | (side[live] != side[live + d])) & (comp[live] != comp[live + d])]
-        go = go[100 * np.minimum(n[go], n[go + d]) >= PERCENT * np.maximum(n[go], n[go + d])]
+        go = go[100 * np.minimum(n[go], n[go + d]) >= percent * np.maximum(n[go], n[go + d])]
         for at in range(0, len(go), 1 << 15):
             i = go[at:at + (1 << 15)]
             j = i + d
             same = sig[i] == sig[j]
-            near = same.sum(1) >= SYMBOLS - MAX_DIFF
+            near = (~same).sum(1) < 2 * (symbols // SPAN)
             i, j, same = i[near], j[near], same[near]
             first = _first_key(same) == key_no[i]
             i, j = i[first], j[first]
@@ -187,7 +211,7 @@ def _pairs(t: pa.Table, top: int):
             common = np.where((cell[i].max(1, initial=0) == 255) & (cell[j].max(1, initial=0) == 255),
                               np.minimum(n[i], n[j]), common)
             union = n[i] + n[j] - common
-            ok = 100 * common >= PERCENT * union
+            ok = 100 * common >= percent * union
             lo.append(i[ok])
             hi.append(j[ok])
             best.append((common / union)[ok])
@@ -207,7 +231,7 @@ def _pairs(t: pa.Table, top: int):
 
 def _first_key(same: np.ndarray) -> np.ndarray:
     """The first index key two signatures share, from where they agree."""
-    by = same.reshape(len(same), CHUNKS, SPAN)
+    by = same.reshape(len(same), same.shape[1] // SPAN, SPAN)
     right = by.sum(2)
     chunk = (right >= SPAN - 1).argmax(1)
     wrong = ~by[np.arange(len(same)), chunk]
@@ -227,7 +251,7 @@ def _units(members: DataFrame, labelled: DataFrame) -> DataFrame:
         "key_no", "rep", "component", "n", "signature", "cells").repartition("unit").sortWithinPartitions("unit")
 
 
-def confirmed(pairs: DataFrame, src: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, src: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs whose full sets reach the similarity."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     full = staged(shingle_sets(src.join(ids, F.col("doc_id") == F.col("id"), "left_semi")), "minhash-full")
@@ -236,12 +260,12 @@ def confirmed(pairs: DataFrame, src: DataFrame) -> DataFrame:
     both = both.select("a", "b", F.size(F.array_intersect("x.shingles", "y.shingles")).alias("common"),
                        (F.size("x.shingles") + F.size("y.shingles")).alias("sizes"))
     # no distinct here: it would reuse the join's partitioning by b and keep a hot partner's pairs in one task
-    return both.where(100 * F.col("common") >= PERCENT * (F.col("sizes") - F.col("common"))).select("a", "b")
+    return both.where(100 * F.col("common") >= percent * (F.col("sizes") - F.col("common"))).select("a", "b")
 
 
-def _link(src: DataFrame, classes: DataFrame) -> DataFrame | None:
+def _link(src: DataFrame, classes: DataFrame, percent: int) -> DataFrame | None:
     """(id, component) of all linked classes, or None without links."""
-    keys = index_keys(classes)
+    keys = index_keys(classes, symbols_for(percent))
     shared = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     members = staged(keys.join(shared, "key"), "minhash-members")
     payload = classes.select("rep", "n", "signature", "cells")
@@ -257,7 +281,7 @@ def _link(src: DataFrame, classes: DataFrame) -> DataFrame | None:
             open_ = label.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(
                 "lo < hi").select("key")
             left = members.join(open_, "key", "left_semi")
-        found = staged(proposals(_units(left, labelled), top), "minhash-proposals")
+        found = staged(proposals(_units(left, labelled), top, percent), "minhash-proposals")
         best = Window.partitionBy("a").orderBy(F.desc("bound"), "b")
         found = found.withColumn("place", F.row_number().over(best)).withColumn(
             "held", F.col("held") | (F.col("place") == top + 1))
@@ -266,7 +290,7 @@ def _link(src: DataFrame, classes: DataFrame) -> DataFrame | None:
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "minhash-pairs")
-        new = staged(confirmed(pairs, src), "minhash-links")
+        new = staged(confirmed(pairs, src, percent), "minhash-links")
         tested = pairs if tested is None else tested.union(pairs)
         grown = new.limit(1).count() > 0
         links = new if links is None else links.union(new)
@@ -277,16 +301,16 @@ def _link(src: DataFrame, classes: DataFrame) -> DataFrame | None:
         top *= GROWTH
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """Per document: set size, component (its smallest id) and whether it is the one to keep."""
     bounded_batches(docs)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = staged(sets(src), "minhash-sets")
+    found = staged(sets(src, percent=percent), "minhash-sets")
     classes = found.where("digest is not null and doc_id is not null").groupBy("digest").agg(
         F.min(F.struct("doc_id", "n_shingles", "signature", "cells")).alias("r"))
     classes = staged(classes.select("digest", F.col("r.doc_id").alias("rep"), F.col("r.n_shingles").alias("n"),
                                     F.col("r.signature").alias("signature"), F.col("r.cells").alias("cells")), "minhash-reps")
-    comp = _link(src, classes)
+    comp = _link(src, classes, percent)
     whole = found.join(classes.select(F.col("digest").alias("d"), "rep"), F.col("digest") == F.col("d"), "left").drop("d")
     whole = whole.withColumn("rep", F.coalesce("rep", "doc_id"))
     if comp is not None:
