@@ -24,11 +24,23 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (similarity ``NEAR_PERCENT``) stays, the one with the smallest id.
 
-    Repeated rows of one id count as one document. Documents without words are
-    no near duplicates of anything, and those without an id aren't judged: they stay.
+    Rows equal in id and text count as one document, other texts under the same
+    id as documents of their own. Documents without words are no near duplicates
+    of anything, and those without an id aren't judged: they stay.
     """
-    kept = minhash_hamming.near_duplicates(docs, percent=NEAR_PERCENT).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    stay = docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id"])
+    named = docs.where("doc_id is not null")
+    rows, ids = named.agg(F.count("*"), F.count_distinct("doc_id")).first()
+    if rows == ids:
+        kept = minhash_hamming.near_duplicates(named, percent=NEAR_PERCENT).where("kept").select(F.col("doc_id").alias("kept_id"))
+        stay = named.join(kept, named["doc_id"] == kept["kept_id"], "left_semi")
+    else:
+        once = named.dropDuplicates(["doc_id", "text"]).withColumn("near_uid", F.xxhash64("doc_id", "text"))
+        found = minhash_hamming.near_duplicates(once, id_col="near_uid", percent=NEAR_PERCENT).select(
+            F.col("doc_id").alias("kept_uid"), "component_id")
+        owner = once.select("near_uid", F.col("doc_id").alias("owner_id"))
+        kept = found.join(owner, found["kept_uid"] == owner["near_uid"]).groupBy("component_id").agg(
+            F.min(F.struct("owner_id", "kept_uid")).alias("r")).select("r.kept_uid")
+        stay = once.join(kept, once["near_uid"] == kept["kept_uid"], "left_semi").drop("near_uid")
     return stay.unionByName(docs.where("doc_id is null"))
 
 

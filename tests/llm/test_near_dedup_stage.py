@@ -58,3 +58,11 @@ def test_symbols_follow_the_similarity():
     same = sig[::2] == sig[1::2]
     for k, no in enumerate(M._first_key(same)):
         assert M._key(sig[2 * k:2 * k + 1], no) == M._key(sig[2 * k + 1:2 * k + 2], no)
+
+
+def test_other_texts_under_one_id_are_documents_of_their_own(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(7, one), (7, two), (7, two), (3, one), (9, two + " more"), (4, None), (4, None), (4, ""), (None, one)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in C.near_dedup_stage(spark, docs, "").collect()), key=str)
+    assert got == sorted([(3, one), (7, two), (4, None), (4, ""), (None, one)], key=str)
