@@ -10,7 +10,8 @@ equal anchors; consecutive windows share one, about 16 at a time.
    occurs in two documents go on. What repeats already within a task's slice
    of documents is known there and sends one entry for all.
 2. For these, the bytes of their windows (50 to 80, equal ones once per slice)
-   are dealt to buckets by fingerprint.
+   are dealt to buckets by fingerprint, each for its smallest document in the
+   slice; of the slice's others the windows are covered, as is known there.
 3. A bucket sorts all suffixes of its byte strings: directly only those that
    are smaller than their successors, the rest is induced by scanning the
    first-byte buckets in order. Adjacent common prefixes of 50 and more bytes
@@ -250,6 +251,11 @@ def _bucket(prints: np.ndarray, buckets: int) -> np.ndarray:
     return ((prints >> _U(32)) % _U(buckets)).astype(np.int64)
 
 
+def _anywhere(uid: np.int64, n: int, buckets: int) -> int:
+    """A bucket for the ``n``-th packet of a slice: by a row, as a common passage begins many slices."""
+    return int((V.mix(np.array([uid]).astype(_U))[0] % _U(buckets) + _U(n)) % _U(buckets))
+
+
 def _ask(buckets: int):
     """Slices of documents -> rows of fingerprints per bucket (kind 0) and of anchors known to repeat (kind 1)."""
     def flush(uid, lo, prints):
@@ -272,7 +278,7 @@ def _ask(buckets: int):
         known = np.sort(order[known])
         for n, i in enumerate(range(0, len(known), 1 << 15)):
             k = known[i:i + (1 << 15)]
-            rows.append((int((prints[k[0]] + _U(n)) % _U(buckets)), 1, b"", _ints(uid[k]), _ints(lo[k])))
+            rows.append((_anywhere(uid[k[0]], n, buckets), 1, b"", _ints(uid[k]), _ints(lo[k])))
         return pa.RecordBatch.from_arrays(
             [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
             ["part", "kind", "prints", "ids", "los"])
@@ -336,12 +342,13 @@ def _repeated(batches):
 
 # --- steps 2 and 3: windows of repeated anchors, sorted bucket by bucket -----------------
 
-WINDOWS = "part int, bytes binary, lengths binary, which binary, ids binary, ranks binary, los binary"
+WINDOWS = "part int, kind int, bytes binary, lengths binary, which binary, ids binary, ranks binary, los binary"
 MASKS = "uid long, lo int, mask long"
 
 
 def _windows(buckets: int):
-    """Documents with the places of their repeated anchors -> the windows' bytes, equal ones once, per bucket."""
+    """Documents with the places of their repeated anchors -> the windows' bytes, equal ones once and for their smallest
+    rank only, per bucket (kind 0), and the anchors whose windows a smaller rank of the slice covers (kind 1)."""
     def flush(kept):
         raw, length, prints, uid, rank, lo = (np.concatenate(k) for k in kept)
         off = np.concatenate([[0], np.cumsum(length)])
@@ -349,8 +356,12 @@ def _windows(buckets: int):
         coded = col.dictionary_encode()
         code = np.asarray(coded.indices).astype(np.int64)
         _, first = np.unique(code, return_index=True)                     # codes count up from 0
+        least = np.full(len(first), LAST)
+        np.minimum.at(least, code, rank)
+        known = rank > least[code]
         part = _bucket(prints, buckets)
         by = np.lexsort((lo, uid, code, part))
+        by = by[~known[by]]
         cut = np.searchsorted(part[by], np.arange(buckets + 1))
         rows = []
         for b, (i, j) in enumerate(zip(cut[:-1], cut[1:])):
@@ -359,10 +370,16 @@ def _windows(buckets: int):
                 codes, which = np.unique(code[rows_], return_inverse=True)
                 src = first[codes]
                 at = np.repeat(off[src] - np.concatenate([[0], np.cumsum(length[src])[:-1]]), length[src])
-                rows.append((b, pa.compress(raw[at + np.arange(len(at))].tobytes(), "zstd", asbytes=True),
+                rows.append((b, 0, pa.compress(raw[at + np.arange(len(at))].tobytes(), "zstd", asbytes=True),
                              length[src].astype(np.uint8).tobytes(),
                              _ints(which), _ints(uid[rows_]), _ints(rank[rows_] - uid[rows_]), _ints(lo[rows_])))
-        types = (pa.int32(),) + (pa.binary(),) * 6
+        known = np.flatnonzero(known)
+        known = known[np.lexsort((lo[known], uid[known]))]
+        for n, i in enumerate(range(0, len(known), 1 << 15)):
+            k = known[i:i + (1 << 15)]
+            rows.append((_anywhere(uid[k[0]], n, buckets), 1, b"", length[k].astype(np.uint8).tobytes(), b"", _ints(uid[k]), b"",
+                         _ints(lo[k])))
+        types = (pa.int32(),) * 2 + (pa.binary(),) * 6
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)],
                                           [f.split()[0] for f in WINDOWS.split(", ")])
 
@@ -403,7 +420,18 @@ def _member(x: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 def _covered(batches):
     """Per anchor, the windows (bits from its first) that a document with a smaller rank has too."""
+    def masks(uid, lo, mask):
+        return pa.RecordBatch.from_arrays([pa.array(uid), pa.array(lo.astype(np.int32)), pa.array(mask)], ["uid", "lo", "mask"])
+
     def judge(rows):
+        for r in rows:
+            if r["kind"]:
+                n = len(r["los"]) // 4
+                count = np.frombuffer(r["lengths"], np.uint8).astype(np.int64) - (LENGTH - 1)
+                yield masks(_sums(r["ids"], n), _sums(r["los"], n), (np.int64(1) << count) - 1)
+        rows = [r for r in rows if not r["kind"]]
+        if not rows:
+            return
         lengths = [np.frombuffer(r["lengths"], np.uint8).astype(np.int64) for r in rows]
         length = np.concatenate(lengths)
         raw = np.concatenate([np.frombuffer(pa.decompress(r["bytes"], int(k.sum()), "zstd"), np.uint8)
@@ -431,8 +459,7 @@ def _covered(batches):
             k = slice(i, i + (1 << 16))
             mask = (table[which[k]] < rank[k, None]) @ (np.int64(1) << np.arange(SPAN))
             hit = np.flatnonzero(mask)
-            yield pa.RecordBatch.from_arrays([pa.array(uid[k][hit]), pa.array(lo[k][hit].astype(np.int32)), pa.array(mask[hit])],
-                                             ["uid", "lo", "mask"])
+            yield masks(uid[k][hit], lo[k][hit], mask[hit])
 
     yield from _by_part(batches, judge)
 
