@@ -335,7 +335,10 @@ def text_of(source: str | None, path: str | None) -> str:
     if path is not None:
         found = [e for e in range(len(page.tag)) if (page.tag[e] in CONTAINERS or not e) and not page.out[e] and page.path(e) == path]
         if found:
-            text = page.extract(max(found, key=lambda e: (page.score(e), -e)))
+            best = max(found, key=lambda e: (page.score(e), -e))
+            # an article in several such elements: those beside the best whose own text outweighs links and the like
+            beside = [e for e in found if e == best or page.parent[e] == page.parent[best] and 2 * page.good[e] > page.total[e]]
+            text = "\n\n".join(t for t in map(page.extract, beside) if t)
             if text:
                 return text
     best = page.ranked(1)
