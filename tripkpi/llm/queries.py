@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tripkpi.llm.byte_convnet import quality
 from tripkpi.llm.decontaminate import contamination
+from tripkpi.llm.fill_in_middle import fill_in_middle, restored
 from tripkpi.llm.html_consensus import main_text
 from tripkpi.llm.kmeans_tree_ann import search
 from tripkpi.llm.line_dedup import dedup_lines
 from tripkpi.llm.minhash_hamming import near_duplicates
 from tripkpi.llm.ppm_langid import languages
 from tripkpi.llm.source_mix import mix
+from tripkpi.llm.spelling_variants import spelling_variants
 from tripkpi.llm.splitter_shards import shard
 from tripkpi.llm.suffix_dedup import remove_repeats
 from tripkpi.llm.tables import table
@@ -56,7 +60,19 @@ def op10_decontaminate(spark, sf_dir):
     return hits.drop("item_ids", "hit_words")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_hamming, op2_kmeans_tree_ann, op3_source_mix, op4_html_consensus, op5_byte_convnet, op6_splitter_shards, op7_line_dedup, op8_suffix_dedup, op9_ppm_langid, op10_decontaminate,)}
+def op11_fill_in_middle(spark, sf_dir):
+    back = restored(fill_in_middle(table(spark, sf_dir, "documents")))
+    return back.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op12_spelling_variants(spark, sf_dir):
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_hamming, op2_kmeans_tree_ann, op3_source_mix, op4_html_consensus, op5_byte_convnet,
+                                   op6_splitter_shards, op7_line_dedup, op8_suffix_dedup, op9_ppm_langid, op10_decontaminate,
+                                   op11_fill_in_middle, op12_spelling_variants)}
 
 _WORDS10 = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
@@ -135,5 +151,54 @@ k as (select n.doc_id, n.h, n.n, count(lo) as n_spans, coalesce(sum(hi - lo), 0)
 select doc_id, n::bigint as n_bytes, n_removed::bigint as n_removed, n_spans::bigint as n_spans,
        sha256(unhex(head || substr(h, 2 * tail + 1))) as kept_sha256
 from k
+""",
+    "op11_fill_in_middle": r"""
+with t as (select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as w,
+                  sha256('1:' || coalesce(doc_id::varchar, '')) as d from documents),
+h as (select *, len(w)::bigint as n, ('0x' || substr(d, 1, 8))::bigint as h1, ('0x' || substr(d, 9, 8))::bigint as h2,
+             ('0x' || substr(d, 17, 8))::bigint as h3, ('0x' || substr(d, 25, 8))::bigint as h4 from t),
+c as (select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+             case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90
+                  then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form from h),
+p as (select *, array_to_string(w[1:a], '') as pre, array_to_string(w[a + 1:b], '') as mid, array_to_string(w[b + 1:], '') as suf
+      from c)
+select doc_id, n, form, case when form <> 'plain' then length(pre) end as prefix_chars,
+       case when form <> 'plain' then length(mid) end as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256,
+       sha256(text) as restored_sha256
+from p
+""",
+    "op12_spelling_variants": r"""
+with recursive
+tbl as (select list(v order by k) as t from (
+          select k, list_reduce(list_concat([k], range(8)),
+                                lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end) as v
+          from (select unnest(range(256)) as k))),
+runs as (select doc_id, w, count(*) as n
+         from (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                        '[A-Za-z\x{C0}-\x{FF}]+')) as w from documents)
+         where length(w) >= 6 group by all),
+byte as (select w, doc_id, n, hex(encode(coalesce(doc_id::varchar, '') || ':' || w)) as x from runs),
+crc as (select w, n, xor(list_reduce(list_concat([4294967295], [('0x' || substr(x, 2 * i + 1, 2))::bigint for i in range(length(x) // 2)]),
+                                     lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) as h
+        from byte, tbl),
+spelt as (select case when h % 199 = 0 then substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) else w end as word, n from crc),
+words as (select word, sum(n)::bigint as n from spelt where length(word) >= 6 group by word having sum(n) >= 5),
+holes as (select word, unnest(range(0, length(word))) as i from words),
+gaps as (select word, substr(word, 1, i) || '*' || substr(word, i + 2) as g from holes),
+less as (select distinct word, substr(word, 1, i) || substr(word, i + 2) as g from holes),
+pairs as (select a.word, b.word as near from gaps a join gaps b using (g) where a.word <> b.word
+          union all select l.word, w.word from less l join words w on l.g = w.word
+          union all select w.word, l.word from less l join words w on l.g = w.word),
+best as (select p.word, count(*) as n_near, first(near order by w.n desc, near) as near, max(w.n) as near_n
+         from pairs p join words w on w.word = p.near group by p.word),
+known as (select words.word, words.n, coalesce(n_near, 0) as n_near, case when near_n >= 5 * n then near end as form,
+                 case when near_n >= 5 * n then near_n end as form_n from words left join best using (word)),
+walk(word, hop, step) as (select word, word, 0 from known
+                         union all select walk.word, form, step + 1 from walk join known on known.word = walk.hop
+                         where form is not null)
+select word, form, root, n, n_near, form_n
+from known join (select word, arg_max(hop, step) as root from walk group by word) using (word)
 """,
 }

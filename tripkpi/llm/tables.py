@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from tripkpi.session import scratch_path
@@ -19,6 +20,24 @@ def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Shared:
+    """An object broadcast as cloudpickle bytes, which carry classes of this subpackage by value.
+
+    A plain broadcast names the classes only, and workers without the library
+    could not load it. ``value`` unpacks once per task.
+    """
+
+    def __init__(self, spark: SparkSession, obj):
+        self.held = spark.sparkContext.broadcast(cloudpickle.dumps(obj))
+        self.obj = None
+
+    @property
+    def value(self):
+        if self.obj is None:
+            self.obj = cloudpickle.loads(self.held.value)
+        return self.obj
+
+
 BATCH_BYTES = "4m"
 
 
