@@ -17,6 +17,7 @@ from tripkpi.llm.spelling_variants import spelling_variants
 from tripkpi.llm.splitter_shards import shard
 from tripkpi.llm.suffix_dedup import remove_repeats
 from tripkpi.llm.tables import table
+from tripkpi.llm.warc_normaliser import archived
 
 
 def op1_minhash_hamming(spark, sf_dir):
@@ -70,9 +71,13 @@ def op12_spelling_variants(spark, sf_dir):
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_warc_normaliser(spark, sf_dir):
+    return archived(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {f.__name__: f for f in (op1_minhash_hamming, op2_kmeans_tree_ann, op3_source_mix, op4_html_consensus, op5_byte_convnet,
                                    op6_splitter_shards, op7_line_dedup, op8_suffix_dedup, op9_ppm_langid, op10_decontaminate,
-                                   op11_fill_in_middle, op12_spelling_variants)}
+                                   op11_fill_in_middle, op12_spelling_variants, op13_warc_normaliser)}
 
 _WORDS10 = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
@@ -200,5 +205,17 @@ walk(word, hop, step) as (select word, word, 0 from known
                          where form is not null)
 select word, form, root, n, n_near, form_n
 from known join (select word, arg_max(hop, step) as root from walk group by word) using (word)
+""",
+    "op13_warc_normaliser": """
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, octet_length(encode(html))::bigint as payload_bytes, sha1(html) as x from p),
+v as (select *, [('0x' || substr(x, 1 + 5 * g, 5))::bigint for g in range(8)] as groups from d),
+b as (select page_id, payload_bytes,
+             array_to_string([array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (q >> s & 31) + 1, 1) for s in [15, 10, 5, 0]], '')
+                              for q in groups], '') as payload_digest from v),
+m as (select payload_digest, max(page_id) as kept from b group by payload_digest)
+select page_id, payload_bytes, payload_digest, case when page_id = kept then 'response' else 'revisit' end as record_type,
+       case when page_id < kept then kept end as refers_to
+from b join m using (payload_digest)
 """,
 }
