@@ -278,6 +278,15 @@ def _reject_sql() -> str:
             + " from trips_typed group by year, month")
 
 
+_VALID = "coalesce(" + " and ".join(f"({c})" for c in _REASONS.values()) + ", false)"
+
+
+def _counts_sql() -> str:
+    parts = [f"cast(count_if(not coalesce({c}, false)) as bigint) as n_{r}" for r, c in _REASONS.items()]
+    return (f"count(*) as n_before, cast(count_if({_VALID}) as bigint) as n_valid, "
+            f"cast(count_if(not {_VALID}) as bigint) as n_rejected, " + ", ".join(parts))
+
+
 _OLD_CHAIN = """
 trips_old_raw as (
   select dur_s * 1000 as dur_ms, date_trunc('minute', start_ts) as start_ts,
@@ -423,6 +432,53 @@ select distinct year, month, printf('%04d-%02d', year, month) as year_month from
     "build_all": _W_BOTH[:-1] + "," + _KPI_BASE.replace(
         "from trips_clean", "from (select * from trips_clean union all select * from trips_old_clean) b")
                  + "," + _LONG_BODY + _WIDE_BODY,
+    "incremental_rebuild": _W_CLEAN[:-1] + """,
+periods as (select p, row_number() over (order by p) as no from (select distinct strftime(start_ts, '%Y%m') as p from trips_raw) d)
+select trips_clean.* from trips_clean join periods on p = printf('%04d%02d', year, month)
+where no <> 2 and not (no = 1 and minute(trip_start_ts) >= 30)""",
+    "kpi_report_merged": _WIDE,
+    "kpi_report_json": _WIDE,
+    "clean_write_counts": _W_BOTH + f"""
+select 'new' as layout, (select count(*) from trips_geo) as n_read, {_counts_sql()} from trips_typed
+union all
+select 'old' as layout, (select count(*) from trips_raw) as n_read, {_counts_sql()} from trips_old_typed""",
+    "file_counts": _W_TYPED + f"""
+select printf('%04d%02d', year, month) as period, count(*) as n_rows, cast(count_if({_VALID}) as bigint) as n_valid
+from trips_typed group by year, month""",
+    "contract_check": _W_CLEAN[:-1] + """,
+cols as (select unnest(['trip_duration_min', 'trip_start_ts', 'trip_end_ts', 'start_station_id', 'start_station_name',
+                        'end_station_id', 'end_station_name', 'bike_id', 'birth_year', 'gender', 'trip_distance_m',
+                        'time_slot', 'year', 'month']) as c)
+select 'whole' as input, 'has ' || c as "check", true as ok from cols
+union all select 'narrow', 'has ' || c, c not in ('gender', 'birth_year') from cols
+union all select 'empty', 'has ' || c, true from cols
+union all select 'whole', 'has rows', count(*) > 0 from trips_clean
+union all select 'narrow', 'has rows', count(*) > 0 from trips_clean
+union all select 'empty', 'has rows', count(*) > 0 from trips_clean where trip_duration_min < 0""",
+    "landing_listing": _W_RAW + """
+select p || '-hubway-tripdata.csv' as file_name, 'new' as layout, p as period, '/data/bikesharing/raw/' || p || '/data.csv' as target
+from (select distinct strftime(start_ts, '%Y%m') as p from trips_raw) m
+union all
+select 'hubway_Trips_' || p || '.csv', 'old', p, '/data/bikesharing/raw/' || p || '/data.csv'
+from (select distinct strftime(start_ts, '%Y') as p from trips_raw) y""",
+    "clean_periods": _W_CLEAN + """
+select distinct year, month, printf('%04d-%02d', year, month) as year_month from trips_clean""",
+    "bike_history": _W_CLEAN + "select * from trips_clean where bike_id = (select min(bike_id) from trips_clean)",
+    "kpi_top_bikes_threshold": _top_sql("bike_id"),
+    "month_gaps": _W_BASE[:-1] + """,
+here as (select * from kpi_base where not (year = (select min(year) + 1 from kpi_base) and month = 7)),
+spine as (select year, cast(m as int) as month, year * 12 + m as no
+          from (select year, unnest(generate_series(1, 12)) as m from (select distinct year from here) y) x),
+full_months as (select year * 12 + month as no, count(*) as n_trips, """ + _mean2("trip_duration_min") + """ as avg_trip_duration_min,
+                       """ + _mean2("trip_distance_km") + """ as avg_trip_distance_km
+                from here group by year, month)
+select s.year, s.month, printf('%04d%02d', s.year, s.month) as period, coalesce(n_trips, 0) as n_trips,
+       avg_trip_duration_min, avg_trip_distance_km, n_trips is null as is_gap,
+       case when n_trips is null then (
+         select count(*) from spine g
+         where g.no > coalesce((select max(no) from full_months f where f.no < s.no), -1)
+           and g.no < coalesce((select min(no) from full_months f where f.no > s.no), 1000000)) else 0 end as gap_months
+from spine s left join full_months m using (no)""",
     "station_quality": _W_STATIONS + """
 select count(*) as n_rows, (select count(*) from station_master) as n_valid,
        count(*) - (select count(*) from station_master) as n_rejected,

@@ -167,3 +167,49 @@ def test_folder_names_with_spaces(spark, tmp_path):
     write(f"{base}/201601/data.csv", NEW_HEADER + "\n" + new_row(600, "2016-01-01 08:00:00",
                                                                "2016-01-01 08:10:00") + "\n")
     assert L.clean_new(CSV.scan_new_layout(spark, base)).count() == 1
+
+
+def test_other_header_deep_in_a_file_fails_the_scan(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(CSV, "FIRST_LINES", 3)
+    base = str(tmp_path / "deep")
+    row = new_row(600, "2016-01-01 08:00:00", "2016-01-01 08:10:00")
+    other = ",".join(reversed(NEW_HEADER.split(",")))
+    write(f"{base}/201601/data.csv", "\n".join([NEW_HEADER, *[row] * 9, other, row]) + "\n")
+    with pytest.raises(Exception, match="different header line inside"):
+        CSV.scan_new_layout(spark, base).collect()
+    write(f"{base}/201601/data.csv", "\n".join([NEW_HEADER, *[row] * 9, NEW_HEADER, row]) + "\n")
+    assert CSV.scan_new_layout(spark, base).count() == 10
+
+
+def test_one_native_scan_per_header_and_no_copy(spark, new_base, tmp_path):
+    import contextlib
+    import io
+
+    def scans(df):
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            df.explain("formatted")
+        text = out.getvalue().split("\n\n")[0]
+        return text.count("Scan csv"), text.count("Scan text") + text.count("Scan parquet")
+
+    assert scans(CSV.scan_new_layout(spark, new_base)) == (2, 0)
+    base = str(tmp_path / "one")
+    for m in ("201601", "201602"):
+        write(f"{base}/{m}/data.csv", NEW_HEADER + "\n" + new_row(600, "2016-01-01 08:00:00", "2016-01-01 08:10:00") + "\n")
+    assert scans(CSV.scan_new_layout(spark, base)) == (1, 0)
+
+
+def test_index_reads_first_lines_of_many_files(spark, tmp_path):
+    base = str(tmp_path / "odd [names] {x}, 100%")
+    cols = NEW_HEADER.split(",")
+    row = new_row(600, "2016-01-01 08:00:00", "2016-01-01 08:10:00").split(",")
+    for k in range(12):                                       # three column orders, blank first lines, long files
+        turn = k % 3
+        order = cols[turn:] + cols[:turn]
+        vals = row[turn:] + row[:turn]
+        write(f"{base}/2016{k + 1:02d}/data.csv", "\n" * (k % 2) + "\n".join([",".join(order), *[",".join(vals)] * 3000]) + "\n")
+    escaped = base.replace("[", "\\[").replace("]", "\\]").replace("{", "\\{").replace("}", "\\}")
+    raw = CSV.scan_new_layout(spark, escaped)
+    got = raw.groupBy("dur_raw", "bike_id", "gender_raw").count().collect()
+    assert [tuple(r) for r in got] == [("600", "B1", "1", 36_000)]
+    assert raw.select("period").distinct().count() == 12

@@ -10,6 +10,8 @@ partial group limit, a share-total window and one final
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -135,6 +137,25 @@ def top_end_stations(base: DataFrame, k: int = S.TOP_K) -> DataFrame:
     return top_k(base, "end_station_name", k)
 
 
+# --- S9: gaps ----------------------------------------------------------------------
+
+def densify_months(report: DataFrame, spine: DataFrame, counts: list[str]) -> DataFrame:
+    """A monthly report with a row for every month of the spine (``year, month, period``): gaps show as rows.
+
+    ``counts`` are 0 in a month without trips, other measures null. ``is_gap``
+    marks those months and ``gap_months`` says how many months in a row the gap
+    lasts (0 where there is none). The window runs over calendar months only.
+    """
+    marked = report.withColumn("_here", F.lit(True))
+    full = spine.join(marked, MONTH, "left").withColumn("is_gap", F.col("_here").isNull()).drop("_here")
+    full = full.fillna(0, subset=counts)
+    by_month = Window.orderBy(*MONTH)
+    run = F.row_number().over(by_month) - F.row_number().over(Window.partitionBy("is_gap").orderBy(*MONTH))
+    runs = full.withColumn("_run", run)
+    length = F.count(F.lit(1)).over(Window.partitionBy("is_gap", "_run"))
+    return runs.withColumn("gap_months", F.when(F.col("is_gap"), length).otherwise(0)).drop("_run")
+
+
 # --- A9 -------------------------------------------------------------------------
 
 def distinct_periods(clean: DataFrame) -> DataFrame:
@@ -196,7 +217,15 @@ def month_counts(base: DataFrame, with_month_totals: bool = False) -> DataFrame:
         aggs += [_avg_or_null("dur_cents").alias("avg_trip_duration_min"),
                  _avg_or_null("km_cents").alias("avg_trip_distance_km")]
     grouped = base.groupingSets(sets, *MONTH, *keys).agg(*aggs)
+    kpi, key = _kpi_and_key(keys, with_month_totals)
+    out = grouped.select(*MONTH, kpi.alias("kpi"), key.alias("key"), "n",
+                         *(["avg_trip_duration_min", "avg_trip_distance_km"]
+                           if with_month_totals else []))
+    return out.filter(~(F.col("kpi").isin(NULL_DROPPED_KPIS) & F.col("key").isNull()))
+
 
+def _kpi_and_key(keys: list[str], with_month_totals: bool) -> tuple[Column, Column]:
+    """The KPI's name and its key as text, told from the grouping id ``gid``."""
     kpi = None
     key = None
     for name, col in KPI_KEYS.items():
@@ -207,12 +236,49 @@ def month_counts(base: DataFrame, with_month_totals: bool = False) -> DataFrame:
                else key.when(cond, F.col(col).cast("string")))
     if with_month_totals:
         kpi = kpi.when(F.col("gid") == _grouping_id_of(MONTH + keys, MONTH), F.lit("month"))
+    return kpi, key
+
+
+def month_state(clean: DataFrame) -> DataFrame:
+    """The mergeable form of the report: ``year, month, kpi, key, n`` and sums for the means, one scan.
+
+    Every column but the key columns is a sum, so the states of two sets of
+    trips are merged by adding them up (`merge_states`). ``dur_*`` and ``km_*``
+    (how many values, and their sum in hundredths) are set on the ``month`` rows.
+    """
+    keys = list(KPI_KEYS.values())
+    sets = [[*MONTH, col] for col in keys] + [list(MONTH)]
+    grouped = kpi_base(clean).groupingSets(sets, *MONTH, *keys).agg(
+        F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid"),
+        F.count("dur_cents").alias("dur_n"), F.sum("dur_cents").alias("dur_cents"),
+        F.count("km_cents").alias("km_n"), F.sum("km_cents").alias("km_cents"))
+    kpi, key = _kpi_and_key(keys, True)
+    is_month = F.col("gid") == _grouping_id_of(MONTH + keys, MONTH)
     out = grouped.select(*MONTH, kpi.alias("kpi"), key.alias("key"), "n",
-                         *(["avg_trip_duration_min", "avg_trip_distance_km"]
-                           if with_month_totals else []))
+                         *[F.when(is_month, F.coalesce(F.col(c), F.lit(0))).alias(c) for c in STATE_SUMS[1:]])
     return out.filter(~(F.col("kpi").isin(NULL_DROPPED_KPIS) & F.col("key").isNull()))
 
 
+STATE_SUMS = ["n", "dur_n", "dur_cents", "km_n", "km_cents"]
+
+
+def merge_states(*states: DataFrame) -> DataFrame:
+    """The state of all trips together, from the states of parts of them."""
+    both = reduce(DataFrame.unionByName, states)
+    return both.groupBy(*MONTH, "kpi", "key").agg(*[F.sum(c).alias(c) for c in STATE_SUMS])
+
+
+def report_from_state(state: DataFrame, k: int = S.TOP_K) -> DataFrame:
+    """The wide report of a state, equal to `kpi_report_wide` of the trips it sums up."""
+    def mean(name: str) -> Column:
+        rounded = F.expr(f"(2 * {name}_cents + {name}_n) div (2 * {name}_n)")
+        return F.when(F.col(f"{name}_cents") != 0, rounded.cast("double") / F.lit(100.0))
+
+    counts = state.select(*MONTH, "kpi", "key", "n", mean("dur").alias("avg_trip_duration_min"),
+                          mean("km").alias("avg_trip_distance_km"))
+    return _wide(counts, k)
+
+
 def _ranked(counts: DataFrame, k: int) -> DataFrame:
     """Top-k for the ranked KPIs and shares for the share KPIs; one branch, one scan.
 
@@ -259,7 +325,12 @@ def kpi_report_wide(clean: DataFrame, k: int = S.TOP_K) -> DataFrame:
     the share of every code present; the columns of the codes 0, 1, 2 repeat
     the usual ones.
     """
-    rows = _ranked(month_counts(kpi_base(clean), with_month_totals=True), k)
+    return _wide(month_counts(kpi_base(clean), with_month_totals=True), k)
+
+
+def _wide(counts: DataFrame, k: int) -> DataFrame:
+    """`month_counts` with month totals -> the wide report."""
+    rows = _ranked(counts, k)
 
     is_ = lambda name: F.col("kpi") == name
     aggs = [

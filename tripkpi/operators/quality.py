@@ -146,6 +146,15 @@ def check_required_columns(df: DataFrame, required: list[str] | None = None) ->
     return df
 
 
+def contract_report(df: DataFrame, required: list[str] | None = None) -> DataFrame:
+    """S7 as a table: ``check, ok`` for each required column and for the table having rows (one row read at most)."""
+    required = required or S.KPI_REQUIRED_COLUMNS
+    spark = df.sparkSession
+    columns = spark.createDataFrame([(f"has {c}", c in df.columns) for c in required], "check string, ok boolean")
+    rows = df.select(F.lit(1)).limit(1).agg((F.count("*") > 0).alias("ok"))
+    return columns.unionByName(rows.select(F.lit("has rows").alias("check"), "ok"))
+
+
 def month_filter(df: DataFrame, year: int, month: int) -> DataFrame:
     """one month; on a partitioned table this prunes to one folder."""
     return df.filter((F.col("year") == year) & (F.col("month") == month))

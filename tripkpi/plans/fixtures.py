@@ -10,12 +10,14 @@ the matching folder/file globs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripkpi import schemas as S
 from tripkpi.operators.joins import join_station_coordinates
-from tripkpi.session import scratch_path
+from tripkpi.session import drop_path, scratch_path
 from tripkpi.sources import driver_tables as D
 from tripkpi.sources.stations import station_master
 
@@ -151,6 +153,60 @@ def write_stations(spark: SparkSession, sf_dir: str, path: str) -> str:
     return path
 
 
+def write_landing(spark: SparkSession, sf_dir: str) -> str:
+    """A landing folder of real files: new-layout months, old-layout years, a split part and a backup of each year."""
+    k = _key(spark, sf_dir, "landing")
+    if k in _cache:
+        return _cache[k]
+    base = scratch_path(spark, "landing")
+    raw = D.trips_raw(spark, sf_dir).select("start_ts")
+    months = raw.select(_ts("start_ts", "yyyyMM").alias("period")).distinct()
+    years = raw.select(_ts("start_ts", "yyyy").alias("period")).distinct()
+    names = [(months, S.LANDING_NEW_NAME), (years, S.LANDING_OLD_NAME), (years, S.LANDING_OLD_NAME + ".bak"),
+             (years, S.LANDING_OLD_NAME.replace(".csv", "_1.csv"))]
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(path(base))
+    for df, template in names:                            # as many files as calendar months; the name stands in for a download
+        for r in df.collect():
+            out = store.create(path(f"{base}/{template.format(period=r.period)}"))
+            out.write(10)                                 # Spark's listing leaves empty files out
+            out.close()
+    _cache[k] = base
+    return base
+
+
+def write_changing_layout(spark: SparkSession, sf_dir: str) -> tuple[str, Callable[[], None]]:
+    """A new-layout folder without the last month, and a function that changes it: the first month keeps only the
+    trips of each hour's first half, the second goes, the last comes."""
+    base = scratch_path(spark, "raw-changing")
+    rows = new_layout_rows(spark, sf_dir)
+    periods = sorted(r.period for r in rows.select("period").distinct().collect())
+    first, second, last = periods[0], periods[1], periods[-1]
+    _csv_writer(_per_folder(rows.where(F.col("period") != last), "period")).partitionBy("period").csv(base)
+
+    def change() -> None:
+        def month(period: str, df: DataFrame) -> None:
+            _csv_writer(df.where(F.col("period") == period).drop("period")).csv(f"{base}/period={period}")
+
+        month(first, rows.where(F.substring(S.NEW_LAYOUT.start, 15, 2) < "30"))
+        month(last, rows)
+        drop_path(spark, f"{base}/period={second}")
+
+    return base, change
+
+
+def write_searchable_table(spark: SparkSession, sf_dir: str) -> str:
+    """The clean trips written once for look-ups: sorted inside months, Bloom filters on the bike."""
+    from tripkpi.sinks.parquet import write_searchable_trips
+    k = _key(spark, sf_dir, "searchable")
+    if k not in _cache:
+        path = scratch_path(spark, "searchable")
+        write_searchable_trips(D.clean_trips(spark, sf_dir), path)
+        _cache[k] = path
+    return _cache[k]
+
+
 def write_clean_table(spark: SparkSession, sf_dir: str) -> str:
     """The clean trips written once as the partitioned Parquet table (K1)."""
     from tripkpi.sinks.parquet import write_clean_trips

@@ -20,10 +20,13 @@ from tripkpi.operators import kpis as K
 from tripkpi.operators import quality as Q
 from tripkpi.operators import cleaning
 from tripkpi.operators.joins import join_station_coordinates
+from tripkpi.operators.topk import threshold_top_k
 from tripkpi.plans import fixtures as X
 from tripkpi.plans import layouts as L
-from tripkpi.plans.jobs import build_all
+from tripkpi.plans.incremental import RawSource, rebuild
+from tripkpi.plans.jobs import build_all, clean_new_job, clean_old_job
 from tripkpi.session import scratch_path
+from tripkpi.sinks.kpi_state import merge_trips, read_state
 from tripkpi.sinks.parquet import read_kpi_report, write_clean_trips, write_kpi_report
 from tripkpi.sources import csv_layouts as CSV
 from tripkpi.sources import driver_tables as D
@@ -320,6 +323,95 @@ def q_build_all(spark, sf_dir):
     return K.report_as_text(read_kpi_report(spark, f"{out}/report"))
 
 
+# --- upkeep: incremental rebuild, merged state, counts of a write ------------------------------------------
+
+def q_incremental_rebuild(spark, sf_dir):
+    """Build from raw folders, change one month, remove one, add one, rebuild: the clean table."""
+    base, change = X.write_changing_layout(spark, sf_dir)
+    out = scratch_path(spark, "incremental")
+    source = RawSource(S.NEW_LAYOUT, base, X.NEW_FOLDER_GLOB, X.CSV_FILE_GLOB)
+    rebuild(spark, [source], f"{out}/clean", f"{out}/state")
+    change()
+    rebuild(spark, [source], f"{out}/clean", f"{out}/state")
+    return PQ.read_clean_trips(spark, f"{out}/clean")
+
+
+def q_kpi_report_merged(spark, sf_dir):
+    """The report of a state into which the trips were merged in two batches that share all months."""
+    clean = PQ.read_clean_trips(spark, X.write_clean_table(spark, sf_dir))
+    path = scratch_path(spark, "kpi-state")
+    for half in (0, 1):
+        merge_trips(spark, path, clean.where(F.minute("trip_start_ts") % 2 == half))
+    return K.report_as_text(K.report_from_state(read_state(spark, path)))
+
+
+def q_clean_write_counts(spark, sf_dir):
+    """What both layout jobs report of their write: rows read, before validation, valid, rejected, by reason."""
+    new, old = X.write_new_layout(spark, sf_dir), X.write_old_layout(spark, sf_dir)
+    out = scratch_path(spark, "counted")
+    counts = [
+        {"layout": "new"} | clean_new_job(spark, new, f"{out}/new", files={"folder_glob": X.NEW_FOLDER_GLOB, "file_glob": X.CSV_FILE_GLOB}),
+        {"layout": "old"} | clean_old_job(spark, old, f"{out}/old", f"{old}/stations",
+                                          files={"folder_glob": X.OLD_FOLDER_GLOB, "file_glob": X.CSV_FILE_GLOB})]
+    names = [c for c in counts[0] if c != "layout"]
+    return spark.createDataFrame([tuple(c.values()) for c in counts], "layout string, " + ", ".join(f"{n} bigint" for n in names))
+
+
+def q_file_counts(spark, sf_dir):
+    """Raw and valid rows of each new-layout file, added up by the files' folders (file names are Spark's own)."""
+    typed = L.typed_new_layout(_scan_new(spark, sf_dir), passthrough=["source_file"])
+    period = F.regexp_extract("source_file", CSV.period_regex(6), 1)
+    return (Q.file_counts(typed).groupBy(period.alias("period"))
+            .agg(F.sum("n_rows").alias("n_rows"), F.sum("n_valid").alias("n_valid")))
+
+
+def q_contract_check(spark, sf_dir):
+    """S7 on the whole clean table, on one that lacks two columns, and on one without rows."""
+    whole = PQ.read_clean_trips(spark, X.write_clean_table(spark, sf_dir))
+    inputs = {"whole": whole, "narrow": whole.drop("gender", "birth_year"), "empty": whole.where("trip_duration_min < 0")}
+    return reduce(lambda a, b: a.unionByName(b), [Q.contract_report(df).withColumn("input", F.lit(n)) for n, df in inputs.items()])
+
+
+def q_landing_listing(spark, sf_dir):
+    """The manifest of a folder of real files (their paths are left out: they lie in scratch)."""
+    return LD.landing_manifest(LD.list_landing(spark, X.write_landing(spark, sf_dir), "*")).drop("path")
+
+
+def q_kpi_report_json(spark, sf_dir):
+    """The report's text form (K2, JSON), written and read back."""
+    wide = K.kpi_report_wide(PQ.read_clean_trips(spark, X.write_clean_table(spark, sf_dir)))
+    path = scratch_path(spark, "report-json")
+    write_kpi_report(wide, path, "json")
+    return K.report_as_text(read_kpi_report(spark, path, "json", schema=wide.schema))
+
+
+# --- reads that skip ----------------------------------------------------------------------------------------
+
+def q_clean_periods(spark, sf_dir):
+    return PQ.clean_periods(spark, X.write_clean_table(spark, sf_dir)).select("year", "month", "year_month")
+
+
+def q_bike_history(spark, sf_dir):
+    """All trips of the bike whose id sorts first."""
+    path = X.write_searchable_table(spark, sf_dir)
+    bike = PQ.read_clean_trips(spark, path, validate=False).agg(F.min("bike_id")).first()[0]
+    return PQ.bike_history(spark, path, bike)
+
+
+def q_kpi_top_bikes_threshold(spark, sf_dir):
+    """The monthly top bikes by bounds and survivors, on the stored clean table."""
+    return threshold_top_k(PQ.read_clean_trips(spark, X.write_clean_table(spark, sf_dir)), "bike_id")
+
+
+def q_month_gaps(spark, sf_dir):
+    """Month KPIs over all months of all years, on data in which July of the second year has no trips."""
+    clean = PQ.read_clean_trips(spark, X.write_clean_table(spark, sf_dir))
+    first = _first_month(clean)[0]
+    clean = clean.where((F.col("year") != first + 1) | (F.col("month") != 7))
+    report = K.kpi_report_wide(clean).select("year", "month", "n_trips", "avg_trip_duration_min", "avg_trip_distance_km")
+    return K.densify_months(report, LD.month_spine(clean.select("year")), ["n_trips"])
+
+
 def q_station_quality(spark, sf_dir):
     return Q.station_quality(D.station_raw(spark, sf_dir))
 
@@ -358,6 +450,16 @@ QUERIES: dict[str, Query] = {
     "dynamic_overwrite": q_dynamic_overwrite,
     "month_slice": q_month_slice,
     "kpi_report_sink": q_kpi_report_sink,
+    "kpi_report_json": q_kpi_report_json,
+    "bike_history": q_bike_history,
+    "clean_periods": q_clean_periods,
+    "landing_listing": q_landing_listing,
+    "file_counts": q_file_counts,
+    "contract_check": q_contract_check,
+    # upkeep
+    "incremental_rebuild": q_incremental_rebuild,
+    "kpi_report_merged": q_kpi_report_merged,
+    "clean_write_counts": q_clean_write_counts,
     # the whole flow
     "build_all": q_build_all,
     # KPIs
@@ -369,7 +471,9 @@ QUERIES: dict[str, Query] = {
     "kpi_top_bikes": q_kpi_top_bikes,
     "kpi_top_start_stations": q_kpi_top_start_stations,
     "kpi_top_end_stations": q_kpi_top_end_stations,
+    "kpi_top_bikes_threshold": q_kpi_top_bikes_threshold,
     "distinct_periods": q_distinct_periods,
+    "month_gaps": q_month_gaps,
     # reshape
     "kpi_gender_pivot": q_kpi_gender_pivot,
     "kpi_timeslot_pivot": q_kpi_timeslot_pivot,

@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -87,6 +88,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system holds it; a missing one is no error."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str):
+    """A scratch folder that is deleted afterwards, for tables that nothing returned depends on."""
+    path = scratch_path(spark, name)
+    try:
+        yield path
+    finally:
+        drop_path(spark, path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark)

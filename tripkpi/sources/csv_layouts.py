@@ -7,33 +7,44 @@ with ``regexp_extract``.
 
 A multi-file CSV read binds columns by position, using the first file's
 header for all files, so two files with the same columns in another order
-would silently swap values. The reader therefore binds every line by its own
-file's header. Raw text is read once, as lines, and staged as Parquet in the
-shared scratch folder; all that follows reads the staged lines. Only the
-distinct header lines (normally one) reach the driver. Which file has which
-header stays a DataFrame, joined by file path where there is more than one
-header. ``headers_known=True`` does without staging: one native CSV read in
-which Spark checks every file's header against the first
-(``enforceSchema=false``) and fails rather than swap columns.
+would silently swap values. The reader therefore first makes an index of
+headers: a job with one task per file, which takes the file's first lines and
+stops. Then there is one native CSV scan per distinct header (normally one),
+each with its own column order, united by name. Nothing is copied. Distinct
+headers reach the driver, and file paths where there is more than one header.
+
+Headers repeated inside a file (parts joined with ``cat``) are not data rows; a
+header inside a file that differs from the file's own is an error, raised by
+the index where it stands among the first lines, else by the scan that meets
+it. ``headers_known=True`` does without the index: one native CSV read in which
+Spark checks every file's header against the first (``enforceSchema=false``)
+and fails rather than swap columns.
 """
 
 from __future__ import annotations
 
 import csv
 import io
+import re
+from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripkpi import schemas as S
 from tripkpi.operators import cleaning
 from tripkpi.session import scratch_path
 
+FIRST_LINES = 1000           # lines of a file that the header index takes
+WHOLE_FILE = 1 << 50         # no file is larger: none is split
 CSV_OPTIONS = {"header": "true", "inferSchema": "false", "quote": '"', "escape": "\\"}
 
 
-def _period_regex(digits: int) -> str:
+def period_regex(digits: int) -> str:
     # <folder>/<file>: folder is the period, optionally written Hive-style "key=".
     return rf"/(?:[^/=]+=)?([0-9]{{{digits}}})/[^/]+$"
 
@@ -46,37 +57,52 @@ def _parse_header(line: str) -> tuple[str, ...]:
     return tuple(next(csv.reader(io.StringIO(line.lstrip("\ufeff")), quotechar='"', escapechar="\\")))
 
 
-def _staged_lines(spark: SparkSession, glob: str, layout: S.Layout, period_regex: str) -> DataFrame:
-    """``source_file, period, value, is_header`` of every non-blank line, read once and staged.
+def _header_index(spark: SparkSession, glob: str, layout: S.Layout, pattern: str) -> DataFrame:
+    """``source_file, header, others`` per file with a period in its path: its first line that is not blank, and
+    whether another header line than that follows among the first lines.
 
-    A header line is recognised by containing the layout's duration, start and
-    end column names.
+    Read in a session of its own, in which no file is split or packed with others, so that each task holds one
+    file and ends after one small Arrow batch of its lines.
     """
-    path = scratch_path(spark, "raw-lines")
-    value = F.col("value")
-    is_header = value.contains(layout.duration) & value.contains(layout.start) & value.contains(layout.end)
+    probe = spark.newSession()
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        probe.conf.set(key, str(WHOLE_FILE))
+    probe.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(FIRST_LINES))
+    names = (layout.duration, layout.start, layout.end)
     try:
-        lines = spark.read.text(glob).select(F.col("_metadata.file_path").alias("source_file"), "value")
+        lines = probe.read.text(glob).select(F.col("_metadata.file_path").alias("source_file"), "value")
     except AnalysisException as e:
         raise ValueError(f"no {layout.name}-layout CSV files match {glob}") from e
-    lines = lines.withColumn("period", F.regexp_extract("source_file", period_regex, 1)).withColumn("is_header", is_header)
-    lines.where((F.col("period") != "") & (F.trim("value") != "")).write.parquet(path)
-    return spark.read.schema(lines.schema).parquet(path)
 
+    def first_lines(batches):
+        for b in batches:
+            kept = [line for line in b.column(1).to_pylist() if line and line.strip()]
+            if not kept:
+                continue
+            own, path = kept[0], b.column(0)[0].as_py()
+            heads = {line for line in kept if all(n in line for n in names)}
+            yield pa.RecordBatch.from_pydict({"source_file": [path], "header": [own if own in heads else None],
+                                              "others": [len(heads - {own}) > 0]})
+            return
 
-def _checked_headers(lines: DataFrame, layout: S.Layout, glob: str) -> dict[str, tuple[str, ...]]:
-    """Distinct header line -> column names, after checking that every file has one kind of header.
+    found = lines.where(F.regexp_extract("source_file", pattern, 1) != "").mapInArrow(
+        first_lines, "source_file string, header string, others boolean")
+    path = scratch_path(spark, "header-index")
+    found.write.parquet(path)                            # one row per file
+    return spark.read.schema(found.schema).parquet(path)
+
+
+def _checked_headers(index: DataFrame, layout: S.Layout, glob: str) -> dict[str, tuple[str, ...]]:
+    """Distinct header line -> column names, after checking that every file starts with a header and has one kind.
 
     The driver gets the distinct header lines and, for an error, three paths.
     """
-    own = F.when(F.col("is_header"), F.col("value"))
-    files = lines.groupBy("source_file").agg(F.min(own).alias("lo"), F.max(own).alias("hi"))
-    for bad, what in ((F.col("lo").isNull(), f"without a {layout.name}-layout header"),
-                      (F.col("lo") != F.col("hi"), "with different header lines")):
-        some = [r.source_file for r in files.where(bad).limit(3).collect()]
+    for bad, what in ((F.col("header").isNull(), f"without a {layout.name}-layout header"),
+                      (F.col("others"), "with different header lines")):
+        some = [r.source_file for r in index.where(bad).limit(3).collect()]
         if some:
             raise ValueError(f"files {what}, e.g. {some}")
-    found = {r.value: _parse_header(r.value) for r in lines.where("is_header").select("value").distinct().collect()}
+    found = {r.header: _parse_header(r.header) for r in index.select("header").distinct().collect()}
     if not found:
         raise ValueError(f"no {layout.name}-layout header found in files matching {glob}")
     for header in found.values():
@@ -86,37 +112,40 @@ def _checked_headers(lines: DataFrame, layout: S.Layout, glob: str) -> dict[str,
     return found
 
 
-def _bound_by_header(lines: DataFrame, headers: dict[str, tuple[str, ...]]) -> DataFrame:
-    """Data lines with a column for each header name, bound by the line's own file's header."""
-    data = lines.where(~F.col("is_header"))
-    if len(set(headers.values())) > 1:
-        per_file = lines.where("is_header").select(F.col("source_file").alias("header_file"),
-                                                   F.col("value").alias("header")).distinct()
-        data = data.join(per_file, F.col("source_file") == F.col("header_file")).drop("header_file")
-    else:
-        data = data.withColumn("header", F.lit(next(iter(headers))))
-    width = max(len(h) for h in headers.values())
-    fields = F.from_csv("value", ", ".join(f"c{i} string" for i in range(width)), {k: v for k, v in CSV_OPTIONS.items()
-                                                                                   if k in ("quote", "escape")})
-    # inline() is a step of its own: every line is parsed once, whatever columns are taken from it
-    data = data.select("source_file", "period", "header", F.inline(F.array(fields)))
-    names = dict.fromkeys(n for h in headers.values() for n in h)
-    columns = []
-    for name in names:
-        at = None
-        for line, header in headers.items():
-            field = F.col(f"c{header.index(name)}") if name in header else F.lit(None).cast("string")
-            at = F.when(F.col("header") == line, field) if at is None else at.when(F.col("header") == line, field)
-        columns.append(at.alias(name))
-    return data.select("source_file", "period", *columns)
-
-
-def scan_layout(spark: SparkSession, glob: str, layout: S.Layout, period_regex: str,
+def _readable(path: str) -> str:
+    """A file path as Spark's metadata gives it (a URI), in the form that its readers take: decoded, globs escaped."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(path))
+
+
+def _native_scan(spark: SparkSession, paths: str | list[str], header: tuple[str, ...], layout: S.Layout) -> DataFrame:
+    """One CSV scan of files with one header; header lines inside the files are left out."""
+    names = [n if n not in header[:i] else f"{n}{i}" for i, n in enumerate(header)]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    df = spark.read.schema(schema).options(**{k: v for k, v in CSV_OPTIONS.items() if k != "inferSchema"}).csv(paths)
+    duration, start = F.col(f"`{layout.duration}`"), F.col(f"`{layout.start}`")
+    again = F.coalesce((duration == layout.duration) & (start == layout.start), F.lit(False))
+    other = F.coalesce(duration.isin(layout.required) | start.isin(layout.required), F.lit(False)) & ~again
+    wrong = F.raise_error(F.concat(F.lit("different header line inside "), F.col("_metadata.file_path"))).cast("boolean")
+    return df.where(F.when(other, wrong).otherwise(~again)).withColumn("source_file", F.col("_metadata.file_path"))
+
+
+def _united(spark: SparkSession, glob: str, layout: S.Layout, index: DataFrame, headers: dict[str, tuple[str, ...]]) -> list[DataFrame]:
+    """The native scans, one for each distinct column order."""
+    orders = list(dict.fromkeys(headers.values()))
+    if len(orders) == 1:
+        return [_native_scan(spark, glob, orders[0], layout)]
+    files: dict[tuple[str, ...], list[str]] = {o: [] for o in orders}
+    for r in index.select("source_file", "header").collect():
+        files[headers[r.header]].append(_readable(r.source_file))
+    return [_native_scan(spark, sorted(paths), order, layout) for order, paths in files.items()]
+
+
+def scan_layout(spark: SparkSession, glob: str, layout: S.Layout, pattern: str,
                 headers_known: bool = False) -> DataFrame:
     """Read all CSV files matching ``glob`` as strings, by header name.
 
     Returns the conformed raw frame (see ``operators.cleaning``) plus
-    ``period`` (the key matched by ``period_regex`` on the file path) and
+    ``period`` (the key matched by ``pattern`` on the file path) and
     ``source_file``. Files whose path does not yield a key are left out, and
     so are header lines wherever they stand.
     """
@@ -128,12 +157,14 @@ def scan_layout(spark: SparkSession, glob: str, layout: S.Layout, period_regex:
         missing = [c for c in layout.required if c not in df.columns]
         if missing:
             raise ValueError(f"files at {glob} are missing required columns {missing}")
-        df = df.withColumn("source_file", F.col("_metadata.file_path"))
-        df = df.withColumn("period", F.regexp_extract("source_file", period_regex, 1)).where(F.col("period") != "")
+        scans = [df.withColumn("source_file", F.col("_metadata.file_path"))]
     else:
-        lines = _staged_lines(spark, glob, layout, period_regex)
-        df = _bound_by_header(lines, _checked_headers(lines, layout, glob))
-    return cleaning.conform_layout(df, layout, extra=["period", "source_file"])
+        index = _header_index(spark, glob, layout, pattern)
+        scans = _united(spark, glob, layout, index, _checked_headers(index, layout, glob))
+    period = F.regexp_extract("source_file", pattern, 1)
+    parts = [cleaning.conform_layout(df.withColumn("period", period).where(F.col("period") != ""), layout, extra=["period", "source_file"])
+             for df in scans]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def scan_new_layout(spark: SparkSession, base: str, folder_glob: str | None = None,
@@ -141,7 +172,7 @@ def scan_new_layout(spark: SparkSession, base: str, folder_glob: str | None = No
     """S1 + S3: ``<base>/<yyyyMM>/data.csv`` files of the new layout."""
     folder_glob = folder_glob or _default_folder_glob(6)
     return scan_layout(spark, f"{base.rstrip('/')}/{folder_glob}/{file_glob}", S.NEW_LAYOUT,
-                       _period_regex(6), headers_known)
+                       period_regex(6), headers_known)
 
 
 def scan_old_layout(spark: SparkSession, base: str, folder_glob: str | None = None,
@@ -149,7 +180,7 @@ def scan_old_layout(spark: SparkSession, base: str, folder_glob: str | None = No
     """S2 + S4: ``<base>/<yyyy>/data.csv`` files of the old layout."""
     folder_glob = folder_glob or _default_folder_glob(4)
     return scan_layout(spark, f"{base.rstrip('/')}/{folder_glob}/{file_glob}", S.OLD_LAYOUT,
-                       _period_regex(4), headers_known)
+                       period_regex(4), headers_known)
 
 
 def scan_split_years(spark: SparkSession, landing_glob: str,

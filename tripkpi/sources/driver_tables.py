@@ -53,9 +53,7 @@ def _seconds(expr):
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trips: ``dur_s, start_ts, end_ts, start/end station id+name, bike_id,
     birth_year_raw, gender_raw`` plus the line identity ``trip_order, trip_line``."""
-    # the join's own exchange, stated: at any size the fact side is dealt by its join key
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").repartition("l_orderkey")
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     x = li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
     ok, pk, sk, ln = (F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"),

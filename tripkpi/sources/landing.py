@@ -58,3 +58,41 @@ def month_spine(years: DataFrame, year_col: str = "year") -> DataFrame:
     return (years.select(y.alias("year")).distinct()
             .select("year", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
             .withColumn("period", F.format_string("%04d%02d", F.col("year"), F.col("month"))))
+
+
+SNAPSHOT = ["source", "path", "folder", "period", "length", "modified"]
+
+
+def file_snapshot(spark: SparkSession, glob: str, source: str, period_regex: str) -> DataFrame:
+    """``source, path, folder, period, length, modified`` of the files that match; their contents aren't read.
+
+    ``folder`` is the name of the file's folder. Files without a period in their path are left out.
+    """
+    files = spark.read.format("binaryFile").load(glob)
+    return files.select(F.lit(source).alias("source"), "path", F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("folder"),
+                        F.regexp_extract("path", period_regex, 1).alias("period"), "length",
+                        F.col("modificationTime").alias("modified")).where(F.col("period") != "")
+
+
+def snapshot_changes(before: DataFrame, now: DataFrame) -> DataFrame:
+    """Files of two snapshots by a full outer join on path: ``source, folder, period, path, status``.
+
+    ``status`` is added, removed, changed (other size or modification time) or same.
+    """
+    a, b = before.alias("a"), now.alias("b")
+    both = a.join(b, (F.col("a.source") == F.col("b.source")) & (F.col("a.path") == F.col("b.path")), "full")
+    equal = (F.col("a.length") == F.col("b.length")) & (F.col("a.modified") == F.col("b.modified"))
+    status = (F.when(F.col("a.path").isNull(), "added").when(F.col("b.path").isNull(), "removed")
+              .when(equal, "same").otherwise("changed"))
+    return both.select(*[F.coalesce(f"a.{c}", f"b.{c}").alias(c) for c in ("source", "folder", "period", "path")], status.alias("status"))
+
+
+def changed_periods(changes: DataFrame) -> DataFrame:
+    """``source, folder, period, status`` of the periods with any file added, removed or changed.
+
+    ``status`` is added (all files new), removed (no file left) or changed.
+    """
+    is_ = lambda s: F.count_if(F.col("status") == s)
+    n = F.count("*")
+    status = F.when(is_("added") == n, "added").when(is_("removed") == n, "removed").when(is_("same") == n, "same").otherwise("changed")
+    return changes.groupBy("source", "folder", "period").agg(status.alias("status")).where("status != 'same'")
