@@ -15,7 +15,7 @@ def shingles(text):
     return {tuple(w[i:i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
 
 
-def brute(rows):
+def brute(rows, percent=85):
     """doc_id -> (set sizes, component) by comparing all pairs."""
     items = [(i, shingles(t)) for i, t in rows if i is not None]
     up = {i: i for i, _ in items}
@@ -27,7 +27,7 @@ def brute(rows):
 
     for a, (i, s) in enumerate(items):
         for j, t in items[:a]:
-            if s and t and 100 * len(s & t) >= 85 * len(s | t):
+            if s and t and 100 * len(s & t) >= percent * len(s | t):
                 x, y = find(i), find(j)
                 up[max(x, y)] = min(x, y)
     return {i: find(i) for i, _ in items}

@@ -46,7 +46,7 @@ def test_pipeline_stage_by_stage(spark, sf_small):
             scores = byte_convnet.quality(before, table(spark, sf_small, "labels")).toPandas()
             assert set(a.doc_id) == set(scores.doc_id[scores.score >= 0.3])
         elif name == "minhash_near_dedup":
-            comp = components(list(zip(b.doc_id, b.text)))
+            comp = components(list(zip(b.doc_id, b.text)), percent=C.NEAR_PERCENT)
             assert sorted(a.doc_id) == sorted(i for i, c in comp.items() if i == c)
         elif name == "benchmark_decontamination":
             items = table(spark, sf_small, "benchmark").toPandas()

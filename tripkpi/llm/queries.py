@@ -101,24 +101,32 @@ select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, c.component_id, d.doc_i
 from d left join n using (doc_id) join (select id, min(hop) as component_id from r group by id) c on c.id = d.doc_id
 """,
     "op7_line_dedup": r"""
-with u as (select doc_id, i as unit_no, lines[i] as line,
-                  trim(regexp_replace(translate(lines[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                      '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as norm
+with u as (select doc_id, i as unit_no, lines[i] as line
            from (select doc_id, lines, unnest(range(1, len(lines) + 1)) as i
                  from (select doc_id, string_split(text, chr(10)) as lines from documents where text is not null))),
-p as (select *, coalesce(sum(length(line) + 1) over (partition by doc_id order by unit_no
-                                                     rows between unbounded preceding and 1 preceding), 0) as lo,
-             row_number() over (partition by norm order by doc_id, unit_no) > 1
-               and length(norm) - length(replace(norm, ' ', '')) >= 4 as gone
-      from u),
-t as (select doc_id, count(*) as n_units, count(*) filter (gone) as n_removed,
-             string_agg(lo::bigint || '-' || (lo + length(line))::bigint, ',' order by unit_no) filter (gone) as spans,
-             string_agg(line, chr(10) order by unit_no) filter (not gone) as text
-      from p group by doc_id)
-select d.doc_id, coalesce(n_units, 0)::bigint as n_units, coalesce(n_removed, 0)::bigint as n_removed,
-       coalesce(spans, '') as removed_spans,
+l as (select *, coalesce(sum(length(line) + 1) over (partition by doc_id order by unit_no
+                                                     rows between unbounded preceding and 1 preceding), 0) as lo from u),
+c as (select *, regexp_extract_all(line, '[^.!?]+[.!?]*|[.!?]+') as parts from l),
+s as (select doc_id, unit_no, lo, parts, unnest(range(1, len(parts) + 1)) as k from c where len(parts) > 1),
+x as (select doc_id, unit_no, 0 as k, line as piece, lo from l
+      union all
+      select doc_id, unit_no, k, parts[k], lo + length(array_to_string(parts[1:k - 1], '')) from s),
+n as (select *, trim(regexp_replace(translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as norm from x),
+p as (select *, row_number() over (partition by norm order by doc_id, unit_no, k) > 1
+                and length(norm) - length(replace(norm, ' ', '')) >= 4 as late from n),
+w as (select doc_id, unit_no from p where k = 0 and late),
+gone as (select p.* from p left join w using (doc_id, unit_no) where late and (k = 0 or w.unit_no is null)),
+kept as (select p.doc_id, p.unit_no, string_agg(p.piece, '' order by p.k) as piece
+         from p left join w using (doc_id, unit_no) left join (select doc_id, unit_no, len(parts) as m from c) using (doc_id, unit_no)
+         where w.unit_no is null and not p.late and (p.k > 0 or m <= 1) group by p.doc_id, p.unit_no),
+t as (select doc_id, string_agg(piece, chr(10) order by unit_no) as text from kept group by doc_id),
+g as (select doc_id, count(*) as n_removed,
+             string_agg(lo::bigint || '-' || (lo + length(piece))::bigint, ',' order by unit_no, k) as spans from gone group by doc_id)
+select d.doc_id, case when d.text is null then 0 else len(string_split(d.text, chr(10))) end::bigint as n_units,
+       coalesce(n_removed, 0)::bigint as n_removed, coalesce(spans, '') as removed_spans,
        case when d.text is not null then coalesce(t.text, '') end as text
-from documents d left join t using (doc_id)
+from documents d left join t using (doc_id) left join g using (doc_id)
 """,
     "op10_decontaminate": f"""
 with d as (select row_number() over () as rid, doc_id, coalesce({_WORDS10}, []) as w from documents),
