@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripkpi.llm import textvec as V
-from tripkpi.llm.tables import bounded_batches
+from tripkpi.llm.tables import Shared, bounded_batches
 
 FILTERS = 16
 WIDTH = 6
@@ -163,15 +163,16 @@ def held_out(id_col: str = "doc_id", folds: int = 5, fold: int = 0):
     return F.coalesce(F.pmod(crc, F.lit(folds)) == fold, F.lit(True))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS, label_col: str = "quality") -> ConvNet | None:
-    """A network fitted on at most about ``fit_rows`` labelled rows that aren't held out."""
+def fit(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS, fit_chars: int = FIT_CHARS,
+        label_col: str = "quality") -> ConvNet | None:
+    """A network fitted on at most about ``fit_rows`` labelled rows that aren't held out, of ``fit_chars`` characters at most."""
     known = labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull()).groupBy(
         F.col("doc_id").cast("long").alias("fit_id")).agg(F.min(F.col(label_col).cast("int")).alias("fit_label"))
     known = known.where(~held_out("fit_id"))
     rate = min(1.0, fit_rows / max(1, known.count()))
     u = F.pmod(F.xxhash64("fit_id", F.lit("fit")), F.lit(1 << 40)) / float(1 << 40)
     text = F.col("text").cast("string")
-    src = docs.where(F.col("text").isNotNull() & (F.length("text") <= FIT_CHARS)).select(
+    src = docs.where(F.col("text").isNotNull() & (F.length("text") <= fit_chars)).select(
         F.col("doc_id").cast("long").alias("fit_id"), text.cast("binary").alias("raw"))
     # the sample is bounded by fit_rows, so its ids may be broadcast
     rows = src.join(F.broadcast(known.where(u < rate)), "fit_id").collect()
@@ -185,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS, label_c
 
 def scorer(net: ConvNet | None, spark):
     """A mapInArrow function that appends ``score`` to batches whose column ``text_at`` is the text."""
-    held = spark.sparkContext.broadcast(net)
+    held = Shared(spark, net)
 
     def score(batches, text_at: int):
         model = held.value and held.value.freeze()
@@ -223,10 +224,11 @@ def _long_score(model: ConvNet, data: np.ndarray, span: int = 1 << 19) -> float:
     return float(1 / (1 + np.exp(-float(z))))
 
 
-def quality(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, fit_rows: int = FIT_ROWS) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, fit_rows: int = FIT_ROWS,
+            fit_chars: int = FIT_CHARS) -> DataFrame:
     """Per document: whether it is held out, its score and the prediction."""
     bounded_batches(docs)
-    net = fit(docs, labels, fit_rows=fit_rows)
+    net = fit(docs, labels, fit_rows=fit_rows, fit_chars=fit_chars)
     score = scorer(net, docs.sparkSession)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 

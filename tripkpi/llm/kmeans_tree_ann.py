@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripkpi.llm.tables import bounded_batches, staged
+from tripkpi.llm.tables import Shared, bounded_batches, staged
 
 K = 20
 QUERY_EVERY = 20
@@ -228,7 +228,7 @@ def search(table: DataFrame, *, k: int = K, query_every: int = QUERY_EVERY, samp
     rows = found.where(u < min(1.0, sample / count)).select("rep", "vector").collect()
     rows = sorted(rows, key=lambda r: r["rep"])[:2 * sample] or found.limit(1).select("rep", "vector").collect()
     tree = Tree(np.array([r["vector"] for r in rows], np.float64))
-    held = spark.sparkContext.broadcast(tree)
+    held = Shared(spark, tree)
 
     def index(batches):
         for b in batches:

@@ -36,7 +36,6 @@ text are ignored.
 
 from __future__ import annotations
 
-from functools import lru_cache
 from math import comb
 
 import numpy as np
@@ -72,11 +71,15 @@ CHUNKS = SYMBOLS // SPAN
 MAX_DIFF = 2 * CHUNKS - 1
 
 
-@lru_cache
+_HASHES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _hashes(symbols: int) -> tuple[np.ndarray, np.ndarray]:
+    if symbols in _HASHES:
+        return _HASHES[symbols]
     rng = np.random.Generator(np.random.Philox(key=[71, 5]))
     mult = rng.integers(1, 1 << 63, symbols, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    return mult, rng.integers(0, 1 << 63, symbols, dtype=np.uint64)
+    return _HASHES.setdefault(symbols, (mult, rng.integers(0, 1 << 63, symbols, dtype=np.uint64)))
 
 
 def signature(shingles: np.ndarray, symbols: int = SYMBOLS) -> np.ndarray:
