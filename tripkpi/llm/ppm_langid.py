@@ -11,10 +11,10 @@ its posterior among the languages.
 A-Z is lower-cased; all 256 byte values are told apart. ``Trees`` holds only
 the contexts and bytes seen, per order as sorted codes with one value for each
 language that saw them, so that its size is bounded by the training bytes and
-the order is the same for any number of languages. (``Ppm`` holds the same law
-as one dense table over few symbols; the tests compare the two.) The training
-sample is bounded: about ``fit_bytes`` of whole texts per language, chosen by a
-hash of the id. Scoring reads each whole text once, without a shuffle.
+the order is the same for any number of languages. The training sample is
+bounded, per language (``fit_bytes``) and over all (``all_bytes``, which many
+languages share evenly), and every language with a text has some; texts are
+chosen by a hash. Scoring reads each whole text once, without a shuffle.
 
 Defined cases: null text, or text without a letter, is ``und`` with score 0,
 and so is everything if no language could be learned; null ids count as held
@@ -30,13 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripkpi.llm import textvec as V
-from tripkpi.llm.tables import bounded_batches
+from tripkpi.llm.tables import Shared, bounded_batches
 
 ORDER = 3
-SYMBOLS = 40
 FIT_BYTES = 400_000
-FIT_CHARS = 1 << 16
-MAX_CELLS = 1 << 25
+ALL_BYTES = 32_000_000
 MAX_ORDER = 7
 PART_CELLS = 1 << 21
 
@@ -149,103 +147,51 @@ class Trees:
         return self.sums(self.codes(V.LOWER[text], self.order)[self.order:], np.zeros(1, np.int64))[0]
 
 
-class Ppm:
-    """Code lengths (bits) of each symbol in each context of ``order`` symbols, one column per language."""
-
-    def __init__(self, samples: dict[str, list[bytes]], order: int = ORDER, symbols: int = SYMBOLS):
-        self.langs = sorted(samples)
-        texts = {k: [V.LOWER[np.frombuffer(t, np.uint8)] for t in v] for k, v in samples.items()}
-        freq = sum((np.bincount(t, minlength=256) for v in texts.values() for t in v), np.zeros(256, np.int64))
-        own = np.argsort(-freq, kind="stable")[:symbols - 1]
-        own = own[freq[own] > 0]
-        self.symbol = np.full(256, len(own), np.uint8)
-        self.symbol[own] = np.arange(len(own))
-        a = self.size = len(own) + 1
-        while order > 0 and len(self.langs) * a ** (order + 1) > MAX_CELLS:
-            order -= 1
-        self.order = order
-        self.pad = int(self.symbol[0x20])
-        spread = np.zeros(a)                        # a byte inside the shared symbol
-        spread[len(own)] = np.log2(256 - len(own))
-        cols = []
-        for lang in self.langs:
-            prob = np.full((1, a), 1.0 / a)
-            for k in range(order + 1):
-                n = np.zeros(a ** (k + 1), np.int64)
-                for t in texts[lang]:
-                    np.add.at(n, self.codes(self.symbol[t], k), 1)
-                n = n.reshape(-1, a)
-                total, kinds = n.sum(1, keepdims=True), (n > 0).sum(1, keepdims=True)
-                shorter = np.tile(prob, (len(n) // len(prob), 1))       # the oldest symbol counts most in a code
-                whole = np.maximum(total + kinds, 1)
-                prob = np.where(total > 0, np.where(n > 0, n / whole, shorter * (kinds / whole)), shorter)
-            cols.append((spread - np.log2(prob)).reshape(-1))
-        self.bits = np.stack(cols, 1).astype(np.float32)
-
-    def codes(self, sym: np.ndarray, order: int) -> np.ndarray:
-        """Context and symbol at each position as one number; the text is preceded by spaces."""
-        full = np.concatenate([np.full(order, self.pad, sym.dtype), sym]).astype(np.int32)
-        n = len(sym)
-        code = full[:n].copy()
-        for k in range(1, order + 1):
-            code *= self.size
-            code += full[k:k + n]
-        return code
-
-    def lengths(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Bits of each text (rows bounds[i] to bounds[i + 1] of ``data``) under each language."""
-        sym = self.symbol[V.LOWER[data]]
-        out = np.zeros((len(bounds) - 1, len(self.langs)))
-        if not len(sym):
-            return out
-        code = self.codes(sym, self.order)
-        # the first positions of a text must not see the text before it
-        for k in range(self.order):
-            at = bounds[:-1][np.diff(bounds) > k] + k
-            head = np.zeros(len(at), np.int64)
-            for j in range(self.order, -1, -1):
-                head = head * self.size + (sym[at - j] if j <= k else self.pad)
-            code[at] = head
-        some = np.flatnonzero(np.diff(bounds))
-        bits = np.take(self.bits, code, axis=0, mode="clip")
-        out[some] = np.add.reduceat(bits, bounds[some], axis=0, dtype=np.float64)
-        return out
-
-    def more(self, text: np.ndarray) -> np.ndarray:
-        """Bits of a text's bytes after its first ``order``, which are context only."""
-        return np.take(self.bits, self.codes(self.symbol[V.LOWER[text]], self.order)[self.order:], axis=0).sum(0, dtype=np.float64)
-
-
 def held_out(id_col: str = "doc_id", folds: int = 3, fold: int = 1):
     crc = F.crc32(F.col(id_col).cast("string").cast("binary"))
     return F.coalesce(F.pmod(crc, F.lit(folds)) == fold, F.lit(True))
 
 
-def fit(docs: DataFrame, *, fit_bytes: int = FIT_BYTES, order: int = ORDER) -> Trees | None:
-    """Context trees from about ``fit_bytes`` of whole texts per language, none of them held out."""
+def fit(docs: DataFrame, *, fit_bytes: int = FIT_BYTES, all_bytes: int = ALL_BYTES, order: int = ORDER) -> Trees | None:
+    """Context trees from a sample of each language's texts that aren't held out.
+
+    A language gets ``fit_bytes`` bytes, or its share of ``all_bytes`` where
+    there are many languages: the texts of the smallest hashes, until they are
+    enough. Every language gets its first text, so none is lost, however few
+    or long its texts are. Of a text longer than a language's bytes, a window of
+    so many is learned, at a hashed place.
+    """
     text = F.col("text").cast("string")
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text.alias("text"))
-    known = known.where(F.length("text") <= FIT_CHARS)
-    size = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
-    if not size:
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text.cast("binary").alias("raw"))
+    known = known.where(F.octet_length("raw") > 0).withColumn(
+        "u", F.pmod(F.xxhash64("doc_id", "raw", F.lit("ppm")), F.lit(1 << 40)) / float(1 << 40))
+    stats = known.groupBy("lang").agg(F.sum(F.octet_length("raw")).alias("bytes"), F.min("u").alias("first"))
+    langs = stats.count()
+    if not langs:
         return None
-    u = F.pmod(F.xxhash64("doc_id", F.lit("ppm")), F.lit(1 << 40)) / float(1 << 40)
-    rate = F.lit(0.0)
-    for lang, n in size.items():
-        rate = F.when(F.col("lang") == lang, fit_bytes / max(n, 1)).otherwise(rate)
-    rows = known.where(u < rate).select("doc_id", "lang", F.col("text").cast("binary").alias("raw")).collect()
+    own = max(1, min(fit_bytes, all_bytes // langs))
+    # twice the bytes wanted on average, and the first text in any case; the driver keeps the smallest hashes of these
+    stats = stats.select(F.col("lang").alias("fit_lang"), F.greatest("first", F.lit(2.0 * own) / F.col("bytes")).alias("upto"))
+    size = F.octet_length("raw")
+    at = F.pmod(F.xxhash64("raw"), F.greatest(size - own, F.lit(1)))
+    part = F.when(size > own, F.substring(F.col("raw"), (at + 1).cast("int"), F.lit(own))).otherwise(F.col("raw"))
+    rows = known.join(stats, (F.col("lang") == F.col("fit_lang")) & (F.col("u") <= F.col("upto"))).select(
+        "doc_id", "lang", "u", part.alias("raw")).collect()
     samples: dict[str, list[bytes]] = {}
-    for r in sorted(rows, key=lambda r: (r["doc_id"], r["lang"], r["raw"])):
-        samples.setdefault(r["lang"], []).append(bytes(r["raw"]))
-    return Trees(samples, order) if samples else None
+    held: dict[str, int] = {}
+    for r in sorted(rows, key=lambda r: (r["u"], r["doc_id"], r["raw"])):
+        if held.get(r["lang"], 0) < own:
+            samples.setdefault(r["lang"], []).append(bytes(r["raw"]))
+            held[r["lang"]] = held.get(r["lang"], 0) + len(r["raw"])
+    return Trees(samples, order)
 
 
-def languages(docs: DataFrame, *, fit_bytes: int = FIT_BYTES, order: int = ORDER) -> DataFrame:
+def languages(docs: DataFrame, *, fit_bytes: int = FIT_BYTES, all_bytes: int = ALL_BYTES, order: int = ORDER) -> DataFrame:
     """Per document: whether it is held out, the predicted language and its posterior."""
     bounded_batches(docs)
-    model = fit(docs, fit_bytes=fit_bytes, order=order)
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    model = fit(docs, fit_bytes=fit_bytes, all_bytes=all_bytes, order=order)
+    held = Shared(docs.sparkSession, model)
     text = F.col("text").cast("string")
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
                       F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"))
@@ -271,7 +217,7 @@ def languages(docs: DataFrame, *, fit_bytes: int = FIT_BYTES, order: int = ORDER
         "doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-def lengths(ppm: Trees | Ppm, data: np.ndarray, offsets: np.ndarray, lo: int, hi: int, span: int = 1 << 20) -> np.ndarray:
+def lengths(ppm: Trees, data: np.ndarray, offsets: np.ndarray, lo: int, hi: int, span: int = 1 << 20) -> np.ndarray:
     """Code lengths of rows lo to hi; a long text is added up span by span with its true contexts."""
     base = offsets[lo]
     if offsets[hi] - base <= span:
