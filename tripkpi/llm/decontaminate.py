@@ -27,10 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripkpi.llm import textvec as V
-from tripkpi.llm.tables import bounded_batches, staged
+from tripkpi.llm.tables import Shared, bounded_batches, staged
 
 WINDOW = 10
-MAX_WINDOWS = 1 << 20
+MAX_WINDOWS = 1 << 18
 BITS = 24
 
 HITS_SCHEMA = ("doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, "
@@ -76,22 +76,29 @@ def item_windows(items: DataFrame, window: int, id_col: str, text_col: str) -> D
 class Probe:
     """Looks up a batch of words in one block of the window set."""
 
-    def __init__(self, rows: list):
-        self.by_size: dict[int, tuple[np.ndarray, np.ndarray, dict]] = {}
-        for size in sorted({r.size for r in rows}):
-            known: dict[int, list] = {}
-            for r in rows:
-                if r.size == size:
-                    known.setdefault(r.fp, []).append((bytes(r.words), r.item_id))
-            fps = np.sort(np.array(list(known), np.int64).view(np.uint64))
+    def __init__(self, rows: pa.Table):
+        """``rows``: fp, size, words, item_id. Held as sorted arrays, about 90 bytes for a window of ten words."""
+        fp = np.asarray(rows.column("fp")).astype(np.int64).view(np.uint64)
+        sizes = np.asarray(rows.column("size"))
+        names, item = np.unique(np.array(rows.column("item_id").to_pylist(), object), return_inverse=True)
+        self.names = names.tolist()
+        packed = rows.column("words").combine_chunks().cast(pa.large_binary())
+        self.by_size: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
+        for size in np.unique(sizes).tolist():
+            own = np.flatnonzero(sizes == size)
+            own = own[np.argsort(fp[own], kind="stable")]
+            words = packed.take(pa.array(own))
+            _, off, data = words.buffers()
+            offsets = np.frombuffer(off, np.int64)[words.offset:words.offset + len(own) + 1].copy()
+            text = np.frombuffer(data, np.uint8).copy() if data is not None else np.zeros(0, np.uint8)
             bits = np.zeros(1 << BITS, bool)
-            bits[fps >> np.uint64(64 - BITS)] = True
-            self.by_size[size] = fps, np.packbits(bits), known
+            bits[fp[own] >> np.uint64(64 - BITS)] = True
+            self.by_size[size] = fp[own], np.packbits(bits), offsets, text, item[own].astype(np.int32)
 
     def hits(self, w: V.Words) -> Iterator[tuple[int, int, list[str]]]:
         """(first word, words, items) of each verified occurrence."""
         h = w.hashes()
-        for size, (fps, bits, known) in self.by_size.items():
+        for size, (fps, bits, offsets, text, item) in self.by_size.items():
             at, fp = w.windows(h, size)
             top = fp >> np.uint64(64 - BITS)
             maybe = np.flatnonzero((bits[top >> np.uint64(3)] >> (7 - (top & np.uint64(7))).astype(np.uint8)) & 1)
@@ -99,7 +106,8 @@ class Probe:
             for k in maybe:
                 i = int(at[k])
                 words = b" ".join(w.text[w.start[j]:w.end[j]].tobytes() for j in range(i, i + size))
-                items = [item for text, item in known[int(fp[k].view(np.int64))] if text == words]
+                a, z = np.searchsorted(fps, fp[k], "left"), np.searchsorted(fps, fp[k], "right")
+                items = [self.names[item[j]] for j in range(a, z) if text[offsets[j]:offsets[j + 1]].tobytes() == words]
                 if items:
                     yield i, size, items
 
@@ -132,8 +140,7 @@ def _blocks(items: DataFrame, window: int, max_windows: int, item_id: str, item_
     blocks = max(1, -(-grams.count() // max_windows))
     if blocks > 1:
         grams = staged(grams, "windows")
-    sc = items.sparkSession.sparkContext
-    return [sc.broadcast(Probe(grams.where(F.pmod(F.xxhash64("fp"), F.lit(blocks)) == k).collect()))
+    return [Shared(items.sparkSession, Probe(grams.where(F.pmod(F.xxhash64("fp"), F.lit(blocks)) == k).toArrow()))
             for k in range(blocks)]
 
 
