@@ -2,6 +2,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tripkpi.llm import source_mix as M
 
@@ -64,3 +65,26 @@ def test_rows_of_odd_documents(spark, odd):
 
 def test_empty_table(odd):
     assert M.mix(odd.limit(0)).count() == 0 and M.mixed_documents(odd.limit(0)).count() == 0
+
+
+def test_draws_beyond_numpys_range_keep_their_law():
+    rng = np.random.default_rng(0)
+    good, bad, draws = 3_000_000_000, 9_000_000_000, 40_000
+    got = np.array([M._hypergeometric(rng, good, bad, draws) for _ in range(400)])
+    mean, sd = draws * good / (good + bad), (draws * 0.25 * 0.75) ** 0.5
+    assert abs(got.mean() - mean) < 4 * sd / 20 and 0.85 < got.std() / sd < 1.15
+    counts = M.shard_counts([2_000_000_000, 500_000_000, 7], 5, 3)
+    assert counts.sum(0).tolist() == [2_000_000_000, 500_000_000, 7] and np.ptp(counts.sum(1)) <= 1
+
+
+def test_null_and_repeated_ids_spread_over_sub_streams(spark):
+    rows = [(None if i % 2 else 5, f"text {i} of some words", "s") for i in range(2000)]
+    sizes = M.sized(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    per_part = [r["count"] for r in sizes.withColumn("docs", F.lit(2000)).groupBy(M.sub_stream().alias("part")).count().collect()]
+    assert len(per_part) > 30 and max(per_part) < 150
+
+
+def test_slots_come_from_many_tasks(spark, docs):
+    sources = M.plan_sources(M.sized(docs))
+    drawn = M.draws(spark, sources)
+    assert drawn.select(F.spark_partition_id()).distinct().count() > 1

@@ -147,9 +147,14 @@ def _hypergeometric(rng, good: int, bad: int, draws: int) -> int:
         return 0
     if good + bad < 1_000_000_000:
         return int(rng.hypergeometric(good, bad, draws))
-    mean = draws * good / (good + bad)   # beyond numpy's range: its normal limit
-    var = mean * (bad / (good + bad)) * (good + bad - draws) / (good + bad - 1)
-    return int(min(max(round(rng.normal(mean, var ** 0.5)), max(0, draws - bad)), good, draws))
+    # beyond numpy's range: two binomial draws of one probability, given that they add up to ``draws``, have this law;
+    # about sqrt(2 pi draws (1 - draws / (good + bad))) of them are needed
+    p = draws / (good + bad)
+    while True:
+        own = rng.binomial(good, p, 1 << 16)
+        hit = np.flatnonzero(own + rng.binomial(bad, p, 1 << 16) == draws)
+        if len(hit):
+            return int(own[hit[0]])
 
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -174,11 +179,16 @@ def _sources_frame(spark, sources: list[Source]) -> DataFrame:
                                   for s in sources], schema)
 
 
+def sub_stream():
+    """A document's sub-stream, by id and text: null or repeated ids of a source spread over all of them."""
+    return F.pmod(F.xxhash64("doc_id", "tie"), F.ceil(F.sqrt("docs")).cast("long"))
+
+
 def streams(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     """Adds each document's first token in its source's stream, documents in hashed sub-streams of about sqrt(n)."""
     src = sources.select(F.col("source").alias("s"), "rank", "docs", "source_size", "target")
     d = sizes.join(src, sizes.source.eqNullSafe(F.col("s"))).drop("s")
-    d = d.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.ceil(F.sqrt("docs")).cast("long")))
+    d = d.withColumn("part", sub_stream())
     order = Window.partitionBy("rank", "part").orderBy("doc_id", "tie")
     d = d.withColumn("before", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)))
     parts = d.groupBy("rank", "part").agg(F.sum("size").alias("part_size"))
@@ -199,7 +209,9 @@ def draws(spark, sources: list[Source], block: int = BLOCK, shards: int = SHARDS
                                         "words long, size long")
     # slot ranges of at most 64 Ki, so that a large source is drawn by many tasks
     frame = frame.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / 65536))))
-    frame = frame.repartition("shard", "rank", "at")
+    # so many partitions in any case: the runs are few bytes, which Spark would take for one task's work
+    ranges = sum(-(-r[3] // 65536) for r in runs)
+    frame = frame.repartition(max(1, min(ranges, int(spark.conf.get("spark.sql.shuffle.partitions")))), "shard", "rank", "at")
 
     def slots(batches):
         for pdf in batches:
