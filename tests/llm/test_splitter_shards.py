@@ -43,3 +43,10 @@ def test_deal_prefers_the_lightest():
     for no, size in ((1, 10), (2, 10), (3, 5), (4, 5), (5, 10)):
         load[plan[no]] += size
     assert load == [20, 20]
+
+
+def test_equal_rows_at_a_third_of_the_table_are_split(spark):
+    rows = [(None, "the very same row " * 9)] * 3000 + [(i, f"text number {i * 7919 % 100003} " * (1 + i % 9)) for i in range(6000)]
+    out = check(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    load = out.groupby("shard")["size"].sum()
+    assert len(load) == 40 and load.max() <= 1.02 * load.mean() and load.min() >= 0.98 * load.mean()
