@@ -58,3 +58,31 @@ def test_pages_of_the_test_tables(spark, sf_small):
         blocks = re.split(r"</?(?:p|h1|b)>|</?div[^>]*>", inner.replace("<br>", " "))
         want[r.page_id] = "\n\n".join(x for x in (" ".join(html.unescape(b).split()) for b in blocks) if x)
     assert {r.page_id: r.text for r in H.main_text(pages).collect()} == want
+
+
+@pytest.mark.parametrize("name", ["form-guide", "related-work", "share-price", "tasting-menu", "social-history", "cookie-recipe",
+                                  "search-history", "banner-of-heaven", "alert_levels"])
+def test_marking_words_beside_others_keep_their_text(name):
+    page = f"<body><article><p>First words here.</p><div class='{name}'><p>Text of the block, which matters.</p></div></article></body>"
+    assert H.text_of(page, None) == "First words here.\n\nText of the block, which matters."
+
+
+@pytest.mark.parametrize("name", ["ad", "ad-slot", "share-buttons", "social_share-bar", "relatedPosts", "site-menu", "comments", "cookie-notice",
+                                  "form-guide"])
+def test_marked_blocks_go(name):
+    inside = "<a href=/x>one of many links</a> <a href=/y>and another</a>" if name == "form-guide" else "Buy, share and log in."
+    page = f"<body><article><p>First words here.</p><div class='{name}'>{inside}</div><p>Last words.</p></article></body>"
+    assert H.text_of(page, None) == "First words here.\n\nLast words."
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 60_000 + "deep" + "</div>" * 60_000, "<div class=a>x" * 50_000, "<span hidden>" * 50_000 + "x", "<span hidden>a</span>" * 50_000,
+    "<p>a" * 60_000, "</div>" * 90_000 + "x", "<div>" * 30_000 + "</section>" * 50_000, "<article>w</article>" * 30_000,
+    "<div>" * 30_000 + "<article>" * 30_000 + "x"])
+def test_time_in_proportion_to_the_page(page):
+    import time
+    at = time.process_time()
+    H.Page(page).ranked()
+    H.text_of(page, "div")
+    H.text_of(page, None)
+    assert time.process_time() - at < 40

@@ -14,6 +14,12 @@ Votes are combined map-side, one row per host and path and task, so a host
 with a third of all pages costs no more than others; the join back carries the
 hot host in as many tasks as adaptive skew splitting makes of it.
 
+Classes mark what is not article: a class of marking words alone, or with words
+that say nothing, firmly; a class in which another word stands too ("form-guide")
+only where most of the block's text is in links. Parsing takes time in
+proportion to the page: paths are compared by running checksums, hidden elements
+are matched once, and each element knows its run of texts.
+
 Text: character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined in page order by two line feeds.
 
@@ -27,6 +33,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -61,13 +68,20 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 DROP_TAGS = frozenset("nav footer aside form menu dialog button select svg object head".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 #: Words of a class or id that mark something beside the article: whole words, and beginnings of words.
-DROP_WORDS = frozenset("""ad ads adv advert nav menu menus side rail share sharing social cookie cookies notice notices
+DROP_WORDS = frozenset("""ad ads adv advert nav menu menus rail share sharing social cookie cookies notice notices
 reply replies respond form login search popup modal overlay promo promos banner related widget widgets pager alert
-tags byline footer header masthead toolbar meta""".split()) - {"meta", "tags", "byline", "side"}
+header masthead footer toolbar""".split())
 DROP_STARTS = ("advert", "sponsor", "navig", "navbar", "breadcrumb", "sidebar", "comment", "disqus", "consent", "gdpr",
                "newsletter", "subscri", "signup", "paginat", "recommend", "copyright", "disclaimer", "notification",
                "toast", "footer", "masthead", "dropdown", "feedback")
+#: Words that say nothing of the content: a class of marking words and these is a firm mark ("share-buttons", "ad-slot").
+#: With any other word ("form-guide", "share-price") it is a weak one, which holds only for blocks that are mostly links.
+PLAIN_WORDS = frozenset("""area bar bars block blocks body bottom box boxes btn button buttons card cards col column
+container content desktop fixed floating global group header holder home icon icons id in inline inner item items js
+left link links list lists main mobile module nav of on outer page panel post posts primary right row secondary
+section site slot slots small sticky sub text the title top ui unit units view wrap wrapper x""".split())
 HEADER_WORDS = frozenset({"header", "masthead", "banner"})
+WEAK_LINKS = 0.5
 #: Weights of container elements in the score.
 BONUS = {"#": 0.6, "article": 1.5, "main": 1.2, "body": 0.6, "td": 0.8, "table": 0.8, "blockquote": 0.3, "dd": 0.3}
 
@@ -77,7 +91,10 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.end, self.step = ["#"], [-1], [0], [""]
-        self.drop, self.head, self.soft = [False], [False], [False]
+        self.drop, self.head, self.soft, self.weak = [False], [False], [False], [False]
+        self.path_sum, self.open_at, self.shut_at = [0], [0], [0]   # of each element: its path's checksum, its run of texts
+        self.held: dict[str, int] = {}                              # how many open elements have a tag
+        self.spans: dict[str, dict[int, int]] = {}                  # hidden elements: start -> end, by tag
         self.text: list[tuple[int, int, str, bool]] = []        # element, block, text, inside a link
         self.article_inside: set[int] = set()
         stack, at, block, links, n = [0], 0, 0, 0, len(source)
@@ -105,10 +122,10 @@ class Page:
             if closing:
                 if name in BLOCKS or name in DROP_TAGS:
                     block += 1
-                    if any(self.tag[e] == name for e in stack):
+                    if self.held.get(name):
                         while True:
                             e = stack.pop()
-                            self.end[e] = len(self.tag)
+                            self._shut(e)
                             if self.tag[e] == name:
                                 break
                         if not stack:
@@ -123,7 +140,7 @@ class Page:
                 continue
             if name not in BLOCKS and name not in DROP_TAGS:
                 if name not in VOID and m[3] and "hidden" in m[3] and self._hidden(m[3]):
-                    at = self._skip(source, name, at)
+                    at = self._skip(source, name, m.start(), at)
                 continue
             block += 1
             if name in VOID:
@@ -136,33 +153,42 @@ class Page:
                 self._close(stack, SAME[name])
             self._open(stack, name, m[3] or m[6] or "")
             if (m[3] or "").endswith("/") and name in DROP_TAGS:
-                self.end[stack.pop()] = len(self.tag)
+                self._shut(stack.pop())
         for e in stack:
-            self.end[e] = len(self.tag)
+            self._shut(e)
         self._judge()
 
+    def _shut(self, e: int) -> None:
+        self.end[e], self.shut_at[e] = len(self.tag), len(self.text)
+        if e:
+            self.held[self.tag[e]] -= 1
+
     @staticmethod
     def _hidden(attrs: str) -> bool:
         a = {k.lower(): (v or "").strip("\"'").lower() for k, v in _ATTR.findall(attrs)}
         return "hidden" in a or a.get("aria-hidden") == "true"
 
-    @staticmethod
-    def _skip(source: str, name: str, at: int) -> int:
-        """End of a hidden inline element."""
-        depth = 1
-        for m in re.finditer(rf"<(/?){re.escape(name)}\b[^>]*>", source[at:], re.I):
-            depth += -1 if m[1] else 1
-            if not depth:
-                return at + m.end()
-        return at
+    def _skip(self, source: str, name: str, start: int, at: int) -> int:
+        """End of a hidden inline element that starts at ``start``; its tags are matched once for the whole page."""
+        if name not in self.spans:
+            found, opened = {}, []
+            for m in re.finditer(rf"<(/?){re.escape(name)}\b[^>]*>", source, re.I):
+                if not m[1]:
+                    opened.append(m.start())
+                elif opened:
+                    found[opened.pop()] = m.end()
+            self.spans[name] = found
+        return self.spans[name].get(start, at)
 
     def _close(self, stack: list[int], names) -> None:
         """End an open element of ``names``, unless one that opens a new scope stands between."""
+        if not any(self.held.get(n) for n in names):
+            return
         for k in range(len(stack) - 1, 0, -1):
             t = self.tag[stack[k]]
             if t in names:
                 for e in stack[k:]:
-                    self.end[e] = len(self.tag)
+                    self._shut(e)
                 del stack[k:]
                 return
             if t in SCOPE:
@@ -171,23 +197,31 @@ class Page:
     def _open(self, stack: list[int], name: str, attrs: str) -> None:
         e = len(self.tag)
         a = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(attrs)} if attrs.strip(" /") else {}
-        words = [w.lower() for w in _WORD.findall(f"{a.get('class', '')} {a.get('id', '')}")]
-        marked = [w for w in words if w in DROP_WORDS or w.startswith(DROP_STARTS)]
+        names = [[w.lower() for w in _WORD.findall(c)] for c in f"{a.get('class', '')} {a.get('id', '')}".split()]
+        marked = [w for c in names for w in c if _marks(w)]
+        weak = bool(marked) and not any(any(map(_marks, c)) and all(_marks(w) or w in PLAIN_WORDS for w in c) for c in names)
         role = a.get("role", "").lower()
         style = a.get("style", "").replace(" ", "").lower() if "style" in a else ""
         hidden = "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in style
-        head = name == "header" or role == "banner" or (bool(marked) and all(w in HEADER_WORDS for w in marked))
+        head = name == "header" or role == "banner" or (bool(marked) and not weak and all(w in HEADER_WORDS for w in marked))
         firm = name in DROP_TAGS or role in DROP_ROLES or hidden
         self.tag.append(name)
         self.parent.append(stack[-1])
         self.end.append(e + 1)
         names = sorted({_DIGITS.sub("#", c.lower()) for c in entities.unescape(a.get("class", "")).split()})
         self.step.append(".".join([name, *names]))
+        self.path_sum.append(_path_sum(self.path_sum[stack[-1]], self.step[-1]) if name != "html" else self.path_sum[stack[-1]])
+        self.open_at.append(len(self.text))
+        self.shut_at.append(len(self.text))
+        self.held[name] = self.held.get(name, 0) + 1
         self.drop.append(firm or head or (bool(marked) and name not in HEADINGS))
         self.head.append(head)
         self.soft.append(not firm and (bool(marked) or head))
+        self.weak.append(not firm and not head and weak)
         if name in ("article", "main"):
-            for up in stack:
+            for up in reversed(stack):
+                if up in self.article_inside:                 # and so are all above it
+                    break
                 self.article_inside.add(up)
         stack.append(e)
 
@@ -201,10 +235,13 @@ class Page:
                 own_link[e] += size
             else:
                 own[e] += size
-        every = own[:]
+        every, linked = own[:], own_link[:]
         for e in range(n - 1, 0, -1):
             every[self.parent[e]] += every[e]
+            linked[self.parent[e]] += linked[e]
         for e in range(1, n):
+            if self.weak[e] and linked[e] <= WEAK_LINKS * (linked[e] + every[e]):
+                self.drop[e] = False
             if self.soft[e] and self.drop[e] and (
                     (e in self.article_inside and not self._remark(e)) or every[e] > 0.7 * every[0]):
                 self.drop[e] = False
@@ -246,7 +283,7 @@ class Page:
 
     def extract(self, e: int) -> str:
         """The article's text under element e."""
-        skip = [False] * (self.end[e] - e)
+        skip, texts = [False] * (self.end[e] - e), self.text[self.open_at[e]:self.shut_at[e]]
         for k in range(e + 1, self.end[e]):
             up = self.parent[k]
             above = skip[up - e]
@@ -255,8 +292,8 @@ class Page:
             skip[k - e] = above or self.drop[k]
         blocks: list[str] = []
         last, parts = -1, []
-        for own, block, text, _ in self.text:
-            if not e <= own < self.end[e] or skip[own - e]:
+        for own, block, text, _ in texts:
+            if skip[own - e]:
                 continue
             if block != last:
                 blocks.append("".join(parts))
@@ -277,6 +314,22 @@ class Page:
         return seen
 
 
+def _marks(word: str) -> bool:
+    return word in DROP_WORDS or word.startswith(DROP_STARTS)
+
+
+def _path_sum(above: int, step: str) -> int:
+    """Checksum of a path from that of the path above it: equal paths have equal sums."""
+    return zlib.crc32(step.encode(), zlib.crc32(b">", above))
+
+
+def path_sum(path: str) -> int:
+    total = 0
+    for step in path.split(">") if path else []:
+        total = _path_sum(total, step)
+    return total
+
+
 def host(url_col: str = "url"):
     """The url's host in lower case, without user and port; null where there is none."""
     found = F.regexp_extract(F.lower(F.trim(F.col(url_col).cast("string"))), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
@@ -333,7 +386,9 @@ def text_of(source: str | None, path: str | None) -> str:
         return ""
     page = Page(source)
     if path is not None:
-        found = [e for e in range(len(page.tag)) if (page.tag[e] in CONTAINERS or not e) and not page.out[e] and page.path(e) == path]
+        wanted = path_sum(path)
+        found = [e for e in range(len(page.tag)) if page.path_sum[e] == wanted and (page.tag[e] in CONTAINERS or not e)
+                 and not page.out[e] and page.path(e) == path]
         if found:
             best = max(found, key=lambda e: (page.score(e), -e))
             # an article in several such elements: those beside the best whose own text outweighs links and the like
