@@ -61,3 +61,38 @@ def test_held_out_accuracy(spark):
     got = M.quality(docs, labels).where("held_out").join(labels, "doc_id").toPandas()
     assert (got.predicted == got.quality).mean() > 0.93
     assert (got.score[got.quality == 1].median()) > (got.score[got.quality == 0].max())
+
+
+def plain_score(net, text):
+    """The score by its definition, in loops: responses, maxima of two neighbouring blocks, mean and maximum, logistic law."""
+    import math
+    data = list(text) or [0]
+    table, width = net.p["table"], net.width
+    padded = data + [0] * (width - 1)
+    resp = [[sum(float(table[j][padded[i + j]][f]) for j in range(width)) for f in range(net.filters)] for i in range(len(data))]
+    blocks = [resp[k:k + M.BLOCK] for k in range(0, len(data), M.BLOCK)]
+    chunks = [a + b for a, b in zip(blocks, blocks[1:])] or blocks
+    pooled = [[max(0.0, max(r[f] for r in c)) for f in range(net.filters)] for c in chunks]
+    z = float(net.p["bias"][0])
+    for f in range(net.filters):
+        column = [p[f] for p in pooled]
+        z += sum(column) / len(column) * float(net.p["mean"][f]) + max(column) * float(net.p["top"][f])
+    return 1 / (1 + math.exp(-z))
+
+
+def test_scores_against_plain_loops():
+    rng = np.random.default_rng(3)
+    net = M.ConvNet(5, 6, seed=4)
+    texts = [rng.integers(0, 256, n).astype(np.uint8) for n in (0, 1, 3, 127, 128, 129, 256, 300, 700)]
+    got = net.scores(texts)
+    for t, g in zip(texts, got):
+        assert abs(plain_score(net, t.tolist()) - g) < 1e-5
+
+
+def test_query_against_plain_loops(spark, docs, sf_small):
+    labels = spark.read.parquet(f"{sf_small}/labels.parquet")
+    net = M.fit(docs, labels)
+    want = {r.doc_id: r.score for r in M.quality(docs, labels).collect()}
+    for r in docs.where("doc_id % 40 = 3").select("doc_id", "text").collect():
+        if len(r.text or "") < 3000:
+            assert abs(plain_score(net, list((r.text or "").encode())) - want[r.doc_id]) < 1e-4

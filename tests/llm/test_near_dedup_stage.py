@@ -66,3 +66,16 @@ def test_other_texts_under_one_id_are_documents_of_their_own(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = sorted(((r.doc_id, r.text) for r in C.near_dedup_stage(spark, docs, "").collect()), key=str)
     assert got == sorted([(3, one), (7, two), (4, None), (4, ""), (None, one)], key=str)
+
+
+def test_rows_that_differ_in_other_columns_only(spark):
+    import corpus_pipeline as C
+    text = "one two three four five six seven"
+    rows = [(1, text, lang, source, 5) for lang, source in (("en", "b"), ("en", "a"), (None, "c"))] + [(2, "other words of its own here", "en", "a", 9)]
+    seen = set()
+    for parts in (1, 3, 5):
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(parts)
+        out = C.near_dedup_stage(spark, df, "")
+        assert out.columns == df.columns
+        seen.add(tuple(sorted(map(str, out.collect()))))
+    assert len(seen) == 1 and len(next(iter(seen))) == 2
