@@ -9,6 +9,7 @@ independently (plain SQL, no library code).
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -33,11 +34,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def _llm() -> tuple[dict, dict]:
     """Queries and SQL of the llm subpackage and the pipeline; none where they are absent."""
-    try:
-        import corpus_pipeline
-        from tripkpi.llm import queries as llm
-    except ImportError:
+    if not (importlib.util.find_spec("corpus_pipeline") and importlib.util.find_spec("tripkpi.llm")):
         return {}, {}
+    import corpus_pipeline
+    from tripkpi.llm import queries as llm
     found, sql = dict(llm.QUERIES), dict(llm.ORACLES)
     found["pipeline"] = corpus_pipeline.run
     if corpus_pipeline.ORACLE_SQL:

@@ -24,8 +24,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (similarity ``NEAR_PERCENT``) stays, the one with the smallest id.
 
-    Rows equal in id and text count as one document, other texts under the same
-    id as documents of their own. Documents without words are no near duplicates
+    Rows equal in id and text count as one document (of rows that differ in other
+    columns, the first by these as JSON), other texts under the same id as
+    documents of their own. Documents without words are no near duplicates
     of anything, and those without an id aren't judged: they stay.
     """
     named = docs.where("doc_id is not null")
@@ -34,7 +35,11 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         kept = minhash_hamming.near_duplicates(named, percent=NEAR_PERCENT).where("kept").select(F.col("doc_id").alias("kept_id"))
         stay = named.join(kept, named["doc_id"] == kept["kept_id"], "left_semi")
     else:
-        once = named.dropDuplicates(["doc_id", "text"]).withColumn("near_uid", F.xxhash64("doc_id", "text"))
+        others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")])
+        # of rows equal in id and text the one whose other columns come first as JSON, whatever the partitioning
+        once = named.groupBy("doc_id", "text").agg(F.min_by(others, F.to_json(others)).alias("near_rest")).select(
+            *[F.col(f"near_rest.`{c}`") if c not in ("doc_id", "text") else F.col(c) for c in docs.columns])
+        once = once.withColumn("near_uid", F.xxhash64("doc_id", "text"))
         found = minhash_hamming.near_duplicates(once, id_col="near_uid", percent=NEAR_PERCENT).select(
             F.col("doc_id").alias("kept_uid"), "component_id")
         owner = once.select("near_uid", F.col("doc_id").alias("owner_id"))
