@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripkpi.llm import textvec as V
-from tripkpi.llm.tables import Shared, bounded_batches
+from tripkpi.llm.tables import Shared, bounded_batches, staged
 
 ORDER = 3
 FIT_BYTES = 400_000
@@ -172,7 +172,9 @@ def fit(docs: DataFrame, *, fit_bytes: int = FIT_BYTES, all_bytes: int = ALL_BYT
         return None
     own = max(1, min(fit_bytes, all_bytes // langs))
     # twice the bytes wanted on average, and the first text in any case; the driver keeps the smallest hashes of these
-    stats = stats.select(F.col("lang").alias("fit_lang"), F.greatest("first", F.lit(2.0 * own) / F.col("bytes")).alias("upto"))
+    # staged, a row per language: its true size decides the join, so that few languages don't make the texts move
+    stats = staged(stats.select(F.col("lang").alias("fit_lang"), F.greatest("first", F.lit(2.0 * own) / F.col("bytes")).alias("upto")),
+                   "ppm-languages")
     size = F.octet_length("raw")
     at = F.pmod(F.xxhash64("raw"), F.greatest(size - own, F.lit(1)))
     part = F.when(size > own, F.substring(F.col("raw"), (at + 1).cast("int"), F.lit(own))).otherwise(F.col("raw"))
