@@ -19,8 +19,13 @@ the join would miss, with a probability of ``MISS`` at most: for 85, op1's, 40
 Keys shared by one class only are dropped after a map-side combined count.
 Inside a key, signatures are compared by distance and by an exact bound on the
 intersection (counts of the set's fingerprints in 256 cells); a pair is judged
-under its first shared key only. A key with many classes is dealt to blocks of
-at most ``BLOCK`` classes, one task unit for each pair of blocks. Not all
+under its first shared key only. In a key of more than ``BLOCK`` classes, all
+are first compared with the ``PIVOTS`` that have most classes in their large
+keys; for ``PIVOT_ROUNDS`` rounds in all, those still outside the key's largest
+component meet the next pivots. What still differs then is compared in full: classes outside
+that component with one another and with its members, in pairs of blocks of at
+most ``BLOCK`` classes, so work grows with the classes the pivots left over times
+the key's, and nothing is lost. Not all
 pairs are emitted: each class proposes its best partners in other components
 (1 at first, then 16 times as many each round), the proposals are confirmed on
 the full sets, components are formed, and keys whose classes are all in one
@@ -54,6 +59,7 @@ SPAN = 4
 MISS = 2.2e-7
 CELLS = 256
 BLOCK = 512
+PIVOTS, PIVOT_ROUNDS = 4, 3
 FIRST, GROWTH = 1, 16
 
 
@@ -162,12 +168,13 @@ def _key(sig: np.ndarray, no: int) -> np.ndarray:
     return k
 
 
-def proposals(units: DataFrame, top: int, percent: int = PERCENT) -> DataFrame:
+def proposals(units: DataFrame, top: int, percent: int = PERCENT, pivots: bool = False) -> DataFrame:
     """(a, b, bound, held): for each class and unit the ``top`` best partners in components of smaller label.
 
     ``held`` is true on a row whose class had further partners. Units arrive
     sorted; pairs are formed by comparing each row with its d-th successor in
-    the unit, for all rows of a batch at once.
+    the unit, for all rows of a batch at once. With ``pivots``, side 0 holds the
+    pivots, and each class of side 1 proposes its best ones whatever their labels.
     """
     symbols = symbols_for(percent)
 
@@ -178,21 +185,22 @@ def proposals(units: DataFrame, top: int, percent: int = PERCENT) -> DataFrame:
             unit = t.column("unit").to_numpy()
             cut = int(np.searchsorted(unit, unit[-1], "left")) if len(unit) else 0
             if cut:
-                yield from _pairs(t.slice(0, cut), top, percent, symbols)
+                yield from _pairs(t.slice(0, cut), top, percent, symbols, pivots)
             rest = t.slice(cut)
         if rest is not None and rest.num_rows:
-            yield from _pairs(rest, top, percent, symbols)
+            yield from _pairs(rest, top, percent, symbols, pivots)
 
     return units.mapInArrow(run, "a long, b long, bound double, held boolean")
 
 
-def _pairs(t: pa.Table, top: int, percent: int, symbols: int):
+def _pairs(t: pa.Table, top: int, percent: int, symbols: int, pivots: bool = False):
     unit, side, key_no = (t.column(c).to_numpy() for c in ("unit", "side", "key_no"))
     rep, comp, n = (t.column(c).to_numpy() for c in ("rep", "component", "n"))
     sig = np.frombuffer(b"".join(t.column("signature").to_pylist()), "<u2").reshape(-1, symbols)
     cell = np.frombuffer(b"".join(t.column("cells").to_pylist()), np.uint8).reshape(-1, CELLS)
     lo, hi, best = [], [], []
-    live = np.arange(len(unit) - 1)
+    # sides are in order, so a row of side 1 has no partner after it
+    live = np.flatnonzero(side[:-1] != 1)
     d = 0
     while len(live):
         d += 1
@@ -207,8 +215,10 @@ def _pairs(t: pa.Table, top: int, percent: int, symbols: int):
             same = sig[i] == sig[j]
             near = (~same).sum(1) < 2 * (symbols // SPAN)
             i, j, same = i[near], j[near], same[near]
-            first = _first_key(same) == key_no[i]
-            i, j = i[first], j[first]
+            alike = same.mean(1)
+            if not pivots:
+                first = _first_key(same) == key_no[i]
+                i, j, alike = i[first], j[first], alike[first]
             common = np.minimum(cell[i], cell[j]).sum(1, dtype=np.int64)
             # a saturated cell bounds nothing: such (very long) sets go on to the full check
             common = np.where((cell[i].max(1, initial=0) == 255) & (cell[j].max(1, initial=0) == 255),
@@ -217,11 +227,12 @@ def _pairs(t: pa.Table, top: int, percent: int, symbols: int):
             ok = 100 * common >= percent * union
             lo.append(i[ok])
             hi.append(j[ok])
-            best.append((common / union)[ok])
+            # the bound on the intersection is loose; the few pivots are told apart by the signatures
+            best.append((alike if pivots else common / union)[ok])
     if not lo:
         return
     i, j, s = np.concatenate(lo), np.concatenate(hi), np.concatenate(best)
-    up = comp[i] > comp[j]
+    up = (comp[i] > comp[j]) & (not pivots)
     x, y = np.where(up, i, j), np.where(up, j, i)         # x proposes y, whose component is smaller
     order = np.lexsort((rep[y], -s, x))
     x, y = x[order], y[order]
@@ -241,17 +252,61 @@ def _first_key(same: np.ndarray) -> np.ndarray:
     return chunk * SPAN + np.where(wrong.any(1), wrong.argmax(1), 0)
 
 
-def _units(members: DataFrame, labelled: DataFrame) -> DataFrame:
-    """Rows of the task units: a key's classes, or for large keys each pair of blocks of them."""
-    m = members.join(labelled, "rep")
-    m = m.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
-    m = m.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return m.select(
-        F.when(F.col("blocks") == 1, F.col("key")).otherwise(
-            F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))).alias("unit"),
-        F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"),
-        "key_no", "rep", "component", "n", "signature", "cells").repartition("unit").sortWithinPartitions("unit")
+def _open(members: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """Members of the keys that hold several components, with ``component``, the key's largest one and how many are outside it."""
+    if comp is None:
+        return members.select("*", F.col("rep").alias("component"), F.lit(None).cast("long").alias("main"),
+                              F.col("members").alias("outside"))
+    label = members.join(comp, F.col("rep") == F.col("id"), "left").withColumn(
+        "component", F.coalesce("component", "rep")).drop("id")
+    sizes = label.groupBy("key", "component").agg(F.count("*").alias("held"))
+    main = sizes.groupBy("key").agg(F.max(F.struct("held", "component")).alias("top"), F.sum("held").alias("all"))
+    main = main.select("key", F.col("top.component").alias("main"), (F.col("all") - F.col("top.held")).alias("outside"))
+    return label.join(main.where("outside > 0"), "key")
+
+
+ROW = ["unit", "side", "key_no", "rep", "component", "n", "signature", "cells"]
+
+
+def _arranged(rows: DataFrame, payload: DataFrame) -> DataFrame:
+    return rows.join(payload, "rep").select(*ROW).repartition("unit").sortWithinPartitions("unit", "side")
+
+
+def _upto(n, make):
+    """An array of ``make(i)`` for i below n, empty for 0."""
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), make)).otherwise(
+        F.array().cast("array<struct<unit:bigint,side:int>>"))
+
+
+def _pivot_units(large: DataFrame, payload: DataFrame, turn: int) -> DataFrame:
+    """Slices of the large keys' classes outside the key's largest component, each slice with the turn's pivots."""
+    order = Window.partitionBy("key").orderBy(F.desc("central"), F.xxhash64("rep"), "rep")
+    slices = F.ceil(F.col("members") / BLOCK).cast("int")
+    # the window's limit is applied in each task before its shuffle
+    pivots = large.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PIVOTS * (turn + 1))
+    pivots = pivots.where(F.col("place") > PIVOTS * turn).select(
+        "key", "key_no", "rep", "component", F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"), F.lit(0).alias("side"))
+    rest = large.where(F.col("main").isNull() | (F.col("component") != F.col("main"))).select(
+        "key", "key_no", "rep", "component", F.pmod(F.xxhash64("rep"), slices).cast("int").alias("slice"), F.lit(1).alias("side"))
+    return _arranged(pivots.union(rest).withColumn("unit", F.xxhash64("key", "slice")), payload)
+
+
+def _units(open_: DataFrame, payload: DataFrame) -> DataFrame:
+    """Rows of the task units: a key's classes, or for large keys pairs of blocks that hold a class outside the main component."""
+    out = F.col("main").isNull() | (F.col("component") != F.col("main"))
+    m = open_.withColumn("out", out).withColumn("o", F.ceil(F.col("outside") / BLOCK).cast("int")).withColumn(
+        "i", F.ceil((F.col("members") - F.col("outside")) / BLOCK).cast("int"))
+    m = m.withColumn("block", F.pmod(F.xxhash64("rep"), F.when(F.col("out"), F.col("o")).otherwise(F.col("i"))).cast("int"))
+    unit = lambda kind, a, b, side: F.struct(F.xxhash64(F.col("key"), F.lit(kind), a, b).alias("unit"), side.cast("int").alias("side"))
+    mine = F.col("block")
+    among = _upto(F.col("o"), lambda b: unit("out", F.least(mine, b), F.greatest(mine, b),
+                                             F.when(mine == b, 2).when(mine < b, 0).otherwise(1)))
+    across = _upto(F.col("i"), lambda b: unit("main", mine, b, F.lit(0)))
+    inside = _upto(F.col("o"), lambda b: unit("main", b, mine, F.lit(1)))
+    whole = F.array(F.struct(F.col("key").alias("unit"), F.lit(2).alias("side")))
+    m = m.withColumn("at", F.explode(F.when(F.col("members") <= BLOCK, whole).when(
+        F.col("out"), F.concat(among, across)).otherwise(inside)))
+    return _arranged(m.select("key_no", "rep", "component", "at.unit", "at.side"), payload)
 
 
 def confirmed(pairs: DataFrame, src: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -273,32 +328,38 @@ def _link(src: DataFrame, classes: DataFrame, percent: int) -> DataFrame | None:
     members = staged(keys.join(shared, "key"), "minhash-members")
     payload = classes.select("rep", "n", "signature", "cells")
     tested = links = comp = None
-    top = FIRST
-    while True:
-        if comp is None:
-            labelled, left = payload.withColumn("component", F.col("rep")), members
-        else:
-            labelled = payload.join(comp, F.col("rep") == F.col("id"), "left").withColumn(
-                "component", F.coalesce("component", "rep")).drop("id")
-            label = members.join(labelled.select("rep", "component"), "rep")
-            open_ = label.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(
-                "lo < hi").select("key")
-            left = members.join(open_, "key", "left_semi")
-        found = staged(proposals(_units(left, labelled), top, percent), "minhash-proposals")
-        best = Window.partitionBy("a").orderBy(F.desc("bound"), "b")
-        found = found.withColumn("place", F.row_number().over(best)).withColumn(
-            "held", F.col("held") | (F.col("place") == top + 1))
-        held = found.where("held").limit(1).count() > 0
+
+    def test(found: DataFrame, top: int) -> bool:
+        """Confirm each class's ``top`` best new proposals on the full sets; whether there were links."""
+        nonlocal tested, links, comp
         pairs = found.where(F.col("place") <= top).select("a", "b").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "minhash-pairs")
         new = staged(confirmed(pairs, src, percent), "minhash-links")
         tested = pairs if tested is None else tested.union(pairs)
-        grown = new.limit(1).count() > 0
+        if new.isEmpty():
+            return False
         links = new if links is None else links.union(new)
-        if grown:
-            comp = components(links)
+        comp = components(links)
+        return True
+
+    best = Window.partitionBy("a").orderBy(F.desc("bound"), "b")
+    hot = members.where(F.col("members") > BLOCK)
+    if not hot.isEmpty():
+        # the middle of a group shares more of the group's keys than its edge
+        hot = staged(hot.join(hot.groupBy("rep").agg(F.sum("members").alias("central")), "rep"), "minhash-hot")
+        for turn in range(PIVOT_ROUNDS):
+            found = proposals(_pivot_units(_open(hot, comp), payload, turn), PIVOTS, percent, pivots=True)
+            if not test(found.withColumn("place", F.row_number().over(best)), PIVOTS):
+                break
+    top = FIRST
+    while True:
+        found = staged(proposals(_units(_open(members, comp), payload), top, percent), "minhash-proposals")
+        found = found.withColumn("place", F.row_number().over(best)).withColumn(
+            "held", F.col("held") | (F.col("place") == top + 1))
+        held = not found.where("held").isEmpty()
+        test(found, top)
         if not held:
             return comp
         top *= GROWTH
