@@ -13,8 +13,9 @@ Equal vectors are one class, indexed once with its ``k + 1`` smallest ids: no
 other copy can be among a query's ``k`` nearest, ties going to smaller ids. So
 a vector that a third of all rows share costs one row in the search, and its
 queries are answered once. Leaves are packed into units of bounded size, large
-leaves are split over several; a unit gets its vectors and the queries that
-visit one of its leaves, and returns each query's best, which are merged.
+leaves are split over several. A unit's vectors come first in its partition,
+each sent once, and the queries that visit one of its leaves stream past them
+in batches, however many they are; each query's best per unit are merged.
 Scores are recomputed for the best on the original vectors, in double precision.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
@@ -29,7 +30,6 @@ from __future__ import annotations
 import heapq
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -247,7 +247,6 @@ def search(table: DataFrame, *, k: int = K, query_every: int = QUERY_EVERY, samp
     by_vector = found.select(F.col("rep").alias("query"), F.col("vector").alias("v"))
     asked = staged(asked.join(by_vector, F.col("vector") == F.col("v")).select("query_id", "query"), "ann-queries")
     distinct = found.join(asked.select("query").distinct(), F.col("rep") == F.col("query"), "left_semi").select("rep", "vector")
-    blocks = max(1, -(-asked.agg(F.count_distinct("query")).first()[0] // 4096))
 
     def place(batches):
         for b in batches:
@@ -273,28 +272,44 @@ def search(table: DataFrame, *, k: int = K, query_every: int = QUERY_EVERY, samp
                     pa.array([o[2] for o in out], pa.list_(pa.int32())), pa.array([o[3] for o in out], pa.int32())],
                     ["rep", "vector", "leaves", "unit"])
 
-    rows_ = indexed.mapInArrow(place, "rep long, vector array<double>, first long, leaf int, unit int").withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asks = distinct.mapInArrow(route, "rep long, vector array<double>, leaves array<int>, unit int").withColumn(
-        "part", F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int"))
-
-    def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query": pd.Series([], "int64"), "rep": pd.Series([], "int64"), "score": pd.Series([], "float64")})
-        block, reps, leaf = np.stack(left["vector"].to_list()), left["rep"].to_numpy(), left["leaf"].to_numpy()
-        first = left["first"].to_numpy()
-        kinds, col = np.unique(leaf, return_inverse=True)
-        queries, out = right["rep"].to_numpy(), []
-        step = max(16, (1 << 22) // len(block))
-        for at in range(0, len(right), step):
-            part = right.iloc[at:at + step]
-            seen = np.stack([np.isin(kinds, x) for x in part["leaves"]])
-            i, r, s = _scan(block, np.stack(part["vector"].to_list()), first, k + 1, seen[:, col])
-            out.append(pd.DataFrame({"query": queries[at:at + step][i], "rep": reps[r], "score": s}))
-        return pd.concat(out)
-
-    hits = asks.groupBy("unit", "part").cogroup(rows_.groupBy("unit", "part")).applyInPandas(
-        lambda right, left: nearest(left, right), "query long, rep long, score double")
+    rows_ = indexed.mapInArrow(place, "rep long, vector array<double>, first long, leaf int, unit int").select(
+        "unit", F.lit(0).alias("side"), "rep", "vector", "first", F.array("leaf").alias("leaves"))
+    asks = distinct.mapInArrow(route, "rep long, vector array<double>, leaves array<int>, unit int").select(
+        "unit", F.lit(1).alias("side"), "rep", "vector", F.lit(None).cast("long").alias("first"), "leaves")
+
+    def nearest(batches):
+        unit, parts, block = None, [], None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            units, side = t.column("unit").to_numpy(), t.column("side").to_numpy()
+            cuts = np.flatnonzero((np.diff(units) != 0) | (np.diff(side) != 0)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(units)]):
+                if hi == lo:
+                    continue
+                rows = t.slice(lo, hi - lo).combine_chunks()
+                if units[lo] != unit:
+                    unit, parts, block = units[lo], [], None
+                vec = _stack(rows.column("vector").combine_chunks(), size)
+                if side[lo] == 0:
+                    parts.append((vec, *(np.asarray(x) for x in (rows.column("rep"), rows.column("first"),
+                                                                 rows.column("leaves").combine_chunks().flatten()))))
+                    continue
+                if not parts:
+                    continue
+                if block is None:
+                    block = [np.concatenate(x) for x in zip(*parts)]
+                    parts = [block]
+                    kinds, col = np.unique(block[3], return_inverse=True)
+                queries, leaves = np.asarray(rows.column("rep")), rows.column("leaves").to_pylist()
+                step = max(16, (1 << 22) // len(block[0]))
+                for at in range(0, len(queries), step):
+                    seen = np.stack([np.isin(kinds, x) for x in leaves[at:at + step]])
+                    i, r, s = _scan(block[0], vec[at:at + step], block[2], k + 1, seen[:, col])
+                    yield pa.RecordBatch.from_arrays([pa.array(queries[at:at + step][i]), pa.array(block[1][r]), pa.array(s)],
+                                                     ["query", "rep", "score"])
+
+    hits = rows_.union(asks).repartition("unit").sortWithinPartitions("unit", "side").mapInArrow(
+        nearest, "query long, rep long, score double")
     # equal scores of different classes are ordered by id below; keep all that tie with the last one wanted
     best = hits.withColumn("n", F.rank().over(Window.partitionBy("query").orderBy(F.desc("score")))).where(F.col("n") <= k + 1)
     ids = found.select("rep", "ids")
