@@ -59,7 +59,7 @@ SPAN = 4
 MISS = 2.2e-7
 CELLS = 256
 BLOCK = 512
-PIVOTS, PIVOT_ROUNDS = 4, 3
+PIVOTS, PIVOT_ROUNDS = 4, 1
 FIRST, GROWTH = 1, 16
 
 
