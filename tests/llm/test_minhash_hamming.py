@@ -92,39 +92,3 @@ def test_components_of_chains_and_stars(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert all(got[i] == 1 for i in range(2, 61)) and all(got[100 + k] == 100 for k in range(1, 40)) and got[300] == 200
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
-
-
-def test_blocks_of_a_large_key_hold_every_pair_across_components_once(spark, monkeypatch):
-    """Classes outside a key's largest component meet each other and its members; members of it never meet."""
-    monkeypatch.setattr(M, "BLOCK", 8)
-    rows = [(1, 0, i, 60, 7 if i < 40 else 100 + i, 7, 20) for i in range(60)]
-    rows += [(2, 3, i, 5, i, None, 5) for i in range(5)]
-    open_ = spark.createDataFrame(rows, "key long, key_no short, rep long, members long, component long, main long, outside long")
-    payload = spark.range(60).selectExpr("id as rep", "10L as n", "binary('s') as signature", "binary('c') as cells")
-    units = M._units(open_, payload).toPandas()
-    met = {}
-    for _, u in units.groupby(["unit", "key_no"]):
-        for a in u.itertuples():
-            for b in u.itertuples():
-                if a.rep < b.rep and (a.side == 2 or a.side != b.side):
-                    pair = (a.key_no, a.rep, b.rep)
-                    met[pair] = met.get(pair, 0) + 1
-    want = {(0, a, b) for a in range(60) for b in range(max(a + 1, 40), 60)} | {(3, a, b) for a in range(5) for b in range(a + 1, 5)}
-    assert set(met) == want and set(met.values()) == {1}
-    # 40 members go to 3 blocks each, and 20 outside to 3 + 5, not all 60 to 8
-    assert len(units) == 40 * 3 + 20 * 8 + 5
-
-
-def test_pivots_leave_little_of_a_group_of_near_copies(spark, monkeypatch):
-    monkeypatch.setattr(M, "BLOCK", 32)
-    dealt = []
-    units = M._units
-
-    def counted(open_, payload):
-        dealt.append(open_.where("members > 32").agg({"outside": "max"}).first()[0] or 0)
-        return units(open_, payload)
-
-    monkeypatch.setattr(M, "_units", counted)
-    rows = group(5, 400, 3)
-    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows)
-    assert dealt[0] <= 20, dealt
