@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tripkpi.llm import minhash_hamming as M
 from tripkpi.llm.components import components
@@ -92,3 +93,21 @@ def test_components_of_chains_and_stars(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert all(got[i] == 1 for i in range(2, 61)) and all(got[100 + k] == 100 for k in range(1, 40)) and got[300] == 200
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_large_key_compares_only_what_is_outside_its_main_component(spark, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK", 16)
+    ids = spark.range(100).select(F.col("id").alias("rep"))
+    labelled = ids.select("rep", F.when(F.col("rep") < 97, 0).otherwise(F.col("rep")).alias("component"), F.lit(9).alias("n"),
+                          F.lit(b"").alias("signature"), F.lit(b"").alias("cells"))
+    members = ids.select(F.lit(5).alias("key"), F.lit(1).alias("key_no"), "rep", F.lit(100).alias("members"))
+    alone = M._units(members, labelled).collect()
+    assert len(alone) == 100 and {r.side for r in alone} == {2} and len({r.unit for r in alone}) > 1
+    main = F.struct(F.lit(97).alias("size"), F.lit(0).cast("long").alias("component"))
+    rows = M._units(members.withColumn("main", main), labelled).collect()
+    met = {}
+    for r in rows:
+        met.setdefault(r.unit, []).append(r)
+    # the three outside are one block: once by themselves, once with each of the seven blocks inside
+    assert sorted(r.rep for r in rows if r.side == 1) == list(range(97))
+    assert all({r.rep for r in unit if r.rep >= 97} == {97, 98, 99} for unit in met.values()) and len(rows) == 97 + 3 * (1 + 7)

@@ -19,13 +19,20 @@ the join would miss, with a probability of ``MISS`` at most: for 85, op1's, 40
 Keys shared by one class only are dropped after a map-side combined count.
 Inside a key, signatures are compared by distance and by an exact bound on the
 intersection (counts of the set's fingerprints in 256 cells); a pair is judged
-under its first shared key only. A key with many classes is dealt to blocks of
-at most ``BLOCK`` classes, one task unit for each pair of blocks. Not all
-pairs are emitted: each class proposes its best partners in other components
-(1 at first, then 16 times as many each round), the proposals are confirmed on
-the full sets, components are formed, and keys whose classes are all in one
-component rest. The rounds end when no proposal was held back, so no link
-between components is lost, however large the group.
+under its first shared key only. Not all pairs are emitted: each class proposes its
+best partners in other components (``FIRST`` at first, then 16 times as many
+each round), the proposals are confirmed on the full sets, components are
+formed, and keys whose classes are all in one component rest.
+
+A key of more than ``BLOCK`` classes is dealt to blocks of about that many. In
+the first round each block stays by itself, which joins most of a group of near
+copies. From the second on, the classes outside the key's largest component
+meet each other and those inside, block by block, while those inside are not
+compared again: the work on a group of m near copies of which r are still
+outside is r * m, not m * m. Classes that share a hot key and link with nothing
+stay outside, so m * m is still met by many texts that are alike but under the
+similarity. The rounds end when all blocks have met and no proposal was held
+back, so no link between components is lost, however large the group.
 
 Defined cases: text without words and null text have an empty set and link to
 nothing; fewer words than five are one shingle; equal rows are one class; a
@@ -54,7 +61,7 @@ SPAN = 4
 MISS = 2.2e-7
 CELLS = 256
 BLOCK = 512
-FIRST, GROWTH = 1, 16
+FIRST, GROWTH = 2, 16
 
 
 def symbols_for(percent: int) -> int:
@@ -242,14 +249,27 @@ def _first_key(same: np.ndarray) -> np.ndarray:
 
 
 def _units(members: DataFrame, labelled: DataFrame) -> DataFrame:
-    """Rows of the task units: a key's classes, or for large keys each pair of blocks of them."""
-    m = members.join(labelled, "rep")
-    m = m.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
-    m = m.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    """Rows of the task units: a key's classes or, for large keys, blocks of them.
+
+    Without ``main`` (a key's largest component and its size) the blocks of a large
+    key stay by themselves, dealt by another hash for each key. With it, blocks of
+    the classes outside the main component meet each other and the blocks inside;
+    those inside need no comparison among themselves.
+    """
+    large, rep = F.col("members") > BLOCK, F.col("rep")
+    if "main" in members.columns:
+        m = members.join(labelled, "rep")
+        inside = large & (F.col("component") == F.col("main.component"))
+        outer = F.when(large, F.ceil((F.col("members") - F.col("main.size")) / BLOCK)).otherwise(1)
+        inner = F.when(large, F.ceil(F.col("main.size") / BLOCK)).otherwise(0)
+        m = m.withColumn("block", F.when(inside, outer + F.pmod(F.xxhash64(rep), inner)).otherwise(F.pmod(F.xxhash64(rep), outer)))
+        m = m.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.when(inside, outer).otherwise(outer + inner) - 1)))
+    else:
+        m = members.withColumn("block", F.pmod(F.xxhash64(rep, "key"), F.ceil(F.col("members") / BLOCK)))
+        m = m.withColumn("other", F.col("block")).join(labelled, "rep")
     return m.select(
-        F.when(F.col("blocks") == 1, F.col("key")).otherwise(
-            F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))).alias("unit"),
+        F.when(large, F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))).otherwise(
+            F.col("key")).alias("unit"),
         F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"),
         "key_no", "rep", "component", "n", "signature", "cells").repartition("unit").sortWithinPartitions("unit")
 
@@ -272,18 +292,20 @@ def _link(src: DataFrame, classes: DataFrame, percent: int) -> DataFrame | None:
     shared = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     members = staged(keys.join(shared, "key"), "minhash-members")
     payload = classes.select("rep", "n", "signature", "cells")
+    # blocks of a large key meet from the second round on
+    hot = members.where(F.col("members") > BLOCK).limit(1).count() > 0
     tested = links = comp = None
+    labelled, left = payload.withColumn("component", F.col("rep")), members
     top = FIRST
     while True:
-        if comp is None:
-            labelled, left = payload.withColumn("component", F.col("rep")), members
-        else:
-            labelled = payload.join(comp, F.col("rep") == F.col("id"), "left").withColumn(
-                "component", F.coalesce("component", "rep")).drop("id")
-            label = members.join(labelled.select("rep", "component"), "rep")
-            open_ = label.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(
-                "lo < hi").select("key")
-            left = members.join(open_, "key", "left_semi")
+        if tested is not None:
+            if comp is not None:
+                labelled = payload.join(comp, F.col("rep") == F.col("id"), "left").withColumn(
+                    "component", F.coalesce("component", "rep")).drop("id")
+            sizes = members.join(labelled.select("rep", "component"), "rep").groupBy("key", "component").agg(
+                F.count("*").alias("size"))
+            open_ = sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("main"), F.count("*").alias("parts"))
+            left = members.join(open_.where("parts > 1").drop("parts"), "key")
         found = staged(proposals(_units(left, labelled), top, percent), "minhash-proposals")
         best = Window.partitionBy("a").orderBy(F.desc("bound"), "b")
         found = found.withColumn("place", F.row_number().over(best)).withColumn(
@@ -299,8 +321,9 @@ def _link(src: DataFrame, classes: DataFrame, percent: int) -> DataFrame | None:
         links = new if links is None else links.union(new)
         if grown:
             comp = components(links)
-        if not held:
+        if not held and not hot:
             return comp
+        hot = False
         top *= GROWTH
 
 
