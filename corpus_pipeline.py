@@ -26,8 +26,9 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Rows equal in id and text count as one document (of rows that differ in other
     columns, the first by these as JSON), other texts under the same id as
-    documents of their own. Documents without words are no near duplicates
-    of anything, and those without an id aren't judged: they stay.
+    documents of their own (of those in one group that with the smallest sha256
+    stays). Documents without words are no near duplicates of anything, and
+    those without an id aren't judged: they stay.
     """
     named = docs.where("doc_id is not null")
     rows, ids = named.agg(F.count("*"), F.count_distinct("doc_id")).first()
@@ -39,12 +40,13 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         # of rows equal in id and text the one whose other columns come first as JSON, whatever the partitioning
         once = named.groupBy("doc_id", "text").agg(F.min_by(others, F.to_json(others)).alias("near_rest")).select(
             *[F.col(f"near_rest.`{c}`") if c not in ("doc_id", "text") else F.col(c) for c in docs.columns])
-        once = once.withColumn("near_uid", F.xxhash64("doc_id", "text"))
+        # numbers instead of a hash, which two documents could share; written once, so that all reads see the same ones
+        once = staged(once.withColumn("near_uid", F.monotonically_increasing_id()), "pipeline-near-uid")
         found = minhash_hamming.near_duplicates(once, id_col="near_uid", percent=NEAR_PERCENT).select(
             F.col("doc_id").alias("kept_uid"), "component_id")
-        owner = once.select("near_uid", F.col("doc_id").alias("owner_id"))
+        owner = once.select("near_uid", F.struct("doc_id", F.sha2("text", 256)).alias("owner"))
         kept = found.join(owner, found["kept_uid"] == owner["near_uid"]).groupBy("component_id").agg(
-            F.min(F.struct("owner_id", "kept_uid")).alias("r")).select("r.kept_uid")
+            F.min_by("kept_uid", "owner").alias("kept_uid")).select("kept_uid")
         stay = once.join(kept, once["near_uid"] == kept["kept_uid"], "left_semi").drop("near_uid")
     return stay.unionByName(docs.where("doc_id is null"))
 
