@@ -16,14 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripkpi import schemas as S
-from tripkpi.operators.joins import join_station_coordinates
+from tripkpi.operators import cleaning
 from tripkpi.session import drop_path, scratch_path
 from tripkpi.sources import driver_tables as D
 from tripkpi.sources.stations import station_master
 
 NEW_FOLDER_GLOB = "period=" + "[0-9]" * 6
 OLD_FOLDER_GLOB = "period=" + "[0-9]" * 4
-CSV_FILE_GLOB = "*.csv"
+CSV_FILE_GLOB = "*.csv*"
 # Months written with the columns in another order (files of one layout that
 # disagree on column order must still be read by name).
 REORDERED_MONTHS = [11, 12]
@@ -37,13 +37,14 @@ def _key(spark: SparkSession, sf_dir: str, kind: str) -> tuple:
 
 def _csv_writer(df: DataFrame, mode: str = "overwrite"):
     return (df.write.mode(mode).option("header", True).option("quote", '"')
-            .option("escape", "\\"))
+            .option("escape", "\\").option("compression", "gzip"))
 
 
-def _per_folder(df: DataFrame, *keys: str) -> DataFrame:
-    """Cluster rows by output folder, like the raw layout's one file per folder
-    (AQE still splits a folder too big for one task)."""
-    return df.hint("rebalance", *keys)
+def _per_folder(keys: DataFrame, months: int = 1) -> DataFrame:
+    """Cluster the keys of trips by output folder, which holds so many months of a year, like the raw layout's one
+    file per folder (AQE still splits a folder too big for one task). The texts are made after this shuffle."""
+    start = D.start_ts()
+    return keys.withColumn("_folder", (F.year(start) * 12 + F.month(start) - 1 - (F.month(start) - 1) % months)).hint("rebalance", "_folder")
 
 
 def _ts(col: str, fmt: str) -> F.Column:
@@ -52,10 +53,12 @@ def _ts(col: str, fmt: str) -> F.Column:
 
 def new_layout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips with station coordinates in the new layout's text form + ``period``."""
-    raw = D.trips_raw(spark, sf_dir)
-    geo = join_station_coordinates(raw, station_master(D.station_raw(spark, sf_dir)))
+    return _new_layout_text(D.located_keys(spark, sf_dir, station_master(D.station_raw(spark, sf_dir))))
+
+
+def _new_layout_text(keys: DataFrame) -> DataFrame:
     lay = S.NEW_LAYOUT
-    return geo.select(
+    return D.trips_of(keys, cleaning.COORDINATES).select(
         F.col("dur_s").cast("string").alias(lay.duration),
         _ts("start_ts", "yyyy-MM-dd HH:mm:ss").alias(lay.start),
         _ts("end_ts", "yyyy-MM-dd HH:mm:ss").alias(lay.end),
@@ -77,9 +80,12 @@ def new_layout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def old_layout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips in the old layout's text form (minute timestamps, ms durations) + ``period``."""
-    raw = D.trips_raw(spark, sf_dir)
+    return _old_layout_text(D.trip_keys(spark, sf_dir))
+
+
+def _old_layout_text(keys: DataFrame) -> DataFrame:
     lay = S.OLD_LAYOUT
-    return raw.select(
+    return D.trips_of(keys).select(
         F.lit(1).alias("Seq"),
         (F.col("dur_s") * 1000).cast("string").alias(lay.duration),
         _ts("start_ts", S.OLD_LAYOUT_TS_FORMAT).alias(lay.start),
@@ -102,13 +108,13 @@ def write_new_layout(spark: SparkSession, sf_dir: str) -> str:
     if k in _cache:
         return _cache[k]
     base = scratch_path(spark, "raw-new")
-    rows = new_layout_rows(spark, sf_dir)
-    month = F.substring("period", 5, 2).cast("int")
-    regular = rows.filter(~month.isin(REORDERED_MONTHS))
-    reordered = rows.filter(month.isin(REORDERED_MONTHS))
+    keys = D.located_keys(spark, sf_dir, station_master(D.station_raw(spark, sf_dir)))
+    is_reordered = F.month(D.start_ts()).isin(REORDERED_MONTHS)
+    regular = _new_layout_text(_per_folder(keys.where(~is_reordered)))
+    reordered = _new_layout_text(_per_folder(keys.where(is_reordered)))
     reordered = reordered.select(*reversed(reordered.columns[:-1]), "period")
-    _csv_writer(_per_folder(regular, "period")).partitionBy("period").csv(base)
-    _csv_writer(_per_folder(reordered, "period"), "append").partitionBy("period").csv(base)
+    _csv_writer(regular).partitionBy("period").csv(base)
+    _csv_writer(reordered, "append").partitionBy("period").csv(base)
     _cache[k] = base
     return base
 
@@ -119,8 +125,8 @@ def write_old_layout(spark: SparkSession, sf_dir: str) -> str:
     if k in _cache:
         return _cache[k]
     base = scratch_path(spark, "raw-old")
-    rows = old_layout_rows(spark, sf_dir).drop("_month")
-    _csv_writer(_per_folder(rows, "period")).partitionBy("period").csv(base)
+    rows = _old_layout_text(_per_folder(D.trip_keys(spark, sf_dir), 12)).drop("_month")
+    _csv_writer(rows).partitionBy("period").csv(base)
     write_stations(spark, sf_dir, f"{base}/stations")
     _cache[k] = base
     return base
@@ -132,11 +138,11 @@ def write_split_years(spark: SparkSession, sf_dir: str) -> str:
     if k in _cache:
         return _cache[k]
     base = scratch_path(spark, "landing-split")
-    rows = old_layout_rows(spark, sf_dir)
+    rows = _old_layout_text(_per_folder(D.trip_keys(spark, sf_dir), 6))
     rows = (rows.withColumn("year", F.col("period"))
                 .withColumn("part", F.when(F.col("_month") <= 6, 1).otherwise(2))
                 .drop("period", "_month"))
-    _csv_writer(_per_folder(rows, "year", "part")).partitionBy("year", "part").csv(base)
+    _csv_writer(rows).partitionBy("year", "part").csv(base)
     _cache[k] = base
     return base
 
@@ -180,10 +186,11 @@ def write_changing_layout(spark: SparkSession, sf_dir: str) -> tuple[str, Callab
     """A new-layout folder without the last month, and a function that changes it: the first month keeps only the
     trips of each hour's first half, the second goes, the last comes."""
     base = scratch_path(spark, "raw-changing")
-    rows = new_layout_rows(spark, sf_dir)
+    keys = D.located_keys(spark, sf_dir, station_master(D.station_raw(spark, sf_dir)))
+    rows = _new_layout_text(keys)
     periods = sorted(r.period for r in rows.select("period").distinct().collect())
     first, second, last = periods[0], periods[1], periods[-1]
-    _csv_writer(_per_folder(rows.where(F.col("period") != last), "period")).partitionBy("period").csv(base)
+    _csv_writer(_new_layout_text(_per_folder(keys.where(F.date_format(D.start_ts(), "yyyyMM") != last)))).partitionBy("period").csv(base)
 
     def change() -> None:
         def month(period: str, df: DataFrame) -> None:
