@@ -27,6 +27,7 @@ import csv
 import io
 import re
 from functools import reduce
+from itertools import islice
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -40,6 +41,7 @@ from tripkpi.operators import cleaning
 from tripkpi.session import scratch_path
 
 FIRST_LINES = 1000           # lines of a file that the header index takes
+DRAINED = 200                # batches of so many lines that it reads on and drops, if the file ends there
 WHOLE_FILE = 1 << 50         # no file is larger: none is split
 CSV_OPTIONS = {"header": "true", "inferSchema": "false", "quote": '"', "escape": "\\"}
 
@@ -57,36 +59,44 @@ def _parse_header(line: str) -> tuple[str, ...]:
     return tuple(next(csv.reader(io.StringIO(line.lstrip("\ufeff")), quotechar='"', escapechar="\\")))
 
 
+def _first_lines(names: tuple[str, ...]):
+    """What `_header_index` keeps of a file's lines, as a function of its batches."""
+    def first_lines(batches):
+        for b in batches:
+            kept = [line for line in b.column(1).to_pylist() if line and line.strip()]
+            if not kept:
+                continue
+            own, path = kept[0], b.column(0)[0].as_py()
+            heads = {line for line in kept if all(n in line for n in names)}
+            yield pa.RecordBatch.from_pydict({"source_file": [path], "header": [own if own in heads else None],
+                                              "others": [len(heads - {own}) > 0]})
+            for _ in islice(batches, DRAINED):
+                pass
+            return
+
+    return first_lines
+
+
 def _header_index(spark: SparkSession, glob: str, layout: S.Layout, pattern: str) -> DataFrame:
     """``source_file, header, others`` per file with a period in its path: its first line that is not blank, and
     whether another header line than that follows among the first lines.
 
     Read in a session of its own, in which no file is split or packed with others, so that each task holds one
-    file and ends after one small Arrow batch of its lines.
+    file and ends after one small Arrow batch of its lines. A Python worker that leaves input unread is not used
+    again, and the next task pays for a new one: so the rest of a small file is read and dropped.
     """
     probe = spark.newSession()
     for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
         probe.conf.set(key, str(WHOLE_FILE))
     probe.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(FIRST_LINES))
-    names = (layout.duration, layout.start, layout.end)
     try:
         lines = probe.read.text(glob).select(F.col("_metadata.file_path").alias("source_file"), "value")
     except AnalysisException as e:
         raise ValueError(f"no {layout.name}-layout CSV files match {glob}") from e
 
-    def first_lines(batches):
-        for b in batches:
-            kept = [line for line in b.column(1).to_pylist() if line and line.strip()]
-            if not kept:
-                continue
-            own, path = kept[0], b.column(0)[0].as_py()
-            heads = {line for line in kept if all(n in line for n in names)}
-            yield pa.RecordBatch.from_pydict({"source_file": [path], "header": [own if own in heads else None],
-                                              "others": [len(heads - {own}) > 0]})
-            return
-
-    found = lines.where(F.regexp_extract("source_file", pattern, 1) != "").mapInArrow(
-        first_lines, "source_file string, header string, others boolean")
+    # the period is looked for once a file, not once a line
+    found = lines.mapInArrow(_first_lines((layout.duration, layout.start, layout.end)), "source_file string, header string, others boolean").where(
+        F.regexp_extract("source_file", pattern, 1) != "")
     path = scratch_path(spark, "header-index")
     found.write.parquet(path)                            # one row per file
     return spark.read.schema(found.schema).parquet(path)
