@@ -23,6 +23,16 @@ from tripkpi.operators.quality import validate_trips
 COORDINATES = ["start_latitude", "start_longitude", "end_latitude", "end_longitude"]
 
 
+def computed_once(df: DataFrame, *names: str) -> DataFrame:
+    """The same rows, with the columns ``names`` (moved to the end) computed before any filter on them.
+
+    Spark moves a filter below the projection that computes its columns, and there it evaluates their expressions
+    again in each conjunct: distance and both timestamps three times a row and more, in one method too large for the
+    JIT compiler. A filter on what a generator has made stays above it.
+    """
+    return df.select(*[c for c in df.columns if c not in names], F.inline(F.array(F.struct(*names))))
+
+
 def conform_layout(df: DataFrame, layout: S.Layout, extra: list[str] | None = None) -> DataFrame:
     """Rename one layout's header names to the conformed raw names (P12, input side)."""
     cols = [
@@ -102,10 +112,11 @@ def type_trips(raw: DataFrame, divisor: float, ts_format: str | None,
     if prefilter_station_ids:
         raw = raw.filter(F.col("start_station_id").isNotNull()
                          & F.col("end_station_id").isNotNull())
-    df = add_temporal(raw, divisor, ts_format, period_from_folder)
+    df = computed_once(add_temporal(raw, divisor, ts_format, period_from_folder), "trip_start_ts", "trip_end_ts")
     if stations is not None:
         df = join_station_coordinates(df, stations, dedupe=dedupe)
-    return to_clean_contract(df, keep_birth_year, passthrough)
+    typed = to_clean_contract(df, keep_birth_year, passthrough)
+    return computed_once(typed, "trip_distance_m").select(*typed.columns)
 
 
 def clean_trips(raw: DataFrame, divisor: float, ts_format: str | None,
