@@ -9,10 +9,13 @@ import pyarrow as pa
 from tripkpi import schemas as S
 from tripkpi.operators import cleaning
 from tripkpi.plans import fixtures as X
+from tripkpi.plans import jobs
 from tripkpi.plans import layouts as L
 from tripkpi.plans.incremental import RawSource
+from tripkpi.sinks import parquet as P
 from tripkpi.sources import csv_layouts as CSV
 from tripkpi.sources import driver_tables as D
+from tripkpi.sources import stations as ST
 from tripkpi.sources.stations import station_master
 
 
@@ -102,3 +105,69 @@ def test_folder_of_a_trip_is_its_files_folder(spark, tmp_path):
     df = RawSource(S.NEW_LAYOUT, str(tmp_path), "period=" + "[0-9]" * 6, "*.csv").clean(spark, ["period=201601"])
     assert [(r.folder, r.period) for r in df.collect()] == [("period=201601", "201601")]
     assert formatted(df).count("([^/]+)/[^/]+$") == 0
+
+
+def old_base(base):
+    os.makedirs(f"{base}/2015")
+    with open(f"{base}/2015/data.csv", "w") as f:
+        f.write("Seq,Duration,Start date,Start station number,Start station name,End date,End station number,End station name,Bike number,Member type,Gender\n"
+                "1,600000,12/31/2015 23:00,1,A,12/31/2015 23:10,2,B,B9,Registered,0\n2,600000,7/1/2015 10:00,1,A,7/1/2015 10:10,9,A,B9,Registered,1\n")
+    with open(f"{base}/{S.STATIONS_FILE_NAME}", "w") as f:
+        f.write("Station ID,Station,Latitude,Longitude\n1,A,42.35,-71.06\n2,B,42.36,-71.09\n2,B,42.37,-71.09\n")
+
+
+def test_few_stations_are_broadcast_whatever_the_sessions_limit(spark, tmp_path, monkeypatch):
+    old_base(str(tmp_path))
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def typed():
+            df = L.typed_old_layout(CSV.scan_old_layout(spark, str(tmp_path)), ST.read_station_master(spark, f"{tmp_path}/{S.STATIONS_FILE_NAME}"))
+            return formatted(df).split("\n\n")[0], sorted(map(str, df.collect()))
+
+        plan, rows = typed()
+        assert plan.count("BroadcastHashJoin LeftOuter") == 2 and "SortMergeJoin" not in plan
+        monkeypatch.setattr(ST, "BROADCAST_STATIONS", 2)             # three rows are many now
+        sorted_plan, sorted_rows = typed()
+        assert "Broadcast" not in sorted_plan and sorted_rows == rows and len(rows) == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_new_layout_is_written_without_a_shuffle(spark, sf_small, tmp_path, monkeypatch):
+    for month in ("201601", "201602"):
+        new_file(f"{tmp_path}/raw/{month}", [trip(), trip(dur="59")])
+    given = []
+
+    def written(df, path, **options):
+        given.append(options)
+        df = df.localCheckpoint()
+        spark.sparkContext.setJobGroup(path, "")
+        try:
+            P.write_clean_trips(df, path, **options)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        tracker = spark.sparkContext.statusTracker()
+        assert sum(len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup(path)) == 1
+
+    monkeypatch.setattr(jobs, "write_clean_trips", written)
+    counts = jobs.clean_new_job(spark, f"{tmp_path}/raw", str(tmp_path / "clean"))
+    assert given == [{"clustered": True}] and (counts["n_read"], counts["n_valid"]) == (4, 2)
+    files = [f"{d}/{f}" for d, _, names in os.walk(tmp_path / "clean") for f in names if f.endswith(".parquet")]
+    assert sorted(f.split("/")[-2] for f in files) == ["month=1", "month=2"] and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_trip_tables_are_joined_once_for_both_layouts(spark, sf_small):
+    X.write_new_layout(spark, sf_small)
+    keys = X._staged_keys(spark, sf_small)
+    assert "Join" not in formatted(keys) and keys.columns == D.trip_keys(spark, sf_small).columns
+    assert sorted(map(str, keys.collect())) == sorted(map(str, D.trip_keys(spark, sf_small).collect()))
+
+
+def test_folders_are_the_same_for_few_and_many_stations(spark, sf_small):
+    keys, stations = D.trip_keys(spark, sf_small), station_master(D.station_raw(spark, sf_small))
+    few, many = (X._new_layout_text(X._in_order(X._located_per_folder(keys, stations, f), X._month_number())) for f in (True, False))
+    plain = X.new_layout_rows(spark, sf_small)
+    assert few.columns == plain.columns
+    want = sorted(map(str, plain.withColumn("period", plain.period.cast("int")).collect()))
+    assert sorted(map(str, few.collect())) == want == sorted(map(str, many.collect()))

@@ -19,7 +19,7 @@ from tripkpi import schemas as S
 from tripkpi.operators import cleaning
 from tripkpi.session import drop_path, scratch_path
 from tripkpi.sources import driver_tables as D
-from tripkpi.sources.stations import station_master
+from tripkpi.sources.stations import few_stations, station_master
 
 NEW_FOLDER_GLOB = "period=" + "[0-9]" * 6
 OLD_FOLDER_GLOB = "period=" + "[0-9]" * 4
@@ -47,6 +47,34 @@ def _per_folder(keys: DataFrame, months: int = 1) -> DataFrame:
     return keys.withColumn("_folder", (F.year(start) * 12 + F.month(start) - 1 - (F.month(start) - 1) % months)).hint("rebalance", "_folder")
 
 
+def _staged_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys of trips, joined and written once for all the passes that make raw files of them."""
+    k = _key(spark, sf_dir, "keys")
+    keys = D.trip_keys(spark, sf_dir)
+    if k not in _cache:
+        path = scratch_path(spark, "trip-keys")
+        keys.write.option("compression", "zstd").parquet(path)
+        _cache[k] = path
+    return spark.read.schema(keys.schema).parquet(_cache[k])
+
+
+def _located_per_folder(keys: DataFrame, stations: DataFrame, few: bool) -> DataFrame:
+    """The keys of trips with coordinates, clustered by folder: broadcast stations leave the clusters as they are."""
+    if few:
+        return D.locate(_per_folder(keys), F.broadcast(stations))
+    return _per_folder(D.locate(keys, stations))
+
+
+def _in_order(keys: DataFrame, period: F.Column) -> DataFrame:
+    """Sorted by the folder's ``period`` (a number) and start, as raw files are. Writing folders needs their rows in
+    this order and would sort the texts, which are many times larger than the keys."""
+    return keys.withColumn("period", period).sortWithinPartitions("period", D.start_ts())
+
+
+def _month_number() -> F.Column:
+    return F.year(D.start_ts()) * 100 + F.month(D.start_ts())
+
+
 def _ts(col: str, fmt: str) -> F.Column:
     return F.date_format(F.col(col), fmt)
 
@@ -56,9 +84,15 @@ def new_layout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _new_layout_text(D.located_keys(spark, sf_dir, station_master(D.station_raw(spark, sf_dir))))
 
 
+def _period(keys: DataFrame, fmt: str) -> tuple[list[str], F.Column]:
+    """The period of keys that have one, and what to keep for it; else it comes from the start."""
+    return (["period"], F.col("period")) if "period" in keys.columns else ([], _ts("start_ts", fmt).alias("period"))
+
+
 def _new_layout_text(keys: DataFrame) -> DataFrame:
     lay = S.NEW_LAYOUT
-    return D.trips_of(keys, cleaning.COORDINATES).select(
+    kept, period = _period(keys, "yyyyMM")
+    return D.trips_of(keys, cleaning.COORDINATES + kept).select(
         F.col("dur_s").cast("string").alias(lay.duration),
         _ts("start_ts", "yyyy-MM-dd HH:mm:ss").alias(lay.start),
         _ts("end_ts", "yyyy-MM-dd HH:mm:ss").alias(lay.end),
@@ -74,7 +108,7 @@ def _new_layout_text(keys: DataFrame) -> DataFrame:
         F.lit("Subscriber").alias("usertype"),
         F.col("birth_year_raw").alias(lay.birth_year),
         F.col("gender_raw").alias(lay.gender),
-        _ts("start_ts", "yyyyMM").alias("period"),
+        period,
     )
 
 
@@ -85,7 +119,8 @@ def old_layout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _old_layout_text(keys: DataFrame) -> DataFrame:
     lay = S.OLD_LAYOUT
-    return D.trips_of(keys).select(
+    kept, period = _period(keys, "yyyy")
+    return D.trips_of(keys, kept).select(
         F.lit(1).alias("Seq"),
         (F.col("dur_s") * 1000).cast("string").alias(lay.duration),
         _ts("start_ts", S.OLD_LAYOUT_TS_FORMAT).alias(lay.start),
@@ -97,7 +132,7 @@ def _old_layout_text(keys: DataFrame) -> DataFrame:
         F.col("bike_id").alias(lay.bike),
         F.lit("Registered").alias("Member type"),
         F.col("gender_raw").alias(lay.gender),
-        _ts("start_ts", "yyyy").alias("period"),
+        period,
         F.month("start_ts").alias("_month"),
     )
 
@@ -108,10 +143,12 @@ def write_new_layout(spark: SparkSession, sf_dir: str) -> str:
     if k in _cache:
         return _cache[k]
     base = scratch_path(spark, "raw-new")
-    keys = D.located_keys(spark, sf_dir, station_master(D.station_raw(spark, sf_dir)))
+    keys = _staged_keys(spark, sf_dir)
+    stations = station_master(D.station_raw(spark, sf_dir))
+    few = few_stations(stations)
     is_reordered = F.month(D.start_ts()).isin(REORDERED_MONTHS)
-    regular = _new_layout_text(_per_folder(keys.where(~is_reordered)))
-    reordered = _new_layout_text(_per_folder(keys.where(is_reordered)))
+    regular, reordered = (_new_layout_text(_in_order(_located_per_folder(keys.where(some), stations, few), _month_number()))
+                          for some in (~is_reordered, is_reordered))
     reordered = reordered.select(*reversed(reordered.columns[:-1]), "period")
     _csv_writer(regular).partitionBy("period").csv(base)
     _csv_writer(reordered, "append").partitionBy("period").csv(base)
@@ -125,7 +162,8 @@ def write_old_layout(spark: SparkSession, sf_dir: str) -> str:
     if k in _cache:
         return _cache[k]
     base = scratch_path(spark, "raw-old")
-    rows = _old_layout_text(_per_folder(D.trip_keys(spark, sf_dir), 12)).drop("_month")
+    keys = _staged_keys(spark, sf_dir) if _key(spark, sf_dir, "keys") in _cache else D.trip_keys(spark, sf_dir)
+    rows = _old_layout_text(_in_order(_per_folder(keys, 12), F.year(D.start_ts()))).drop("_month")
     _csv_writer(rows).partitionBy("period").csv(base)
     write_stations(spark, sf_dir, f"{base}/stations")
     _cache[k] = base

@@ -41,7 +41,7 @@ from tripkpi.session import scratch
 from tripkpi.sinks.parquet import write_clean_trips, write_kpi_report
 from tripkpi.sources import csv_layouts
 from tripkpi.sources.parquet import read_clean_trips
-from tripkpi.sources.stations import read_station_csv, read_station_master, station_master
+from tripkpi.sources.stations import broadcast_if_few, read_station_csv, read_station_master, station_master
 
 HEADER_MODES = ("discover", "known")
 
@@ -81,7 +81,9 @@ def clean_new_job(spark: SparkSession, base: str, output: str, headers: str = "d
     """New-layout CSV folders -> partitioned clean table; returns the counts (see `_counted_write`).
 
     ``files`` overrides the folder and file globs; ``file_counts_path`` gets raw and valid rows of each file.
+    A file's folder names its trips' month, so the trips are written as they are read, without a shuffle.
     """
+    write_options = {"clustered": True} | write_options
     raw = csv_layouts.scan_new_layout(spark, base, headers_known=_known(headers), **(files or {}))
     if not file_counts_path:
         return _counted_write(raw, layouts.typed_new_layout, output, **write_options)
@@ -142,7 +144,7 @@ def build_all(spark: SparkSession, new_base: str, old_base: str, clean_path: str
 def _build_clean(spark, new_base, old_base, clean_path, stations_path, quality_path, headers, file_counts_path,
                  new_files, old_files, path) -> None:
     stations_raw = read_station_csv(spark, stations_path or f"{old_base.rstrip('/')}/{S.STATIONS_FILE_NAME}")
-    stations = station_master(stations_raw)
+    stations = broadcast_if_few(station_master(stations_raw))
     known = _known(headers)
     raw_new = csv_layouts.scan_new_layout(spark, new_base, headers_known=known, **(new_files or {}))
     raw_old = csv_layouts.scan_old_layout(spark, old_base, headers_known=known, **(old_files or {}))

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from tripkpi import schemas as S
 
 
-def write_clean_trips(df: DataFrame, path: str, dynamic: bool = True, padded_months: bool = False,
+def write_clean_trips(df: DataFrame, path: str, dynamic: bool = True, padded_months: bool = False, clustered: bool = False,
                       sort_by: Sequence[str] = (), bloom: Mapping[str, int] | None = None,
                       row_group_bytes: int | None = None) -> None:
     """K1: Parquet partitioned by year/month, replacing only the partitions written.
@@ -23,6 +23,9 @@ def write_clean_trips(df: DataFrame, path: str, dynamic: bool = True, padded_mon
     single task). Dynamic partition overwrite is a per-write option, so a
     session default elsewhere can't turn this into a full-table overwrite.
 
+    ``clustered``: each input file already holds one month, so the rows are not
+    shuffled; a month gets at most as many files as it has input files or splits.
+
     ``padded_months`` writes ``month=01`` instead of ``month=1``, for readers
     that go by path; a table should keep to one form.
 
@@ -35,10 +38,12 @@ def write_clean_trips(df: DataFrame, path: str, dynamic: bool = True, padded_mon
     out = df.select(*S.CLEAN_TRIP_COLUMNS)
     if padded_months:
         out = out.withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0"))
-    out = out.hint("rebalance", *S.PARTITION_COLUMNS)
+    if not clustered:
+        out = out.hint("rebalance", *S.PARTITION_COLUMNS)
     if sort_by:
         out = out.sortWithinPartitions(*S.PARTITION_COLUMNS, *sort_by)
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+    writer = (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+              .option("compression", "zstd"))
     for column, distinct in (bloom or {}).items():
         writer = (writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
                   .option(f"parquet.bloom.filter.expected.ndv#{column}", str(distinct)))

@@ -113,7 +113,11 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def located_keys(spark: SparkSession, sf_dir: str, stations: DataFrame, named_only: bool = False) -> DataFrame:
     """`trip_keys` with the coordinates of both stations; ``named_only`` leaves out trips without a station id."""
-    keys = trip_keys(spark, sf_dir).withColumns({"start_station_id": _start_station_id(), "end_station_id": _end_station_id()})
+    return locate(trip_keys(spark, sf_dir), stations, named_only)
+
+
+def locate(keys: DataFrame, stations: DataFrame, named_only: bool = False) -> DataFrame:
+    keys = keys.withColumns({"start_station_id": _start_station_id(), "end_station_id": _end_station_id()})
     if named_only:
         keys = keys.where(F.col("start_station_id").isNotNull() & F.col("end_station_id").isNotNull())
     return join_station_coordinates(keys, stations).drop("start_station_id", "end_station_id")

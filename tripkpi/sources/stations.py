@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tripkpi import schemas as S
 from tripkpi.operators.quality import valid_stations
 
+# Stations that are broadcast to the trips, whatever the session's size limit for broadcasts: some 100 bytes each on
+# every executor. A larger master is joined by shuffling the trips.
+BROADCAST_STATIONS = 500_000
+
 
 def read_station_csv(spark: SparkSession, path: str) -> DataFrame:
     """Station CSV (header row) -> raw ``station_id, latitude, longitude``.
@@ -34,5 +38,15 @@ def station_master(raw_stations: DataFrame) -> DataFrame:
     return valid_stations(raw_stations)
 
 
+def few_stations(stations: DataFrame) -> bool:
+    """Whether the stations may be broadcast; one job that counts them."""
+    return stations.count() <= BROADCAST_STATIONS
+
+
+def broadcast_if_few(stations: DataFrame) -> DataFrame:
+    """The same stations, marked for broadcast if there are few of them: else both station joins shuffle whole trips."""
+    return F.broadcast(stations) if few_stations(stations) else stations
+
+
 def read_station_master(spark: SparkSession, path: str) -> DataFrame:
-    return station_master(read_station_csv(spark, path))
+    return broadcast_if_few(station_master(read_station_csv(spark, path)))
