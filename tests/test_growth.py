@@ -3,10 +3,13 @@
 import contextlib
 import io
 import os
+import time
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tripkpi import schemas as S
+from tripkpi import session
 from tripkpi.operators import cleaning
 from tripkpi.plans import fixtures as X
 from tripkpi.plans import jobs
@@ -15,6 +18,7 @@ from tripkpi.plans.incremental import RawSource
 from tripkpi.sinks import parquet as P
 from tripkpi.sources import csv_layouts as CSV
 from tripkpi.sources import driver_tables as D
+from tripkpi.sources import parquet as PQ
 from tripkpi.sources import stations as ST
 from tripkpi.sources.stations import station_master
 
@@ -157,6 +161,94 @@ def test_new_layout_is_written_without_a_shuffle(spark, sf_small, tmp_path, monk
     assert sorted(f.split("/")[-2] for f in files) == ["month=1", "month=2"] and all(f.endswith(".zstd.parquet") for f in files)
 
 
+def both_layouts(base):
+    for month in ("201601", "201602"):
+        new_file(f"{base}/new/{month}", [trip(start=f"2016-{month[4:]}-01 08:00:00", end=f"2016-{month[4:]}-01 08:10:00"), trip(dur="59")])
+    old_base(f"{base}/old")
+    return f"{base}/new", f"{base}/old"
+
+
+def test_build_all_stages_typed_rows_only_for_reports(spark, tmp_path, monkeypatch):
+    new, old = both_layouts(str(tmp_path))
+    staged, keep = [], jobs._staged
+    monkeypatch.setattr(jobs, "_staged", lambda df, path: staged.append(path) or keep(df, path))
+
+    def built(name, **reports):
+        jobs.build_all(spark, new, old, f"{tmp_path}/{name}/clean", f"{tmp_path}/{name}/kpi", **reports)
+        return sorted(map(str, spark.read.parquet(f"{tmp_path}/{name}/clean").collect()))
+
+    rows = built("alone")
+    assert staged == [] and len(rows) == 4                # two of the new layout, one old trip doubled by its end station
+    assert built("filed", file_counts_path=f"{tmp_path}/files") == rows and len(staged) == 2
+    assert built("checked", quality_path=f"{tmp_path}/quality") == rows and len(staged) == 4
+
+
+def test_build_all_shuffles_the_old_layout_alone(spark, tmp_path, monkeypatch):
+    new, old = both_layouts(str(tmp_path))
+    given = []
+    monkeypatch.setattr(jobs, "write_clean_trips", lambda df, path, **options: given.append((formatted(df), options)) or P.write_clean_trips(df, path, **options))
+    jobs.build_all(spark, new, old, f"{tmp_path}/clean", f"{tmp_path}/kpi")
+    (text, options), = given
+    assert options == {"clustered": True} and text.count("Arguments: hashpartitioning") == 1
+    tree = text.split("\n\n")[0]
+    above, below = tree.split(" Exchange (", 1)
+    assert above.count("Scan csv") == 1 and below.count("Scan csv") >= 1 and "Union" in above
+    files = [f"{d}/{f}" for d, _, names in os.walk(tmp_path / "clean") for f in names if f.endswith(".parquet")]
+    assert sorted("/".join(f.split("/")[-3:-1]) for f in files) == ["year=2015/month=12", "year=2016/month=1", "year=2016/month=2"]
+
+
+def shuffle_files(spark):
+    places = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for p in places for _, _, names in os.walk(p.getPath()) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+
+
+def settled(spark, before, seconds=20):
+    """New shuffle files; they are deleted in the background, so this waits for that."""
+    until = time.time() + seconds
+    while (new := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    return new
+
+
+def test_shuffle_files_go_with_their_job(spark, tmp_path):
+    before, set_to = shuffle_files(spark), spark.conf.get(session.SHUFFLE_CLEANUP, None)
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("s"))
+    df.write.parquet(f"{tmp_path}/kept")
+    kept = shuffle_files(spark)
+    assert kept - before
+    with session.shuffles_deleted(spark):
+        df.write.parquet(f"{tmp_path}/deleted")
+        assert not settled(spark, kept)
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, None) == set_to
+    want = sorted(df.collect())
+    assert all(sorted(spark.read.parquet(f"{tmp_path}/{n}").collect()) == want for n in ("kept", "deleted"))
+
+
+def test_build_all_leaves_no_shuffle_files(spark, tmp_path, monkeypatch):
+    new, old = both_layouts(str(tmp_path))
+    monkeypatch.setattr(jobs, "read_clean_trips", lambda spark, path: PQ.read_clean_trips(spark, path, validate=False))  # its check shuffles a row
+    before = shuffle_files(spark)
+    jobs.build_all(spark, new, old, f"{tmp_path}/clean", f"{tmp_path}/kpi")
+    left = settled(spark, before)
+    assert not left, sorted(left)
+
+
+def test_raw_files_come_from_keys_without_a_shuffle(spark, sf_small):
+    X.write_new_layout(spark, sf_small)
+    keys, stations = X._staged_keys(spark, sf_small), station_master(D.station_raw(spark, sf_small))
+    rows = X._new_layout_text(X._in_order(X._located_per_folder(keys, stations, True), X._month_number()))
+    assert formatted(rows).split("\n\n")[0].count(" Exchange (") == 0
+
+
+def test_staged_keys_go_when_both_layouts_are_there(spark, sf_small, monkeypatch):
+    monkeypatch.setattr(X, "_cache", {})
+    X.write_new_layout(spark, sf_small)
+    keys = X._cache[X._key(spark, sf_small, "keys")].removeprefix("file:")
+    assert os.listdir(keys)
+    X.write_old_layout(spark, sf_small)
+    assert not os.path.exists(keys) and X._key(spark, sf_small, "keys") not in X._cache
+
+
 def test_trip_tables_are_joined_once_for_both_layouts(spark, sf_small):
     X.write_new_layout(spark, sf_small)
     keys = X._staged_keys(spark, sf_small)

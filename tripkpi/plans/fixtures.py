@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tripkpi import schemas as S
 from tripkpi.operators import cleaning
-from tripkpi.session import drop_path, scratch_path
+from tripkpi.session import drop_path, scratch_path, shuffles_deleted
 from tripkpi.sources import driver_tables as D
 from tripkpi.sources.stations import few_stations, station_master
 
@@ -48,20 +48,28 @@ def _per_folder(keys: DataFrame, months: int = 1) -> DataFrame:
 
 
 def _staged_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The keys of trips, joined and written once for all the passes that make raw files of them."""
+    """The keys of trips, joined, clustered by month and written once for all the passes that make raw files of them."""
     k = _key(spark, sf_dir, "keys")
     keys = D.trip_keys(spark, sf_dir)
     if k not in _cache:
         path = scratch_path(spark, "trip-keys")
-        keys.write.option("compression", "zstd").parquet(path)
+        with shuffles_deleted(spark):
+            _per_folder(keys).drop("_folder").write.option("compression", "zstd").parquet(path)
         _cache[k] = path
     return spark.read.schema(keys.schema).parquet(_cache[k])
 
 
+def _drop_served_keys(spark: SparkSession, sf_dir: str) -> None:
+    """Delete the staged keys once the raw files of both layouts are there."""
+    new, old, keys = (_key(spark, sf_dir, kind) for kind in ("new", "old", "keys"))
+    if new in _cache and old in _cache and keys in _cache:
+        drop_path(spark, _cache.pop(keys))
+
+
 def _located_per_folder(keys: DataFrame, stations: DataFrame, few: bool) -> DataFrame:
-    """The keys of trips with coordinates, clustered by folder: broadcast stations leave the clusters as they are."""
+    """Keys of trips that are clustered by folder, with coordinates: broadcast stations leave the clusters as they are."""
     if few:
-        return D.locate(_per_folder(keys), F.broadcast(stations))
+        return D.locate(keys, F.broadcast(stations))
     return _per_folder(D.locate(keys, stations))
 
 
@@ -150,9 +158,11 @@ def write_new_layout(spark: SparkSession, sf_dir: str) -> str:
     regular, reordered = (_new_layout_text(_in_order(_located_per_folder(keys.where(some), stations, few), _month_number()))
                           for some in (~is_reordered, is_reordered))
     reordered = reordered.select(*reversed(reordered.columns[:-1]), "period")
-    _csv_writer(regular).partitionBy("period").csv(base)
-    _csv_writer(reordered, "append").partitionBy("period").csv(base)
+    with shuffles_deleted(spark):
+        _csv_writer(regular).partitionBy("period").csv(base)
+        _csv_writer(reordered, "append").partitionBy("period").csv(base)
     _cache[k] = base
+    _drop_served_keys(spark, sf_dir)
     return base
 
 
@@ -162,11 +172,13 @@ def write_old_layout(spark: SparkSession, sf_dir: str) -> str:
     if k in _cache:
         return _cache[k]
     base = scratch_path(spark, "raw-old")
-    keys = _staged_keys(spark, sf_dir) if _key(spark, sf_dir, "keys") in _cache else D.trip_keys(spark, sf_dir)
-    rows = _old_layout_text(_in_order(_per_folder(keys, 12), F.year(D.start_ts()))).drop("_month")
-    _csv_writer(rows).partitionBy("period").csv(base)
+    keys = _staged_keys(spark, sf_dir) if _key(spark, sf_dir, "keys") in _cache else _per_folder(D.trip_keys(spark, sf_dir), 12)
+    rows = _old_layout_text(_in_order(keys, F.year(D.start_ts()))).drop("_month")
+    with shuffles_deleted(spark):
+        _csv_writer(rows).partitionBy("period").csv(base)
     write_stations(spark, sf_dir, f"{base}/stations")
     _cache[k] = base
+    _drop_served_keys(spark, sf_dir)
     return base
 
 

@@ -9,11 +9,11 @@
                                             --clean-path P --kpi-path R [--quality-path Q]
 
 Each job is one Spark application. Raw CSV is read once per layout:
-``build-all`` types both layouts and stages the typed rows in the shared
-scratch folder (``spark.checkpoint.dir``), and the clean table, the quality
-report and the per-file counts all come from there. Both layouts are unioned
-before a single dynamic-overwrite write, so a month present in both keeps the
-rows of both.
+``build-all`` types both layouts and writes the clean table from there; where
+it also makes the quality report or the per-file counts, the typed rows are
+staged in the shared scratch folder (``spark.checkpoint.dir``) and all of them
+come from there. Both layouts are unioned before a single dynamic-overwrite
+write, so a month present in both keeps the rows of both.
 
 ``--headers discover`` (default) binds every file's columns by its own header;
 ``known`` reads natively, in one pass, and fails if a file's header differs.
@@ -37,7 +37,7 @@ from tripkpi import schemas as S
 from tripkpi.operators import kpis
 from tripkpi.operators import quality as Q
 from tripkpi.plans import incremental, layouts
-from tripkpi.session import scratch
+from tripkpi.session import scratch, shuffles_deleted
 from tripkpi.sinks.parquet import write_clean_trips, write_kpi_report
 from tripkpi.sources import csv_layouts
 from tripkpi.sources.parquet import read_clean_trips
@@ -122,7 +122,7 @@ def kpi_job(spark: SparkSession, input_path: str, output: str, fmt: str = "parqu
 
 
 def _staged(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -133,12 +133,15 @@ def build_all(spark: SparkSession, new_base: str, old_base: str, clean_path: str
     """Both layouts -> one clean table -> KPI report, in one application.
 
     ``new_files`` / ``old_files`` override the folder and file globs of a layout.
-    The typed rows are staged once, for the table and the reports, and deleted at the end.
+    For the quality report and the file counts, the typed rows are staged once, and deleted at the end; the clean
+    table alone takes them as they are read. Of the new layout a file's folder is its month, so those trips are not
+    shuffled; the old layout's are, as a year's file holds twelve months.
     """
-    with scratch(spark, "typed") as path:
-        _build_clean(spark, new_base, old_base, clean_path, stations_path, quality_path, headers, file_counts_path,
-                     new_files, old_files, path)
-    kpi_job(spark, clean_path, kpi_path, fmt)
+    with shuffles_deleted(spark):
+        with scratch(spark, "typed") as path:
+            _build_clean(spark, new_base, old_base, clean_path, stations_path, quality_path, headers, file_counts_path,
+                         new_files, old_files, path)
+        kpi_job(spark, clean_path, kpi_path, fmt)
 
 
 def _build_clean(spark, new_base, old_base, clean_path, stations_path, quality_path, headers, file_counts_path,
@@ -148,9 +151,12 @@ def _build_clean(spark, new_base, old_base, clean_path, stations_path, quality_p
     known = _known(headers)
     raw_new = csv_layouts.scan_new_layout(spark, new_base, headers_known=known, **(new_files or {}))
     raw_old = csv_layouts.scan_old_layout(spark, old_base, headers_known=known, **(old_files or {}))
-    new = _staged(layouts.typed_new_layout(raw_new, passthrough=["source_file"]), f"{path}/new")
-    old = _staged(layouts.typed_old_layout(raw_old, stations, passthrough=["source_file"]), f"{path}/old")
-    write_clean_trips(Q.validate_trips(layouts.unify(new, old)), clean_path)
+    new = layouts.typed_new_layout(raw_new, passthrough=["source_file"])
+    old = layouts.typed_old_layout(raw_old, stations, passthrough=["source_file"])
+    if quality_path or file_counts_path:
+        new, old = _staged(new, f"{path}/new"), _staged(old, f"{path}/old")
+    by_month = Q.validate_trips(layouts.unify(old)).hint("rebalance", *S.PARTITION_COLUMNS)
+    write_clean_trips(layouts.unify(Q.validate_trips(new), by_month), clean_path, clustered=True)
     if quality_path:
         reports = {
             "months": layouts.quality(new, from_folder=True).unionByName(layouts.quality(old, from_folder=False)),

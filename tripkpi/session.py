@@ -94,6 +94,24 @@ def drop_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_deleted(spark: SparkSession):
+    """Each job started inside deletes its shuffle files when it ends; else they stay on the executors' disks until the
+    driver happens to collect its garbage, and the shuffles of a chain of writes add up."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 @contextmanager
 def scratch(spark: SparkSession, name: str):
     """A scratch folder that is deleted afterwards, for tables that nothing returned depends on."""
